@@ -1,18 +1,16 @@
 """Rolling statistics over (t - width, t] on the time axis.
 
-Two things make the plain ``RANGE`` frame unusable at scale: without a key it runs in one task, and
-with a moving lower bound Spark adds up every frame from scratch. So
+Without a key a plain ``RANGE`` window runs in one task. So rows are put into time blocks, with
+copies of the rows the next block looks back at, and the windows run per block.
 
-* rows are put into time blocks, with copies of the rows the next block looks back at, and
-* a frame is the difference of two growing frames (up to t, up to t - width), each of which Spark
-  extends row by row. All widths and columns of a block share one sort.
+With a moving lower bound Spark adds up every frame from scratch. That is fine up to an hour, where
+a frame of the grid holds a few dozen rows. Longer frames are the difference of two growing frames
+(up to t, up to t - width), which Spark extends row by row. Their running sums start anew in each
+block and are taken around the block mean, which keeps the differences accurate; a window of equal
+values is recognised by its last change and has deviation exactly 0.
 
 The frames are meant for grid frames: with one row per series and grid step, a block holds at most
 its length divided by the step, however hot the series is. Resample denser rows first.
-
-Running sums start anew in each block and are taken around the block mean, which keeps the
-differences accurate; a window of equal values is recognised by its last change and has deviation
-exactly 0.
 """
 
 from __future__ import annotations
@@ -61,15 +59,32 @@ def width_groups(widths: list[int]) -> list[list[int]]:
     return [sorted(g) for g in groups if g]
 
 
-def _frame_statistics(
+def _block_order(keys: tuple[str, ...], ts: str) -> str:
+    by = ", ".join(f"`{k}`" for k in [*keys, _BLOCK])
+    return f"PARTITION BY {by} ORDER BY `{ts}`"
+
+
+def _moving_frames(
     blocks: DataFrame, columns: list[str], widths: list[int], keys: tuple[str, ...], ts: str
 ) -> DataFrame:
-    """Mean and sample deviation columns ``{c}_mean_{w}i`` and ``{c}_std_{w}i`` of one block size.
+    """Mean and sample deviation of short frames, ``{c}_mean_{w}i`` and ``{c}_std_{w}i``."""
+    results = []
+    for w in widths:
+        frame = f"({_block_order(keys, ts)} RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+        for c in columns:
+            results.append(f"avg(`{c}`) OVER {frame} AS `{c}_mean_{w}i`")
+            results.append(f"stddev_samp(`{c}`) OVER {frame} AS `{c}_std_{w}i`")
+    return blocks.selectExpr("*", *results).filter(_HOME)
+
+
+def _growing_frames(
+    blocks: DataFrame, columns: list[str], widths: list[int], keys: tuple[str, ...], ts: str
+) -> DataFrame:
+    """The same columns for long frames.
 
     Written as SQL text: hundreds of window columns are then parsed in one call each.
     """
-    by = ", ".join(f"`{k}`" for k in [*keys, _BLOCK])
-    block = f"PARTITION BY {by} ORDER BY `{ts}`"
+    block = _block_order(keys, ts)
     whole = f"({block} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     earlier_rows = f"({block} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     now = f"({block} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -142,7 +157,8 @@ def rolling_statistics(
         width = max(group)
         blocks = in_time_blocks(df, width, block_length(width), ts)
         kept += [f"{c}_{stat}_{w}i" for stat in statistics for w in group for c in columns]
-        df = _frame_statistics(blocks, columns, group, keys, ts).select(*kept)
+        frames = _moving_frames if width <= HOUR else _growing_frames
+        df = frames(blocks, columns, group, keys, ts).select(*kept)
     return df
 
 
