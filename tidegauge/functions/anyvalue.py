@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidegauge.functions.numbers import all_of
+
 
 def float_text(number: Column) -> Column:
     """Text of a double the way the lake stores it: ``1e-05``, ``12345678.0``, ``nan``.
@@ -97,11 +99,12 @@ def first_match(pairs: Column, key: str) -> Column:
 
 def kv_matches(pairs: Column, patterns: dict[str, str]) -> Column:
     """True when every (key, pattern) finds a pair with that key whose value contains the pattern."""
-    verdict = F.lit(True)
-    for key, pattern in patterns.items():
-        hit = F.exists(pairs, lambda p, k=key, r=pattern: (p["key"] == k) & p["value"].rlike(r))
-        verdict = verdict & F.coalesce(hit, F.lit(False))
-    return verdict
+
+    def hit(key: str, pattern: str) -> Column:
+        found = F.exists(pairs, lambda p: (p["key"] == key) & p["value"].rlike(pattern))
+        return F.coalesce(found, F.lit(False))
+
+    return all_of([hit(key, pattern) for key, pattern in patterns.items()])
 
 
 def kv_map(pairs: Column) -> Column:

@@ -99,43 +99,51 @@ def _explode_points(metrics: DataFrame, carry: list[str]) -> DataFrame:
     )
 
 
-def _text_or_null(value: Column) -> Column:
-    return F.nullif(any_text(value), F.lit(""))
-
-
-def _lake_resource(attributes: Column) -> dict[str, Column]:
-    """Columns promoted from the resource of a metric; the last duplicate key counts."""
-    return {
-        "service_name": any_text(last_match(attributes, "service.name")),
-        "service_namespace": any_text(last_match(attributes, "service.namespace")),
-        "k8s_namespace_name": any_text(last_match(attributes, "k8s.namespace.name")),
-        "cluster_name": any_text(last_match(attributes, "cluster.name")),
-        "host": F.coalesce(
-            _text_or_null(last_match(attributes, "host.name")),
-            _text_or_null(last_match(attributes, "host")),
-        ),
-        "env": F.coalesce(
-            _text_or_null(last_match(attributes, "env")),
-            _text_or_null(last_match(attributes, "deployment.environment")),
-        ),
-        "resource_attributes": kv_texts(attributes),
-    }
+# Resource keys promoted to lake columns.
+LAKE_KEYS = {
+    "service_name": "service.name",
+    "service_namespace": "service.namespace",
+    "k8s_namespace_name": "k8s.namespace.name",
+    "cluster_name": "cluster.name",
+}
+_LAKE_COLUMNS = [*LAKE_KEYS, "host", "env", "resource_attributes"]
+
+
+def _filled(pairs: Column, key: str) -> Column:
+    return F.nullif(last_match(pairs, key), F.lit(""))
 
 
-def _either(first: Column, second: Column) -> Column:
-    """Text of the first value when it counts as set, else of the second even if that is empty."""
-    return F.when(F.coalesce(any_truthy(first), F.lit(False)), any_text(first)).otherwise(
-        any_text(second)
+def _promote_metric_resource(resources: DataFrame) -> DataFrame:
+    """Promoted columns of a metric resource; the last duplicate key counts, '' falls through."""
+    listed = resources.withColumn("resource_attributes", kv_texts(F.col("r.resource.attributes")))
+    pairs = F.col("resource_attributes")
+    return listed.withColumns(
+        {
+            **{c: last_match(pairs, key) for c, key in LAKE_KEYS.items()},
+            "host": F.coalesce(_filled(pairs, "host.name"), _filled(pairs, "host")),
+            "env": F.coalesce(_filled(pairs, "env"), _filled(pairs, "deployment.environment")),
+        }
     )
 
 
-def _log_resource(attributes: Column) -> dict[str, Column]:
-    columns = _lake_resource(attributes)
-    columns["host"] = _either(last_match(attributes, "host.name"), last_match(attributes, "host"))
-    columns["env"] = _either(
-        last_match(attributes, "env"), last_match(attributes, "deployment.environment")
+def _promote_log_resource(resources: DataFrame) -> DataFrame:
+    """The same for logs, where the typed value decides: 0, false and '' fall through, and the
+    second alternative stays as it is even when empty."""
+    typed = F.col("r.resource.attributes")
+    listed = resources.withColumn("resource_attributes", kv_texts(typed))
+    pairs = F.col("resource_attributes")
+
+    def either(first: str, second: str) -> Column:
+        is_set = F.coalesce(any_truthy(last_match(typed, first)), F.lit(False))
+        return F.when(is_set, last_match(pairs, first)).otherwise(last_match(pairs, second))
+
+    return listed.withColumns(
+        {
+            **{c: last_match(pairs, key) for c, key in LAKE_KEYS.items()},
+            "host": either("host.name", "host"),
+            "env": either("env", "deployment.environment"),
+        }
     )
-    return columns
 
 
 def flatten_metrics(
@@ -146,10 +154,8 @@ def flatten_metrics(
     ``include`` are the rules of :func:`tidegauge.operators.filters.include_metrics`. Their names
     are already checked before the data points are unfolded.
     """
-    resources = _explode_resources(messages, "resourceMetrics", carry).withColumns(
-        _lake_resource(F.col("r.resource.attributes"))
-    )
-    promoted = [*carry, *_lake_resource(F.col("r"))]
+    resources = _promote_metric_resource(_explode_resources(messages, "resourceMetrics", carry))
+    promoted = [*carry, *_LAKE_COLUMNS]
     metrics = _explode_metrics(resources, promoted)
     if include:
         names = sorted({rule["name"] for rule in include})
@@ -180,10 +186,8 @@ def flatten_metrics(
 
 def flatten_logs(messages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One lake row per log record of parsed messages."""
-    resources = _explode_resources(messages, "resourceLogs", carry).withColumns(
-        _log_resource(F.col("r.resource.attributes"))
-    )
-    promoted = [*carry, *_log_resource(F.col("r"))]
+    resources = _promote_log_resource(_explode_resources(messages, "resourceLogs", carry))
+    promoted = [*carry, *_LAKE_COLUMNS]
     scopes = resources.select(*promoted, F.explode("r.scopeLogs").alias("s"))
     records = scopes.select(*promoted, F.explode("s.logRecords").alias("p"))
     p = F.col("p")

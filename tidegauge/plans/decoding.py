@@ -23,7 +23,7 @@ def otlp_metrics_lake(spark, sf_dir):
     return rows.select(
         F.unix_micros("timestamp").alias("ts_us"),
         F.col("__name__").alias("name"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
         "service_name",
         "service_namespace",
         "host",
@@ -48,7 +48,7 @@ OTLP_METRICS_LAKE_SQL = f"""
 WITH p AS ({_OTLP_POINT})
 SELECT ts_us, event_type AS name,
        round(CASE kind WHEN 0 THEN coalesce(maybe, 0.5) WHEN 1 THEN floor(value)
-                  WHEN 2 THEN coalesce(maybe, 0.0) WHEN 3 THEN coalesce(maybe, 0.0) END, 6) AS value,
+                  WHEN 2 THEN coalesce(maybe, 0.0) WHEN 3 THEN coalesce(maybe, 0.0) END + 1e-9, 6) AS value,
        'svc-' || (user_id % 7) AS service_name, 'ns-' || (user_id % 5) AS service_namespace,
        CASE WHEN user_id % 3 = 0 THEN 'h' ELSE 'hn' END || user_id AS host, 'prod' AS env,
        6 AS n_resource, k, even, n
@@ -66,7 +66,7 @@ def otlp_metrics_stream(spark, sf_dir):
     return rows.select(
         F.col("timestamp").alias("ts_ns"),
         F.col("__name__").alias("name"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
         F.col("count").alias("n_count"),
         "service_name",
         "service_namespace",
@@ -82,7 +82,7 @@ OTLP_METRICS_STREAM_SQL = f"""
 WITH p AS ({_OTLP_POINT})
 SELECT ts_us * 1000 AS ts_ns, event_type AS name,
        round(CASE kind WHEN 0 THEN coalesce(maybe, 0.5) WHEN 1 THEN floor(value)
-                  ELSE coalesce(maybe, 0.0) END, 6) AS value,
+                  ELSE coalesce(maybe, 0.0) END + 1e-9, 6) AS value,
        CASE WHEN kind >= 2 THEN event_id END AS n_count,
        'svc-' || (user_id % 7) AS service_name, 'ns-' || (user_id % 5) AS service_namespace,
        '' AS k8s_pod_name, 'h' || user_id AS host, CAST(NULL AS VARCHAR) AS env, k, '' AS even
@@ -140,15 +140,15 @@ SELECT event_type AS name, CAST(user_id AS VARCHAR) AS bare, CAST(event_id AS VA
 def response_series(spark, sf_dir):
     parsed = responses.parse_responses(tables.responses(spark, sf_dir))
     return responses.to_series(parsed, F.col("event_type")).select(
-        "query_id", "timestamp", F.round("value", 6).alias("value")
+        "query_id", "timestamp", tables.shown("value").alias("value")
     )
 
 
 RESPONSE_SERIES_SQL = """
-SELECT event_type AS query_id, epoch_ms(ts) AS timestamp, round(value, 6) AS value
+SELECT event_type AS query_id, (epoch_us(ts) // 1000) AS timestamp, round(value + 1e-9, 6) AS value
 FROM events WHERE event_id % 7 <> 0
 UNION ALL
-SELECT event_type, epoch_ms(ts) + 1000, round(value + 1, 6) FROM events WHERE event_id % 7 <> 0
+SELECT event_type, (epoch_us(ts) // 1000) + 1000, round(value + 1 + 1e-9, 6) FROM events WHERE event_id % 7 <> 0
 """
 
 
@@ -163,12 +163,12 @@ def response_values(spark, sf_dir):
         F.size(responses.frames_of(results, "C")).alias("frames_c"),
         F.size(responses.values_of(results, "B")).alias("columns_b"),
         F.size(responses.values_of(results, "C")).alias("columns_c"),
-        F.round(F.get(first, F.lit(0)), 6).alias("first_value"),
+        tables.shown(F.get(first, F.lit(0))).alias("first_value"),
     )
 
 
 RESPONSE_VALUES_SQL = """
-SELECT event_id, 1 AS frames_b, 0 AS frames_c, 1 AS columns_b, 0 AS columns_c, round(value, 6) AS first_value
+SELECT event_id, 1 AS frames_b, 0 AS frames_c, 1 AS columns_b, 0 AS columns_c, round(value + 1e-9, 6) AS first_value
 FROM events
 """
 
@@ -180,16 +180,16 @@ def response_to_otlp(spark, sf_dir):
         "event_id",
         F.col("__name__").alias("name"),
         "time_unix_nano",
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
         first_match(F.col("attributes"), "job").alias("job"),
     )
 
 
 RESPONSE_TO_OTLP_SQL = """
-SELECT event_id, 'A' AS name, epoch_ms(ts) * 1000000 AS time_unix_nano, round(value, 6) AS value,
+SELECT event_id, 'A' AS name, (epoch_us(ts) // 1000) * 1000000 AS time_unix_nano, round(value + 1e-9, 6) AS value,
        event_type AS job FROM events
 UNION ALL
-SELECT event_id, 'A', (epoch_ms(ts) + 1000) * 1000000, round(value + 1, 6), event_type
+SELECT event_id, 'A', ((epoch_us(ts) // 1000) + 1000) * 1000000, round(value + 1 + 1e-9, 6), event_type
 FROM events WHERE event_id % 7 <> 0
 """
 
@@ -203,17 +203,17 @@ def otlp_renest(spark, sf_dir):
     return rows.select(
         F.unix_micros("timestamp").alias("ts_us"),
         F.col("__name__").alias("name"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
         "service_name",
         last_match(F.col("attributes"), "job").alias("job"),
     )
 
 
 OTLP_RENEST_SQL = """
-SELECT epoch_ms(ts) * 1000 AS ts_us, 'probe' AS name, round(value, 6) AS value,
+SELECT (epoch_us(ts) // 1000) * 1000 AS ts_us, 'probe' AS name, round(value + 1e-9, 6) AS value,
        'integrations' AS service_name, event_type AS job FROM events
 UNION ALL
-SELECT (epoch_ms(ts) + 1000) * 1000, 'probe', round(value + 1, 6), 'integrations', event_type
+SELECT ((epoch_us(ts) // 1000) + 1000) * 1000, 'probe', round(value + 1 + 1e-9, 6), 'integrations', event_type
 FROM events WHERE event_id % 7 <> 0
 """
 

@@ -111,7 +111,7 @@ WHERE (role = 'user' AND turn % 2 = 0) OR (role = 'assistant' AND contains(text,
 """
 
 _DAMAGED = """
-d AS (SELECT event_id, epoch_ms(ts) AS timestamp, event_type,
+d AS (SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, event_type,
              CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 23 = 0 THEN 'nan'::DOUBLE
                   ELSE value END AS value FROM events)
 """
@@ -212,7 +212,7 @@ def recent_window(spark, sf_dir):
 
 
 RECENT_WINDOW_SQL = """
-SELECT event_id, epoch_ms(ts) AS ts_ms FROM events WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY
+SELECT event_id, (epoch_us(ts) // 1000) AS ts_ms FROM events WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY
 """
 
 
@@ -222,7 +222,7 @@ def day_range(spark, sf_dir):
 
 
 DAY_RANGE_SQL = """
-SELECT event_id, epoch_ms(ts) AS ts_ms FROM events
+SELECT event_id, (epoch_us(ts) // 1000) AS ts_ms FROM events
 WHERE ts BETWEEN TIMESTAMP '2024-01-27 00:00:00' AND TIMESTAMP '2024-01-27 23:59:59'
 """
 
@@ -237,7 +237,7 @@ def day_chunks(spark, sf_dir):
     root = _chunk_root(spark, sf_dir, "chunks")
     chunks.write_chunks(tables.wide(spark, sf_dir), root, gate=False)
     recent = chunks.read_recent_chunks(spark, root, 3, tables.AS_OF)
-    return recent.select("timestamp", *[F.round(c, 6).alias(c) for c in tables.WIDE])
+    return recent.select("timestamp", *[tables.shown(c, 6).alias(c) for c in tables.WIDE])
 
 
 def day_chunk(spark, sf_dir):
@@ -245,7 +245,7 @@ def day_chunk(spark, sf_dir):
     root = _chunk_root(spark, sf_dir, "chunk")
     chunks.write_chunks(tables.wide(spark, sf_dir), root, gate=False)
     day = chunks.read_chunk(spark, root, "20240115")
-    return day.select("timestamp", *[F.round(c, 6).alias(c) for c in tables.WIDE])
+    return day.select("timestamp", *[tables.shown(c, 6).alias(c) for c in tables.WIDE])
 
 
 def chunk_rows(spark, sf_dir):
@@ -256,19 +256,19 @@ def chunk_rows(spark, sf_dir):
 
 
 WIDE_CTE = """
-timeline AS (SELECT DISTINCT epoch_ms(ts) AS timestamp FROM events WHERE event_type IN ('view', 'click', 'error')),
+timeline AS (SELECT DISTINCT (epoch_us(ts) // 1000) AS timestamp FROM events WHERE event_type IN ('view', 'click', 'error')),
 joined AS (
   SELECT t.timestamp, v.value AS view, c.value AS click, e.value AS error
   FROM timeline t
-  LEFT JOIN (SELECT epoch_ms(ts) AS timestamp, value FROM events WHERE event_type = 'view') v USING (timestamp)
-  LEFT JOIN (SELECT epoch_ms(ts) AS timestamp, value FROM events WHERE event_type = 'click') c USING (timestamp)
-  LEFT JOIN (SELECT epoch_ms(ts) AS timestamp, value FROM events WHERE event_type = 'error') e USING (timestamp)),
+  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'view') v USING (timestamp)
+  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'click') c USING (timestamp)
+  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'error') e USING (timestamp)),
 wide AS (
   SELECT (timestamp // 60000) * 60000 AS timestamp, avg(view) AS view, avg(click) AS click, avg(error) AS error
   FROM joined GROUP BY 1)
 """
 
-_ROUNDED = "timestamp, round(view, 6) AS view, round(click, 6) AS click, round(error, 6) AS error"
+_ROUNDED = "timestamp, round(view + 1e-9, 6) AS view, round(click + 1e-9, 6) AS click, round(error + 1e-9, 6) AS error"
 
 DAY_CHUNKS_SQL = f"""
 WITH {WIDE_CTE} SELECT {_ROUNDED} FROM wide

@@ -17,7 +17,7 @@ def _flat(df):
         F.col("__name__").alias("name"),
         F.col("attributes")["k"].alias("k"),
         F.col("resource_attributes")["user"].alias("user_id"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value", 6).alias("value"),
     )
 
 
@@ -32,11 +32,11 @@ def training_aggregate_literal(spark, sf_dir):
 
 _TRAINING = """
 SELECT {bucket} AS bucket_ms, event_type AS name, json_extract_string(props, '$.k') AS k,
-       CAST(user_id AS VARCHAR) AS user_id, round(avg(value), 6) AS value
+       CAST(user_id AS VARCHAR) AS user_id, round(avg(value) + 1e-9, 6) AS value
 FROM events WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY GROUP BY {key}, 2, 3, 4
 """
 TRAINING_SQL = _TRAINING.format(bucket="(epoch_us(ts) // 300000000) * 300000", key="1")
-TRAINING_LITERAL_SQL = _TRAINING.format(bucket="epoch_ms(ts)", key="ts")
+TRAINING_LITERAL_SQL = _TRAINING.format(bucket="(epoch_us(ts) // 1000)", key="ts")
 
 HOUR_MS = 3_600_000
 
@@ -45,11 +45,11 @@ def resample(spark, sf_dir, agg):
     """Hourly windows per event type."""
     rows = tables.series(spark, sf_dir)
     grid = merge.resample(rows, {"value": agg}, HOUR_MS, keys=("query_id",), tie=("event_id",))
-    return grid.select("query_id", "timestamp", F.round("value", 6).alias("value"))
+    return grid.select("query_id", "timestamp", tables.shown("value", 6).alias("value"))
 
 
 RESAMPLE_SQL = """
-SELECT event_type AS query_id, (epoch_ms(ts) // 3600000) * 3600000 AS timestamp, round({agg}, 6) AS value
+SELECT event_type AS query_id, ((epoch_us(ts) // 1000) // 3600000) * 3600000 AS timestamp, round({agg} + 1e-9, 6) AS value
 FROM events GROUP BY 1, 2
 """
 _SQL_AGGREGATES = {
@@ -57,8 +57,8 @@ _SQL_AGGREGATES = {
     "sum": "sum(value)",
     "min": "min(value)",
     "max": "max(value)",
-    "first": "arg_min(value, (epoch_ms(ts), event_id))",
-    "last": "arg_max(value, (epoch_ms(ts), event_id))",
+    "first": "arg_min(value, ((epoch_us(ts) // 1000), event_id))",
+    "last": "arg_max(value, ((epoch_us(ts) // 1000), event_id))",
 }
 
 
@@ -73,19 +73,19 @@ def resample_damaged(spark, sf_dir):
     grid = merge.resample(copies, names, HOUR_MS, keys=("event_type",))
 
     def shown(name):
-        return F.when(~F.isnan(name), F.round(name, 6)).alias(f"value_{name}")
+        return F.when(~F.isnan(name), tables.shown(name, 6)).alias(f"value_{name}")
 
     return grid.select("event_type", "timestamp", *[shown(name) for name in names])
 
 
 RESAMPLE_DAMAGED_SQL = """
-WITH d AS (SELECT (epoch_ms(ts) // 3600000) * 3600000 AS timestamp, event_type,
+WITH d AS (SELECT ((epoch_us(ts) // 1000) // 3600000) * 3600000 AS timestamp, event_type,
                   event_id % 17 <> 0 AND event_id % 23 = 0 AS is_nan,
                   CASE WHEN event_id % 17 <> 0 AND event_id % 23 <> 0 THEN value END AS value FROM events)
 SELECT event_type, timestamp,
-       CASE WHEN NOT bool_or(is_nan) THEN round(avg(value), 6) END AS value_mean,
-       CASE WHEN NOT bool_or(is_nan) THEN round(coalesce(sum(value), 0.0), 6) END AS value_sum,
-       round(min(value), 6) AS value_min, round(max(value), 6) AS value_max
+       CASE WHEN NOT bool_or(is_nan) THEN round(avg(value) + 1e-9, 6) END AS value_mean,
+       CASE WHEN NOT bool_or(is_nan) THEN round(coalesce(sum(value), 0.0) + 1e-9, 6) END AS value_sum,
+       round(min(value) + 1e-9, 6) AS value_min, round(max(value) + 1e-9, 6) AS value_max
 FROM d GROUP BY 1, 2
 """
 
@@ -94,7 +94,7 @@ QUARTER_MS = 900_000
 
 
 def _mixed(df):
-    return df.select("timestamp", *[F.round(c, 6).alias(c) for c in MIXED])
+    return df.select("timestamp", *[tables.shown(c, 6).alias(c) for c in MIXED])
 
 
 def _coarse(spark, sf_dir):
@@ -122,15 +122,15 @@ edges AS (SELECT *, (timestamp // 900000) * 900000 AS bucket,
             row_number() OVER (PARTITION BY timestamp // 900000 ORDER BY timestamp, id_purchase) AS r_first,
             row_number() OVER (PARTITION BY timestamp // 900000 ORDER BY timestamp DESC, id_signup DESC) AS r_last
           FROM joined)
-SELECT bucket AS timestamp, round(avg(view), 6) AS view, round(coalesce(sum(click), 0.0), 6) AS click,
-       round(min(error), 6) AS error,
-       round(max(CASE WHEN r_first = 1 THEN purchase END), 6) AS purchase,
-       round(max(CASE WHEN r_last = 1 THEN signup END), 6) AS signup
+SELECT bucket AS timestamp, round(avg(view) + 1e-9, 6) AS view, round(coalesce(sum(click), 0.0) + 1e-9, 6) AS click,
+       round(min(error) + 1e-9, 6) AS error,
+       round(max(CASE WHEN r_first = 1 THEN purchase END) + 1e-9, 6) AS purchase,
+       round(max(CASE WHEN r_last = 1 THEN signup END) + 1e-9, 6) AS signup
 FROM edges GROUP BY 1
 """
 )
-MERGE_COARSE_SQL = MERGE_EXACT_SQL.replace("{ts}", "(epoch_ms(ts) // 100000) * 100000")
-MERGE_FINE_SQL = MERGE_EXACT_SQL.replace("{ts}", "epoch_ms(ts)")
+MERGE_COARSE_SQL = MERGE_EXACT_SQL.replace("{ts}", "((epoch_us(ts) // 1000) // 100000) * 100000")
+MERGE_FINE_SQL = MERGE_EXACT_SQL.replace("{ts}", "(epoch_us(ts) // 1000)")
 
 
 def merge_pivot(spark, sf_dir):
@@ -141,18 +141,18 @@ def timeline(spark, sf_dir):
     return merge.timeline(_coarse(spark, sf_dir))
 
 
-TIMELINE_SQL = "SELECT DISTINCT (epoch_ms(ts) // 100000) * 100000 AS timestamp FROM events"
+TIMELINE_SQL = "SELECT DISTINCT ((epoch_us(ts) // 1000) // 100000) * 100000 AS timestamp FROM events"
 
 
 def wide_frame(spark, sf_dir):
     return tables.wide(spark, sf_dir).select(
-        "timestamp", *[F.round(c, 6).alias(c) for c in tables.WIDE]
+        "timestamp", *[tables.shown(c, 6).alias(c) for c in tables.WIDE]
     )
 
 
 WIDE_FRAME_SQL = f"""
 WITH {WIDE_CTE}
-SELECT timestamp, round(view, 6) AS view, round(click, 6) AS click, round(error, 6) AS error FROM wide
+SELECT timestamp, round(view + 1e-9, 6) AS view, round(click + 1e-9, 6) AS click, round(error + 1e-9, 6) AS error FROM wide
 """
 
 
@@ -163,38 +163,38 @@ def _samples(spark, sf_dir):
 def avg_over_time(spark, sf_dir):
     """Six-hour means per user, every two hours, summed over users: the series of the wide frame."""
     means = ranges.avg_over_time(_samples(spark, sf_dir), ("user_id",), 6 * HOUR_MS, 2 * HOUR_MS)
-    return means.select("user_id", "timestamp", F.round("value", 6).alias("value"))
+    return means.select("user_id", "timestamp", tables.shown("value", 6).alias("value"))
 
 
 _STEPS = """
 steps AS (SELECT unnest(range(lo, hi + 21600000, 7200000)) AS timestamp
-          FROM (SELECT (min(epoch_ms(ts)) // 7200000) * 7200000 AS lo, max(epoch_ms(ts)) AS hi FROM events)),
-s AS (SELECT user_id, epoch_ms(ts) AS t, value, event_id FROM events)
+          FROM (SELECT (min((epoch_us(ts) // 1000)) // 7200000) * 7200000 AS lo, max((epoch_us(ts) // 1000)) AS hi FROM events)),
+s AS (SELECT user_id, (epoch_us(ts) // 1000) AS t, value, event_id FROM events)
 """
 AVG_OVER_TIME_SQL = f"""
 WITH {_STEPS}
-SELECT user_id, timestamp, round(avg(value), 6) AS value
+SELECT user_id, timestamp, round(avg(value) + 1e-9, 6) AS value
 FROM s JOIN steps ON t > timestamp - 21600000 AND t <= timestamp GROUP BY 1, 2
 """
 
 
 def sum_by_step(spark, sf_dir):
     means = ranges.avg_over_time(_samples(spark, sf_dir), ("user_id",), 6 * HOUR_MS, 2 * HOUR_MS)
-    return ranges.sum_by_step(means).select("timestamp", F.round("value", 4).alias("value"))
+    return ranges.sum_by_step(means).select("timestamp", tables.shown("value", 4).alias("value"))
 
 
 SUM_BY_STEP_SQL = f"""
 WITH {_STEPS}, m AS (
   SELECT user_id, timestamp, avg(value) AS value
   FROM s JOIN steps ON t > timestamp - 21600000 AND t <= timestamp GROUP BY 1, 2)
-SELECT timestamp, round(sum(value), 4) AS value FROM m GROUP BY 1
+SELECT timestamp, round(sum(value) + 1e-7, 4) AS value FROM m GROUP BY 1
 """
 
 
 def rate(spark, sf_dir):
     """Per-user counters (restarting whenever the value drops) over six hours, every two hours."""
     rates = ranges.rate(_samples(spark, sf_dir), ("user_id",), 6 * HOUR_MS, 2 * HOUR_MS)
-    return rates.select("user_id", "timestamp", F.round("value", 9).alias("value"))
+    return rates.select("user_id", "timestamp", tables.shown("value", 9).alias("value"))
 
 
 RATE_SQL = f"""
@@ -202,7 +202,7 @@ WITH {_STEPS}, pairs AS (
   SELECT user_id, t, value, lag(t) OVER w AS t0, lag(value) OVER w AS v0 FROM s
   WINDOW w AS (PARTITION BY user_id ORDER BY t, value))
 SELECT user_id, timestamp,
-       round(sum(CASE WHEN value >= v0 THEN value - v0 ELSE value END) / 21600.0, 9) AS value
+       round(sum(CASE WHEN value >= v0 THEN value - v0 ELSE value END) / 21600.0 + 1e-12, 9) AS value
 FROM pairs JOIN steps ON t0 > timestamp - 21600000 AND t <= timestamp GROUP BY 1, 2
 """
 
@@ -233,7 +233,7 @@ def step_alignment(spark, sf_dir):
     return ranges.align_to_step(_samples(spark, sf_dir), 1000).select("event_id", "timestamp")
 
 
-STEP_ALIGNMENT_SQL = "SELECT event_id, (epoch_ms(ts) // 1000) * 1000 AS timestamp FROM events"
+STEP_ALIGNMENT_SQL = "SELECT event_id, ((epoch_us(ts) // 1000) // 1000) * 1000 AS timestamp FROM events"
 
 
 QUERIES = {

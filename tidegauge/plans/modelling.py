@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegauge.operators import aggregates, learn, standardize
+from tidegauge.operators import aggregates, clean, features, learn, ordering, standardize
+from tidegauge.operators.merge import merge_series
 from tidegauge.plans import tables
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -24,7 +25,7 @@ def standardized(spark, sf_dir):
     columns = [*_COLUMNS, "constant"]
     _, (scaled,), _ = standardize.standardize(train, [everything], columns)
     return scaled.select(
-        "l_orderkey", "l_linenumber", *[F.round(c, 6).alias(c) for c in columns]
+        "l_orderkey", "l_linenumber", *[tables.shown(c, 6).alias(c) for c in columns]
     )
 
 
@@ -33,7 +34,7 @@ STANDARDIZED_SQL = (
     "WITH s AS (SELECT "
     + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_COLUMNS))
     + f" FROM {_TRAIN}) SELECT l_orderkey, l_linenumber, "
-    + ", ".join(f"round(({c} - m{i}) / s{i}, 6) AS {c}" for i, c in enumerate(_COLUMNS))
+    + ", ".join(f"round(({c} - m{i}) / s{i} + 1e-9, 6) AS {c}" for i, c in enumerate(_COLUMNS))
     + ", 0.0::DOUBLE AS constant FROM lineitem, s"
 )
 
@@ -47,14 +48,14 @@ def standardized_target(spark, sf_dir):
     return back.select(
         "l_orderkey",
         "l_linenumber",
-        F.round("l_extendedprice", 6).alias("scaled"),
-        F.round("restored", 4).alias("restored"),
+        tables.shown("l_extendedprice", 6).alias("scaled"),
+        tables.shown("restored", 4).alias("restored"),
     )
 
 
 STANDARDIZED_TARGET_SQL = f"""
 WITH s AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS s FROM {_TRAIN})
-SELECT l_orderkey, l_linenumber, round((l_extendedprice - m) / s, 6) AS scaled, round(l_extendedprice, 4) AS restored
+SELECT l_orderkey, l_linenumber, round((l_extendedprice - m) / s + 1e-9, 6) AS scaled, round(l_extendedprice + 1e-7, 4) AS restored
 FROM lineitem, s
 """
 
@@ -64,12 +65,12 @@ def clipped(spark, sf_dir):
     scale = standardize.fit_scale(train, ["l_extendedprice"])
     scaled = standardize.apply_scale(everything, scale)
     cut = standardize.clip_columns(scaled, ["l_extendedprice"], -1.0, 1.0)
-    return cut.select("l_orderkey", "l_linenumber", F.round("l_extendedprice", 6).alias("clipped"))
+    return cut.select("l_orderkey", "l_linenumber", tables.shown("l_extendedprice", 6).alias("clipped"))
 
 
 CLIPPED_SQL = f"""
 WITH s AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS s FROM {_TRAIN})
-SELECT l_orderkey, l_linenumber, round(greatest(least((l_extendedprice - m) / s, 1.0), -1.0), 6) AS clipped
+SELECT l_orderkey, l_linenumber, round(greatest(least((l_extendedprice - m) / s, 1.0), -1.0) + 1e-9, 6) AS clipped
 FROM lineitem, s
 """
 
@@ -82,13 +83,13 @@ def eval_metrics(spark, sf_dir):
         (F.col("l_extendedprice") / F.col("l_quantity") * 25).alias("p"),
     )
     scored = aggregates.evaluate(rows, "y", "p", by=("l_returnflag",))
-    return scored.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "mape")])
+    return scored.select("l_returnflag", *[tables.shown(c, 4).alias(c) for c in ("mae", "rmse", "mape")])
 
 
 EVAL_METRICS_SQL = """
 WITH r AS (SELECT l_returnflag, l_extendedprice AS y, l_extendedprice / l_quantity * 25 AS p FROM lineitem)
-SELECT l_returnflag, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-       round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 4) AS mape
+SELECT l_returnflag, round(avg(abs(y - p)) + 1e-7, 4) AS mae, round(sqrt(avg((y - p) * (y - p))) + 1e-7, 4) AS rmse,
+       round(avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) + 1e-7, 4) AS mape
 FROM r GROUP BY 1
 """
 
@@ -98,23 +99,23 @@ def ensemble_mean(spark, sf_dir):
     runs = tables.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("row_id"), F.col("l_extendedprice").alias("prediction")
     )
-    return aggregates.ensemble_mean(runs).select("row_id", F.round("prediction", 4).alias("prediction"))
+    return aggregates.ensemble_mean(runs).select("row_id", tables.shown("prediction", 4).alias("prediction"))
 
 
 ENSEMBLE_MEAN_SQL = """
-SELECT l_orderkey AS row_id, round(avg(l_extendedprice), 4) AS prediction FROM lineitem GROUP BY 1
+SELECT l_orderkey AS row_id, round(avg(l_extendedprice) + 1e-7, 4) AS prediction FROM lineitem GROUP BY 1
 """
 
 
 def _model_frame(spark, sf_dir):
-    """Events on an hourly grid with seasonality and one-row lags: small but grows with the table."""
-    from tidegauge.operators.features import run_steps, seasonal_steps
-    from tidegauge.operators.merge import merge_series
-    from tidegauge.operators.ordering import INDEX, shift_rows, with_row_index
-
-    grid = merge_series(tables.series(spark, sf_dir), tables.WIDE, step_ms=600_000)
-    indexed = with_row_index(run_steps(grid, seasonal_steps()))
-    return shift_rows(indexed, {f"{c}_lag_1": (c, 1) for c in tables.WIDE}).drop(INDEX).checkpoint()
+    """Events on an hourly grid, cleaned, with seasonality and one-row lags."""
+    grid = merge_series(tables.series(spark, sf_dir), tables.WIDE, step_ms=3_600_000)
+    others = [c for c in tables.WIDE if c != tables.TARGET]
+    cleaned = clean.clean_frame(grid, critical=tables.TARGET, zero_filled=others[0])
+    cleaned = clean.fill_nulls(cleaned, others[1])
+    indexed = ordering.with_row_index(features.run_steps(cleaned, features.seasonal_steps()))
+    lags = {f"{c}_lag_1": (c, 1) for c in tables.WIDE}
+    return ordering.shift_rows(indexed, lags).drop(ordering.INDEX).checkpoint()
 
 
 def model_table(spark, sf_dir):
@@ -129,8 +130,7 @@ def model_table(spark, sf_dir):
 def sequence_training_table(spark, sf_dir):
     """Prepared sequences of all three parts, as counts and value ranges."""
     frame = _model_frame(spark, sf_dir).select("timestamp", *tables.WIDE)
-    filled = frame.fillna(0.0, subset=[c for c in tables.WIDE if c != tables.TARGET])
-    made, _, _ = learn.prepare_sequences(filled, tables.TARGET, length=12)
+    made, _, _ = learn.prepare_sequences(frame, tables.TARGET, length=12)
     parts = [
         df.select(F.lit(name).alias("part"), "start_idx", F.size("x").alias("n_rows"), "y")
         for name, df in made.items()

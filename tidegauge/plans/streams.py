@@ -29,7 +29,7 @@ def stream_ingest(spark, sf_dir):
     root = _run_root(spark, "ingest")
     texts = tables.otlp_messages(spark, sf_dir).select("value")
     files = _message_files(spark, texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes="3m")
+    stream = topics.read_message_files(spark, files, max_bytes=1_000_000)
     sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
     ingest.ingest(stream, sink, f"{root}/offsets").awaitTermination()
     rows = lake.read_rows(spark, f"{root}/lake/metrics")
@@ -37,7 +37,7 @@ def stream_ingest(spark, sf_dir):
     return rows.select(
         F.unix_micros("timestamp").alias("ts_us"),
         F.col("__name__").alias("name"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
         "service_name",
         F.date_format(lake.DAY, "yyyy-MM-dd").alias("day"),
         last_match(attributes, "n").alias("n"),
@@ -84,7 +84,7 @@ def stream_records(spark, sf_dir):
     return out.select(
         F.get_json_object("value", "$.timestamp").cast("bigint").alias("ts_ns"),
         F.get_json_object("value", "$.__name__").alias("name"),
-        F.round(F.get_json_object("value", "$.value").cast("double"), 6).alias("value"),
+        tables.shown(F.get_json_object("value", "$.value").cast("double")).alias("value"),
         F.get_json_object("value", "$.count").cast("bigint").alias("n_count"),
         F.get_json_object("value", "$.host").alias("host"),
     )
@@ -121,7 +121,7 @@ def stream_training_aggregate(spark, sf_dir):
         F.col("__name__").alias("name"),
         last_match(F.col("attributes"), "k").alias("k"),
         last_match(F.col("resource_attributes"), "user").alias("user_id"),
-        F.round("value", 6).alias("value"),
+        tables.shown("value").alias("value"),
     )
 
 

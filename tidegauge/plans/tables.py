@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shown(value: Column | str, digits: int = 6) -> Column:
+    """Round for display. Means of two-decimal numbers often end exactly on a rounding border; the
+    small offset, which the SQL twins add too, keeps both engines on the same side of it."""
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column + F.lit(float(f"1e-{digits + 3}")), digits)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``at`` (UTC instant) and ``timestamp`` (epoch milliseconds)."""
     at = F.col("ts").cast("timestamp")

@@ -17,7 +17,7 @@ COLUMNS = list(tables.WIDE)
 
 
 def _rounded(df, columns, digits=6):
-    return df.select("timestamp", *[F.round(c, digits).alias(c) for c in columns])
+    return df.select("timestamp", *[tables.shown(c, digits).alias(c) for c in columns])
 
 
 def _grid_times(spark, sf_dir):
@@ -27,11 +27,11 @@ def _grid_times(spark, sf_dir):
 def _season(spark, sf_dir, make):
     df = make(_grid_times(spark, sf_dir))
     made = [c for c in df.columns if c not in ("event_id", "timestamp")]
-    return df.select("event_id", *[F.round(F.col(c).cast("double"), 9).alias(c) for c in made])
+    return df.select("event_id", *[tables.shown(F.col(c).cast("double"), 9).alias(c) for c in made])
 
 
 def _wave_sql(name: str, angle: str) -> str:
-    return f"round(sin({angle}), 9) AS {name.format('sin')}, round(cos({angle}), 9) AS {name.format('cos')}"
+    return f"round(sin({angle}) + 1e-12, 9) AS {name.format('sin')}, round(cos({angle}) + 1e-12, 9) AS {name.format('cos')}"
 
 
 _TAU = repr(2 * math.pi)
@@ -53,7 +53,7 @@ def lag_rows(spark, sf_dir):
 LAG_ROWS_SQL = (
     f"WITH {WIDE_CTE} SELECT timestamp, "
     + ", ".join(
-        f"round(lag({c}, {n}) OVER (ORDER BY timestamp), 6) AS {c}_lag_{s}"
+        f"round(lag({c}, {n}) OVER (ORDER BY timestamp) + 1e-9, 6) AS {c}_lag_{s}"
         for s, n in {"1m": 1, "30m": 30, "1d": 1440}.items()
         for c in COLUMNS
     )
@@ -69,7 +69,7 @@ def _keyed(spark, sf_dir):
 
 
 _KEYED_CTE = """
-keyed AS (SELECT event_type AS query_id, (epoch_ms(ts) // 60000) * 60000 AS timestamp, avg(value) AS value
+keyed AS (SELECT event_type AS query_id, ((epoch_us(ts) // 1000) // 60000) * 60000 AS timestamp, avg(value) AS value
           FROM events GROUP BY 1, 2)
 """
 
@@ -77,13 +77,13 @@ keyed AS (SELECT event_type AS query_id, (epoch_ms(ts) // 60000) * 60000 AS time
 def lag_rows_keyed(spark, sf_dir):
     df = features.lag_rows(_keyed(spark, sf_dir), ["value"], {"1m": 1, "12h": 720}, keys=("query_id",))
     return df.select(
-        "query_id", "timestamp", *[F.round(f"value_lag_{s}", 6).alias(f"value_lag_{s}") for s in ("1m", "12h")]
+        "query_id", "timestamp", *[tables.shown(f"value_lag_{s}", 6).alias(f"value_lag_{s}") for s in ("1m", "12h")]
     )
 
 
 LAG_ROWS_KEYED_SQL = f"""
 WITH {_KEYED_CTE}
-SELECT query_id, timestamp, round(lag(value, 1) OVER w, 6) AS value_lag_1m, round(lag(value, 720) OVER w, 6) AS value_lag_12h
+SELECT query_id, timestamp, round(lag(value, 1) OVER w + 1e-9, 6) AS value_lag_1m, round(lag(value, 720) OVER w + 1e-9, 6) AS value_lag_12h
 FROM keyed WINDOW w AS (PARTITION BY query_id ORDER BY timestamp)
 """
 
@@ -116,7 +116,7 @@ def _rolling_sql(stat: str) -> str:
             value = f"lag({name}) OVER (ORDER BY timestamp)"
             if stat == "p90":
                 value = f"list_sort({value})[1 + CAST(floor((len({value}) - 1) * 0.9 + 0.5) AS BIGINT)]"
-            outer.append(f"round({value}, 5) AS {name}")
+            outer.append(f"round({value} + 1e-8, 5) AS {name}")
     return (
         f"WITH {WIDE_CTE}, r AS (SELECT timestamp, {', '.join(inner)} FROM wide)"
         f" SELECT timestamp, {', '.join(outer)} FROM r"
@@ -127,14 +127,14 @@ def rolling_keyed(spark, sf_dir):
     widths = [HOUR, 7 * DAY]
     df = rolling.rolling_statistics(_keyed(spark, sf_dir), ["value"], widths, keys=("query_id",))
     names = [f"value_{stat}_{w}i" for stat in ("mean", "std") for w in widths]
-    return df.select("query_id", "timestamp", *[F.round(n, 5).alias(n) for n in names])
+    return df.select("query_id", "timestamp", *[tables.shown(n, 5).alias(n) for n in names])
 
 
 ROLLING_KEYED_SQL = (
     f"WITH {_KEYED_CTE} SELECT query_id, timestamp, "
     + ", ".join(
         f"round({fn}(value) OVER (PARTITION BY query_id ORDER BY timestamp RANGE BETWEEN {w - 1} PRECEDING"
-        f" AND CURRENT ROW), 5) AS value_{stat}_{w}i"
+        f" AND CURRENT ROW) + 1e-8, 5) AS value_{stat}_{w}i"
         for stat, fn in (("mean", "avg"), ("std", "stddev_samp"))
         for w in (HOUR, 7 * DAY)
     )
@@ -194,7 +194,7 @@ def _feature_sql(lags: dict[str, int], widths: list[int]) -> tuple[str, dict[str
 
 def _derived_sql(names: list[str], digits: int) -> str:
     ctes, expressions = _feature_sql({"1m": 1}, [HOUR, DAY])
-    columns = ", ".join(f"round({expressions[n]}, {digits}) AS {n}" for n in names)
+    columns = ", ".join(f"round({expressions[n]} + 1e-{digits + 3}, {digits}) AS {n}" for n in names)
     return f"WITH {ctes} SELECT timestamp, {columns} FROM moved"
 
 
@@ -215,8 +215,8 @@ def _ml_features_sql() -> str:
     at = "make_timestamp(timestamp * 1000)"
     seasons = f"{_HOUR_WAVE}, {_HARMONICS}".replace("hour(ts)", f"hour({at})").replace(", 9)", ", 4)")
     flag = f"CASE WHEN isodow({at}) <= 5 THEN 1 ELSE 0 END::TINYINT AS is_business_day"
-    plain = ", ".join(f"round({c}, 4) AS {c}" for c in COLUMNS)
-    derived = ", ".join(f"round({e}, 4) AS {n}" for n, e in expressions.items())
+    plain = ", ".join(f"round({c} + 1e-7, 4) AS {c}" for c in COLUMNS)
+    derived = ", ".join(f"round({e} + 1e-7, 4) AS {n}" for n, e in expressions.items())
     return f"WITH {ctes} SELECT timestamp, {plain}, {seasons}, {flag}, {derived} FROM moved"
 
 
@@ -230,7 +230,7 @@ def _sequence_features_sql() -> str:
     at = "make_timestamp(timestamp * 1000)"
     seasons = f"{_HOUR_WAVE}, {_HARMONICS}".replace("hour(ts)", f"hour({at})").replace(", 9)", ", 6)")
     flag = f"CASE WHEN isodow({at}) <= 5 THEN 1 ELSE 0 END::TINYINT AS is_business_day"
-    plain = ", ".join(f"round({c}, 6) AS {c}" for c in COLUMNS)
+    plain = ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in COLUMNS)
     return f"WITH {WIDE_CTE} SELECT timestamp, {plain}, {seasons}, {flag} FROM wide"
 
 
@@ -240,7 +240,7 @@ def chrono_split(spark, sf_dir):
 
 
 CHRONO_SPLIT_SQL = """
-WITH n AS (SELECT event_id, row_number() OVER (ORDER BY epoch_ms(ts), event_id) - 1 AS i, count(*) OVER () AS total FROM events)
+WITH n AS (SELECT event_id, row_number() OVER (ORDER BY (epoch_us(ts) // 1000), event_id) - 1 AS i, count(*) OVER () AS total FROM events)
 SELECT event_id, CASE WHEN i < trunc(total * (1 - 0.15::DOUBLE - 0.15::DOUBLE)) THEN 'train'
                       WHEN i < trunc(total * (1 - 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM n
 """
@@ -256,8 +256,8 @@ def row_index(spark, sf_dir):
 
 
 ROW_INDEX_SQL = """
-SELECT event_id, row_number() OVER (ORDER BY epoch_ms(ts), event_id) - 1 AS idx,
-       row_number() OVER (PARTITION BY event_type ORDER BY epoch_ms(ts), event_id) - 1 AS type_idx
+SELECT event_id, row_number() OVER (ORDER BY (epoch_us(ts) // 1000), event_id) - 1 AS idx,
+       row_number() OVER (PARTITION BY event_type ORDER BY (epoch_us(ts) // 1000), event_id) - 1 AS type_idx
 FROM events
 """
 
@@ -273,19 +273,19 @@ def sequences(spark, sf_dir):
     return made.select(
         "start_idx",
         F.size("x").alias("n_rows"),
-        F.round(total, 2).alias("total"),
+        tables.shown(total, 2).alias("total"),
         F.get(F.get("x", F.lit(0)), F.lit(1)).cast("bigint").alias("first_user"),
         F.get(F.get("x", F.lit(LENGTH - 1)), F.lit(1)).cast("bigint").alias("last_user"),
-        F.round(F.col("y").cast("double"), 2).alias("y"),
+        tables.shown(F.col("y").cast("double"), 2).alias("y"),
     )
 
 
 SEQUENCES_SQL = f"""
-WITH n AS (SELECT row_number() OVER (ORDER BY epoch_ms(ts), event_id) - 1 AS i, value, user_id FROM events),
+WITH n AS (SELECT row_number() OVER (ORDER BY (epoch_us(ts) // 1000), event_id) - 1 AS i, value, user_id FROM events),
 s AS (SELECT i - {LENGTH} AS start_idx, count(*) OVER w AS n_rows,
-             round(sum(CAST(CAST(value AS FLOAT) AS DOUBLE)) OVER w, 2) AS total,
+             round(sum(CAST(CAST(value AS FLOAT) AS DOUBLE)) OVER w + 1e-5, 2) AS total,
              first_value(user_id) OVER w AS first_user, last_value(user_id) OVER w AS last_user,
-             round(value, 2) AS y
+             round(value + 1e-5, 2) AS y
       FROM n WINDOW w AS (ORDER BY i ROWS BETWEEN {LENGTH} PRECEDING AND 1 PRECEDING))
 SELECT * FROM s WHERE n_rows = {LENGTH}
 """

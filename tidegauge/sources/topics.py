@@ -29,12 +29,12 @@ def read_topics(
 
 
 def read_message_files(
-    spark: SparkSession, path: str, max_bytes: str | None = None
+    spark: SparkSession, path: str, max_bytes: int | None = None
 ) -> DataFrame:
     """Stream of message texts from files with one message per line."""
     reader = spark.readStream.format("text")
     if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return message_texts(reader.load(path))
 
 
