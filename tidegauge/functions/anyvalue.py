@@ -8,44 +8,63 @@ from pyspark.sql import functions as F
 from tidegauge.functions.numbers import all_of
 
 
+def _let(value: Column, body) -> Column:
+    """Compute a value once and use it several times within one expression."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def float_text(number: Column) -> Column:
     """Text of a double the way the lake stores it: ``1e-05``, ``12345678.0``, ``nan``.
 
     Spark switches to exponents outside [1e-3, 1e7), the stored text outside [1e-4, 1e16), so the
     digits are laid out again from Spark's own text.
     """
-    text = number.cast("string")
-    magnitude = F.abs(number)
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    mantissa = F.regexp_extract(text, r"^-?([0-9.]+)E", 1)
-    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
-    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
-    whole = F.rpad(F.substring(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
-    rest = F.substring(digits, exponent + 2, F.length(digits))
-    plain_large = F.concat(sign, whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    plain_small = F.concat(sign, F.lit("0.000"), digits)
-    scientific = F.concat(
-        sign,
-        F.regexp_replace(mantissa, r"\.0$", ""),
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")),
-    )
-    return (
-        F.when(F.isnan(number), F.lit("nan"))
-        .when(magnitude == float("inf"), F.concat(sign, F.lit("inf")))
-        .when(~text.contains("E"), text)
-        .when((magnitude >= 1e7) & (magnitude < 1e16), plain_large)
-        .when((magnitude >= 1e-4) & (magnitude < 1e-3), plain_small)
-        .otherwise(scientific)
-    )
+
+    def from_text(text: Column) -> Column:
+        parts = F.struct(
+            F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+            F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)E", 1), r"\.0$", "").alias("mantissa"),
+            F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int").alias("exponent"),
+        )
+        return (
+            F.when(text == "NaN", F.lit("nan"))
+            .when(text.endswith("Infinity"), F.regexp_replace(text, "Infinity", "inf"))
+            .when(~text.contains("E"), text)
+            .otherwise(_let(parts, laid_out))
+        )
+
+    def laid_out(parts: Column) -> Column:
+        exponent = parts["exponent"]
+        digits = F.replace(parts["mantissa"], F.lit("."), F.lit(""))
+        whole = F.rpad(F.substring(digits, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
+        rest = F.substring(digits, exponent + 2, F.length(digits))
+        size = F.abs(exponent).cast("string")
+        body = (
+            F.when(
+                exponent.between(7, 15),
+                F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest)),
+            )
+            .when(exponent == -4, F.concat(F.lit("0.000"), digits))
+            .otherwise(
+                F.concat(
+                    parts["mantissa"],
+                    F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                    F.lpad(size, F.greatest(F.lit(2), F.length(size)), F.lit("0")),
+                )
+            )
+        )
+        return F.concat(parts["sign"], body)
+
+    return _let(number.cast("string"), from_text)
 
 
 def any_text(value: Column) -> Column:
     """Text of whichever alternative is set; NULL when none is."""
+    number = value["doubleValue"]
     return F.coalesce(
         value["stringValue"],
         value["intValue"],
-        float_text(value["doubleValue"].cast("double")),
+        F.when(number.isNotNull(), float_text(number.cast("double"))),
         F.when(value["boolValue"], F.lit("True")).when(~value["boolValue"], F.lit("False")),
         value["bytesValue"],
         value["arrayValue"],
@@ -87,14 +106,14 @@ def kv_strings(attributes: Column) -> Column:
     return F.coalesce(pairs, F.array().cast("array<struct<key:string,value:string>>"))
 
 
-def last_match(pairs: Column, key: str) -> Column:
-    """Value of the last pair with this key, NULL when there is none."""
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["value"]
-
-
 def first_match(pairs: Column, key: str) -> Column:
     """Value of the first pair with this key, NULL when there is none."""
-    return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(1))["value"]
+    return F.get(pairs["value"], (F.array_position(pairs["key"], key) - 1).cast("int"))
+
+
+def last_match(pairs: Column, key: str) -> Column:
+    """Value of the last pair with this key, NULL when there is none."""
+    return first_match(F.reverse(pairs), key)
 
 
 def kv_matches(pairs: Column, patterns: dict[str, str]) -> Column:

@@ -77,3 +77,13 @@ def check_aggregates(columns: dict[str, str]) -> None:
     for name, agg in columns.items():
         if agg not in AGGREGATES:
             raise ValueError(f"Unknown aggregation '{agg}' for column '{name}'")
+
+
+def unfold(df: DataFrame, carry: list, array: Column, name: str) -> DataFrame:
+    """One row per array element, for arrays that are costly to compute.
+
+    A plain ``explode`` makes the optimizer test size and NULL of its input first, and those tests
+    are pushed below the projection that parses the JSON, which is then parsed once per test. The
+    outer form adds no tests; its NULL rows are dropped behind it.
+    """
+    return df.select(*carry, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())

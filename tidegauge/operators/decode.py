@@ -17,9 +17,9 @@ from tidegauge.functions.anyvalue import (
     first_match,
     kv_strings,
     kv_texts,
-    last_match,
 )
 from tidegauge.functions.calendar import from_nanos
+from tidegauge.functions.numbers import unfold
 from tidegauge.operators.filters import allow_predicate, include_predicate
 
 _CORRUPT = "_corrupt"
@@ -81,7 +81,7 @@ def _nanos(text: Column) -> Column:
 
 
 def _explode_resources(messages: DataFrame, root: str, carry: tuple[str, ...]) -> DataFrame:
-    return messages.select(*carry, F.explode(f"message.{root}").alias("r"))
+    return unfold(messages, list(carry), F.col(f"message.{root}"), "r")
 
 
 def _explode_metrics(resources: DataFrame, carry: list[str]) -> DataFrame:
@@ -109,19 +109,26 @@ LAKE_KEYS = {
 _LAKE_COLUMNS = [*LAKE_KEYS, "host", "env", "resource_attributes"]
 
 
-def _filled(pairs: Column, key: str) -> Column:
-    return F.nullif(last_match(pairs, key), F.lit(""))
+def _listed(resources: DataFrame) -> DataFrame:
+    """Resource attributes as text pairs, and the same newest first: the last duplicate counts."""
+    pairs = kv_texts(F.col("r.resource.attributes"))
+    return resources.withColumn("resource_attributes", pairs).withColumn(
+        "_newest", F.reverse("resource_attributes")
+    )
 
 
 def _promote_metric_resource(resources: DataFrame) -> DataFrame:
-    """Promoted columns of a metric resource; the last duplicate key counts, '' falls through."""
-    listed = resources.withColumn("resource_attributes", kv_texts(F.col("r.resource.attributes")))
-    pairs = F.col("resource_attributes")
-    return listed.withColumns(
+    """Promoted columns of a metric resource; '' falls through to the second key."""
+    newest = F.col("_newest")
+
+    def filled(key: str) -> Column:
+        return F.nullif(first_match(newest, key), F.lit(""))
+
+    return _listed(resources).withColumns(
         {
-            **{c: last_match(pairs, key) for c, key in LAKE_KEYS.items()},
-            "host": F.coalesce(_filled(pairs, "host.name"), _filled(pairs, "host")),
-            "env": F.coalesce(_filled(pairs, "env"), _filled(pairs, "deployment.environment")),
+            **{c: first_match(newest, key) for c, key in LAKE_KEYS.items()},
+            "host": F.coalesce(filled("host.name"), filled("host")),
+            "env": F.coalesce(filled("env"), filled("deployment.environment")),
         }
     )
 
@@ -129,17 +136,15 @@ def _promote_metric_resource(resources: DataFrame) -> DataFrame:
 def _promote_log_resource(resources: DataFrame) -> DataFrame:
     """The same for logs, where the typed value decides: 0, false and '' fall through, and the
     second alternative stays as it is even when empty."""
-    typed = F.col("r.resource.attributes")
-    listed = resources.withColumn("resource_attributes", kv_texts(typed))
-    pairs = F.col("resource_attributes")
+    typed, newest = F.reverse("r.resource.attributes"), F.col("_newest")
 
     def either(first: str, second: str) -> Column:
-        is_set = F.coalesce(any_truthy(last_match(typed, first)), F.lit(False))
-        return F.when(is_set, last_match(pairs, first)).otherwise(last_match(pairs, second))
+        is_set = F.coalesce(any_truthy(first_match(typed, first)), F.lit(False))
+        return F.when(is_set, first_match(newest, first)).otherwise(first_match(newest, second))
 
-    return listed.withColumns(
+    return _listed(resources).withColumns(
         {
-            **{c: last_match(pairs, key) for c, key in LAKE_KEYS.items()},
+            **{c: first_match(newest, key) for c, key in LAKE_KEYS.items()},
             "host": either("host.name", "host"),
             "env": either("env", "deployment.environment"),
         }
@@ -276,3 +281,10 @@ def has_metrics(message: Column) -> Column:
         ),
     )
     return F.coalesce(found, F.lit(False))
+
+
+def publishable(parsed: DataFrame) -> DataFrame:
+    """Messages with a metric as JSON texts in ``value``; the others are skipped."""
+    message = F.col("message")
+    kept = F.when(has_metrics(message), F.array(serialize(message)))
+    return unfold(parsed, [], kept, "value")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
+from tidegauge.functions.numbers import unfold
 
 _MS_TO_NS = 1_000_000
 _NO_FRAMES = (
@@ -47,38 +48,31 @@ def to_series(
     """
     if on_error not in ("drop", "raise"):
         raise ValueError(f"on_error must be 'drop' or 'raise', not '{on_error}'")
-    frames = frames_of(F.col("results"), ref_id)
-    values = values_of(F.col("results"), ref_id)
-    times, points = F.get(values, F.lit(0)), F.get(values, F.lit(1))
-    two_columns = F.size(values) == 2
-    same_length = F.size(times) == F.size(points)
-    no_nulls = ~F.exists(times, lambda t: t.isNull()) & ~F.exists(points, lambda v: v.isNull())
-    checked = responses.select(
-        query_id.alias("query_id"),
-        (F.size(frames) > 0).alias("has_frames"),
-        two_columns.alias("two_columns"),
-        (two_columns & same_length & no_nulls).alias("valid"),
-        times.alias("times"),
-        points.alias("points"),
-    ).filter("has_frames")
+    frame = responses.select(
+        query_id.alias("query_id"), values_of(F.col("results"), ref_id).alias("columns"),
+        F.size(frames_of(F.col("results"), ref_id)).alias("n_frames"),
+    )
+    columns = F.col("columns")
+    times, points = F.get(columns, F.lit(0)), F.get(columns, F.lit(1))
+    two_columns = F.size(columns) == 2
+    valid = F.coalesce(
+        two_columns
+        & (F.size(times) == F.size(points))
+        & ~F.exists(times, lambda t: t.isNull())
+        & ~F.exists(points, lambda v: v.isNull()),
+        F.lit(False),
+    )
+    pairs = F.when(valid, F.arrays_zip(times.alias("t"), points.alias("v")))
     if on_error == "raise":
-        reason = F.when(
-            ~F.col("two_columns"), F.lit("expected 2 columns (timestamp, value)")
-        ).otherwise(F.lit("timestamps and values differ in length or hold NULL"))
+        reason = F.when(~two_columns, F.lit("expected 2 columns (timestamp, value)")).otherwise(
+            F.lit("timestamps and values differ in length or hold NULL")
+        )
         message = F.concat(F.lit("Query '"), F.col("query_id"), F.lit("': "), reason)
-        checked = checked.withColumn(
-            "times",
-            F.when(F.coalesce(F.col("valid"), F.lit(False)), F.col("times")).otherwise(
-                F.raise_error(message).cast("array<double>")
-            ),
+        pairs = pairs.when(
+            F.col("n_frames") > 0, F.raise_error(message).cast("array<struct<t:double,v:double>>")
         )
-    else:
-        checked = checked.filter("valid")
-    pairs = checked.select("query_id", F.explode(F.arrays_zip("times", "points")).alias("p"))
-    return pairs.select(
-        "query_id",
-        F.col("p.times").cast("bigint").alias("timestamp"),
-        F.col("p.points").alias("value"),
+    return unfold(frame, ["query_id"], pairs, "p").select(
+        "query_id", F.col("p.t").cast("bigint").alias("timestamp"), F.col("p.v").alias("value")
     )
 
 
@@ -97,10 +91,10 @@ def _labels(frame: Column) -> Column:
 
 def to_gauge_points(responses: DataFrame, name: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Flat gauge points of all frames: ref_id, metric name, nanoseconds, value, attributes."""
-    refs = responses.select(*carry, F.explode("results").alias("ref_id", "result"))
-    frames = refs.select(*carry, "ref_id", F.explode("result.frames").alias("frame")).filter(
-        _usable(F.col("frame"))
-    )
+    refs = unfold(responses, list(carry), F.map_entries("results"), "ref")
+    frames = refs.select(
+        *carry, F.col("ref.key").alias("ref_id"), F.explode("ref.value.frames").alias("frame")
+    ).filter(_usable(F.col("frame")))
     values = F.col("frame.data.values")
     zipped = F.arrays_zip(
         F.get(values, F.lit(0)).alias("t"), F.get(values, F.lit(1)).alias("v")

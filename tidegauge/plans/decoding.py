@@ -119,9 +119,7 @@ def otlp_publishable(spark, sf_dir):
     metrics = tables.otlp_messages(spark, sf_dir).select("value")
     logs = tables.otlp_log_messages(spark, sf_dir).select("value")
     parsed = decode.parse_messages(metrics.unionByName(logs))
-    texts = parsed.filter(decode.has_metrics(F.col("message"))).select(
-        decode.serialize(F.col("message")).alias("value")
-    )
+    texts = decode.publishable(parsed)
     first = "$.resourceMetrics[0].scopeMetrics[0].metrics[0]"
     return texts.select(
         F.get_json_object("value", f"{first}.name").alias("name"),

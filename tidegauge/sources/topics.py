@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators.decode import has_metrics, serialize
-
 
 def read_topics(
     spark: SparkSession,
@@ -48,13 +46,6 @@ def as_messages(records: DataFrame) -> DataFrame:
     return records.select(F.to_json(F.struct(*records.columns)).alias("value"))
 
 
-def publishable(messages: DataFrame, message: str = "message") -> DataFrame:
-    """Nested messages as JSON texts; those without any metric are skipped."""
-    return messages.filter(has_metrics(F.col(message))).select(
-        serialize(F.col(message)).alias("value")
-    )
-
-
 def write_topic(texts: DataFrame, brokers: str, topic: str, checkpoint: str | None = None):
     """Write a ``value`` column to a topic, as a batch or as a stream (needs the Kafka connector)."""
     if not texts.isStreaming:
