@@ -127,7 +127,8 @@ def lagged_features(
 
     lag_shifts = _lag_shifts(columns, lags, step_seconds)
     w = block_window(keys)
-    blocks = in_row_blocks(indexed, max([2, *[rows for _, rows in lag_shifts.values()]]))
+    reach = max([2, *[rows for _, rows in lag_shifts.values()]])
+    blocks = in_row_blocks(indexed, reach, keys=keys)
     lag_columns = {name: F.lag(c, rows).over(w) for name, (c, rows) in lag_shifts.items()}
     means = [f"{c}_mean_{width}i" for width in widths for c in columns]
     stds = [f"{c}_std_{width}i" for width in widths for c in columns]

@@ -17,7 +17,7 @@ INDEX = "row_idx"
 _BLOCK = "_block"
 _HOME = "_home"
 # Rows of one block; a block is the unit a window task sorts.
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 16_384
 # monotonically_increasing_id: partition number above, row number in the lower 33 bits.
 _ID_BITS = 33
 
@@ -70,8 +70,22 @@ def with_row_index(
     return joined.select(*df.columns, (F.col("_offset") + F.col("_shift")).alias(index))
 
 
+def spread_blocks(df: DataFrame, *columns: str) -> DataFrame:
+    """Shuffle blocks over all shuffle partitions.
+
+    Window work is heavy for its bytes. Left to itself the planner would join partitions by size
+    and run many blocks in few tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *columns)
+
+
 def in_row_blocks(
-    df: DataFrame, reach: int, index: str = INDEX, block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    reach: int,
+    index: str = INDEX,
+    block_rows: int = BLOCK_ROWS,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Copy each row to its own block and to the block whose first rows look back at it.
 
@@ -80,9 +94,13 @@ def in_row_blocks(
     rows = max(block_rows, 4 * reach)
     home = floor_div(F.col(index), rows)
     last = floor_div(F.col(index) + reach, rows)
-    return df.withColumn("_own", home).withColumn(
-        _BLOCK, F.explode(F.sequence(home, last))
-    ).withColumn(_HOME, F.col("_own") == F.col(_BLOCK)).drop("_own")
+    copies = (
+        df.withColumn("_own", home)
+        .withColumn(_BLOCK, F.explode(F.sequence(home, last)))
+        .withColumn(_HOME, F.col("_own") == F.col(_BLOCK))
+        .drop("_own")
+    )
+    return spread_blocks(copies, *keys, _BLOCK)
 
 
 def block_window(keys: tuple[str, ...] = (), index: str = INDEX):
@@ -106,7 +124,7 @@ def shift_rows(
     """
     reach = max(rows for _, rows in shifts.values())
     w = block_window(keys, index)
-    moved = in_row_blocks(df, reach, index, block_rows).withColumns(
+    moved = in_row_blocks(df, reach, index, block_rows, keys).withColumns(
         {name: F.lag(c, rows).over(w) for name, (c, rows) in shifts.items()}
     )
     return only_home(moved)
@@ -237,6 +255,7 @@ def sequences(
         length,
         index,
         block_rows,
+        keys,
     )
     windows = only_home(blocks.withColumn("x", F.collect_list("_x").over(w)))
     return windows.filter(F.size("x") == length).select(

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.numbers import floor_div
-from tidegauge.operators.ordering import INDEX, shift_rows, with_row_index
+from tidegauge.operators.ordering import shift_rows, spread_blocks, with_row_index
 
 _BLOCK = "_time_block"
 _HOME = "_in_home"
@@ -29,21 +29,24 @@ _HOME = "_in_home"
 MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 
 
-def in_time_blocks(df: DataFrame, width: int, block_ms: int, ts: str) -> DataFrame:
+def in_time_blocks(
+    df: DataFrame, width: int, block_ms: int, ts: str, keys: tuple[str, ...] = ()
+) -> DataFrame:
     """Copy each row to every block in which a frame of ``width`` can reach back to it."""
     own = floor_div(F.col(ts), block_ms)
     last = floor_div(F.col(ts) + (width - 1), block_ms)
-    return (
+    copies = (
         df.withColumn("_own", own)
         .withColumn(_BLOCK, F.explode(F.sequence(own, last)))
         .withColumn(_HOME, F.col("_own") == F.col(_BLOCK))
         .drop("_own")
     )
+    return spread_blocks(copies, *keys, _BLOCK)
 
 
 def block_length(width: int) -> int:
-    """Blocks of four widths: a quarter of the rows is copied."""
-    return 4 * width
+    """Blocks of four widths, so that a quarter of the rows is copied, but not below a day."""
+    return max(4 * width, DAY)
 
 
 def width_groups(widths: list[int]) -> list[list[int]]:
@@ -155,7 +158,7 @@ def rolling_statistics(
     kept = list(df.columns)
     for group in width_groups(widths):
         width = max(group)
-        blocks = in_time_blocks(df, width, block_length(width), ts)
+        blocks = in_time_blocks(df, width, block_length(width), ts, keys)
         kept += [f"{c}_{stat}_{w}i" for stat in statistics for w in group for c in columns]
         frames = _moving_frames if width <= HOUR else _growing_frames
         df = frames(blocks, columns, group, keys, ts).select(*kept)
@@ -183,7 +186,7 @@ def rolling_quantile(
     """
     for group in width_groups(widths):
         width = max(group)
-        blocks = in_time_blocks(df, width, block_length(width), ts)
+        blocks = in_time_blocks(df, width, block_length(width), ts, keys)
         names = _quantile_names(columns, group, label)
         schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
         grouped = blocks.groupBy(*keys, _BLOCK)

@@ -20,7 +20,8 @@ def _run_root(spark, name):
 
 
 def _message_files(spark, texts, root):
-    texts.select("value").write.text(root)
+    # Several files, so that the stream has several batches to take.
+    texts.select("value").write.option("maxRecordsPerFile", 50_000).text(root)
     return root
 
 
@@ -29,7 +30,7 @@ def stream_ingest(spark, sf_dir):
     root = _run_root(spark, "ingest")
     texts = tables.otlp_messages(spark, sf_dir).select("value")
     files = _message_files(spark, texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes=1_000_000)
+    stream = topics.read_message_files(spark, files, max_bytes=64_000_000)
     sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
     ingest.ingest(stream, sink, f"{root}/offsets").awaitTermination()
     rows = lake.read_rows(spark, f"{root}/lake/metrics")
