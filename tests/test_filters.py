@@ -82,9 +82,9 @@ def test_log_rules(spark):
     data = [
         ("alloy", "level=info started", []),
         ("alloy", "information only", []),
-        ("dl", "x", [("level", "INFO")]),
-        ("dl", "info", [("level", "warn")]),
-        ("dl", None, []),
+        ("web", "x", [("level", "INFO")]),
+        ("web", "info", [("level", "warn")]),
+        ("web", None, []),
     ]
     df = spark.createDataFrame(
         data, "service_name string, line string, attributes array<struct<key:string,value:string>>"
@@ -96,7 +96,7 @@ def test_log_rules(spark):
     assert lines([{"service_name": "alloy"}]) == ["level=info started", "information only"]
     assert lines([{"level": "info"}]) == ["level=info started", "x"]
     assert lines([{"contains": "info"}]) == ["level=info started", "information only", "info"]
-    assert lines([{"service_name": "dl", "level": "info"}, {"contains": "only"}]) == ["information only", "x"]
+    assert lines([{"service_name": "web", "level": "info"}, {"contains": "only"}]) == ["information only", "x"]
     assert len(lines([])) == 5
 
 

@@ -111,7 +111,8 @@ def write_batch(rows: DataFrame, root: str, batch: str) -> None:
 def read_rows(spark: SparkSession, root: str, kind: str = "metrics") -> DataFrame:
     """Read a path-based table in the current row layout; columns a file lacks read as NULL."""
     fields = [*TABLES[kind].fields, T.StructField(DAY, T.DateType())]
-    return spark.read.schema(T.StructType(fields)).parquet(root)
+    rows = spark.read.schema(T.StructType(fields)).parquet(root)
+    return rows.select(*[f.name for f in fields])
 
 
 def read_recent(
