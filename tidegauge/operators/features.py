@@ -116,19 +116,19 @@ def lagged_features(
 ) -> DataFrame:
     """Lags, rolling means and deviations of the rows before, differences, ratios and z-scores.
 
-    Rolling statistics come first, unshifted and in time blocks. One row index and one pass over
-    row blocks then does every shift at once: the lags, the one-row shift of each statistic and
-    the second shift inside the delta of the 1 h mean.
+    The rows are indexed while the frame is still narrow. Rolling statistics follow, unshifted and
+    in time blocks. One pass over row blocks then does every shift at once: the lags, the one-row
+    shift of each statistic and the second shift inside the delta of the 1 h mean.
     """
     lags = LAGS if lags is None else lags
     widths = WIDTHS if widths is None else widths
-    rolled = rolling_statistics(df, columns, widths, ("mean", "std"), keys, ts)
-    indexed = with_row_index(rolled, (ts,), keys)
+    indexed = with_row_index(df, (ts,), keys)
+    rolled = rolling_statistics(indexed, columns, widths, ("mean", "std"), keys, ts)
 
     lag_shifts = _lag_shifts(columns, lags, step_seconds)
     w = block_window(keys)
     reach = max([2, *[rows for _, rows in lag_shifts.values()]])
-    blocks = in_row_blocks(indexed, reach, keys=keys)
+    blocks = in_row_blocks(rolled, reach, keys=keys)
     lag_columns = {name: F.lag(c, rows).over(w) for name, (c, rows) in lag_shifts.items()}
     means = [f"{c}_mean_{width}i" for width in widths for c in columns]
     stds = [f"{c}_std_{width}i" for width in widths for c in columns]

@@ -165,7 +165,7 @@ def rolling_statistics(
     return df
 
 
-def _quantile_names(columns: list[str], widths: list[int], label: str) -> list[str]:
+def _names(columns: list[str], widths: list[int], label: str) -> list[str]:
     return [f"{c}_{label}_{w}i" for w in widths for c in columns]
 
 
@@ -187,7 +187,7 @@ def rolling_quantile(
     for group in width_groups(widths):
         width = max(group)
         blocks = in_time_blocks(df, width, block_length(width), ts, keys)
-        names = _quantile_names(columns, group, label)
+        names = _names(columns, group, label)
         schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
         grouped = blocks.groupBy(*keys, _BLOCK)
         df = grouped.applyInPandas(_quantiles_of_block(columns, group, q, label, ts, schema), schema)
@@ -223,31 +223,42 @@ def _quantiles_of_block(columns, widths, q, label, ts, schema):
     return run
 
 
-def _shifted(df: DataFrame, made: list[str], keys: tuple[str, ...], ts: str) -> DataFrame:
-    """Move the made columns down one row, so that a row never sees itself."""
-    columns = [c for c in df.columns if c not in made]
-    indexed = with_row_index(df, (ts,), keys)
-    moved = shift_rows(indexed, {f"_{c}_moved": (c, 1) for c in made}, keys)
-    return moved.select(*columns, *[F.col(f"_{c}_moved").alias(c) for c in made])
+def _rolled_and_moved(df, names, roll, keys, ts) -> DataFrame:
+    """Run ``roll`` on the indexed frame and move its columns down one row, so that a row never
+    sees itself. The index is made first, while the frame is narrow: its range sort reads its
+    input twice."""
+    rolled = roll(with_row_index(df, (ts,), keys))
+    moved = shift_rows(rolled, {f"_{c}_moved": (c, 1) for c in names}, keys)
+    return moved.select(*df.columns, *[F.col(f"_{c}_moved").alias(c) for c in names])
 
 
 def rolling_mean(df, columns, widths, keys=(), ts="timestamp") -> DataFrame:
     """Rolling means of the rows before: ``{column}_mean_{width}i``."""
-    made = [f"{c}_mean_{w}i" for w in widths for c in columns]
-    return _shifted(rolling_statistics(df, columns, widths, ("mean",), keys, ts), made, keys, ts)
+    names = _names(columns, widths, "mean")
+    return _rolled_and_moved(
+        df, names, lambda x: rolling_statistics(x, columns, widths, ("mean",), keys, ts), keys, ts
+    )
 
 
 def rolling_std(df, columns, widths, keys=(), ts="timestamp") -> DataFrame:
     """Rolling sample deviations of the rows before: ``{column}_std_{width}i``."""
-    made = [f"{c}_std_{w}i" for w in widths for c in columns]
-    return _shifted(rolling_statistics(df, columns, widths, ("std",), keys, ts), made, keys, ts)
+    names = _names(columns, widths, "std")
+    return _rolled_and_moved(
+        df, names, lambda x: rolling_statistics(x, columns, widths, ("std",), keys, ts), keys, ts
+    )
 
 
 def rolling_p50(df, columns, widths, keys=(), ts="timestamp") -> DataFrame:
-    made = _quantile_names(columns, widths, "p50")
-    return _shifted(rolling_quantile(df, columns, widths, 0.5, "p50", keys, ts), made, keys, ts)
+    """Rolling medians of the rows before: ``{column}_p50_{width}i``."""
+    names = _names(columns, widths, "p50")
+    return _rolled_and_moved(
+        df, names, lambda x: rolling_quantile(x, columns, widths, 0.5, "p50", keys, ts), keys, ts
+    )
 
 
 def rolling_p90(df, columns, widths, keys=(), ts="timestamp") -> DataFrame:
-    made = _quantile_names(columns, widths, "p90")
-    return _shifted(rolling_quantile(df, columns, widths, 0.9, "p90", keys, ts), made, keys, ts)
+    """Rolling 0.9-quantiles, nearest rank, of the rows before: ``{column}_p90_{width}i``."""
+    names = _names(columns, widths, "p90")
+    return _rolled_and_moved(
+        df, names, lambda x: rolling_quantile(x, columns, widths, 0.9, "p90", keys, ts), keys, ts
+    )
