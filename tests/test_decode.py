@@ -247,3 +247,21 @@ def test_json_is_parsed_once(spark):
     parsed = decode.parse_messages(texts(spark, golden()).repartition(1))
     plan = decode.flatten_metrics(parsed)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_field_names_of_the_definition(spark):
+    message = metrics_message({"service.name": "a"}, [metric("m", "gauge", [point(asDouble=2.0, attributes={"resource_metrics": "as_int"})])])
+    renamed = {
+        "resourceMetrics": "resource_metrics",
+        "scopeMetrics": "scope_metrics",
+        "dataPoints": "data_points",
+        "timeUnixNano": "time_unix_nano",
+        "asDouble": "as_double",
+        "stringValue": "string_value",
+    }
+    snake = message
+    for camel, name in renamed.items():
+        snake = snake.replace(f'"{camel}"', f'"{name}"')
+    rows = lake(spark, message, snake).collect()
+    assert len(rows) == 2 and rows[0] == rows[1]
+    assert pairs(rows[0]["attributes"]) == [("resource_metrics", "as_int")]

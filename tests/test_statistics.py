@@ -115,6 +115,9 @@ def test_range_functions_against_brute_force(spark, step):
     for t in sorted(rng.sample(range(0, 2_000_000, 500), 150)):
         value = 0.5 if rng.random() < 0.1 else value + rng.random()
         points.append((t, value))
+        if rng.random() < 0.1:
+            value += rng.choice([0.0, 0.25])
+            points.append((t, value))
     df = spark.createDataFrame([("s", t, v) for t, v in points], "series string, timestamp long, value double")
     means = {r["timestamp"]: r["value"] for r in ranges.avg_over_time(df, ("series",), 60_000, step).collect()}
     assert means == pytest.approx(

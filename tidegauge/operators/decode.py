@@ -24,7 +24,48 @@ from tidegauge.operators.filters import allow_predicate, include_predicate
 
 _CORRUPT = "_corrupt"
 # A point or record time that is not a number would fail the cast below.
-_BAD_TIME = r'"(observedT|t)imeUnixNano"\s*:\s*("[^"]*[^0-9"][^"]*"|""|[^"0-9\s])'
+_BAD_TIME = r'"(observedT|t|observed_t)ime(UnixNano|_unix_nano)"\s*:\s*("[^"]*[^0-9"][^"]*"|""|[^"0-9\s])'
+
+
+# Field names of the protocol as its definition spells them.
+_PROTO_NAMES = [
+    "resource_metrics",
+    "scope_metrics",
+    "data_points",
+    "exponential_histogram",
+    "time_unix_nano",
+    "as_double",
+    "as_int",
+    "resource_logs",
+    "scope_logs",
+    "log_records",
+    "observed_time_unix_nano",
+    "string_value",
+    "int_value",
+    "double_value",
+    "bool_value",
+    "bytes_value",
+    "array_value",
+    "kvlist_value",
+]
+
+
+def _camel(name: str) -> str:
+    first, *rest = name.split("_")
+    return first + "".join(word.capitalize() for word in rest)
+
+
+def _camel_names(text: Column) -> Column:
+    """Rename the keys of messages written with the definition's own field names.
+
+    A key is an unescaped quoted name with a colon behind it, so values are never touched. Only
+    messages whose root is spelled that way pay for the renaming.
+    """
+    renamed = text
+    for name in _PROTO_NAMES:
+        renamed = F.regexp_replace(renamed, rf'(?<!\\)"{name}"\s*:', f'"{_camel(name)}":')
+    spelled = F.contains(text, F.lit('"resource_metrics"')) | F.contains(text, F.lit('"resource_logs"'))
+    return F.when(spelled, renamed).otherwise(text)
 
 
 def parse_messages(df: DataFrame, on_error: str = "fail", value: str = "value") -> DataFrame:
@@ -34,15 +75,16 @@ def parse_messages(df: DataFrame, on_error: str = "fail", value: str = "value")
     ``is_bad`` flag and :func:`split_bad` parts them. NULL texts are dropped.
     """
     rows = df.filter(F.col(value).isNotNull())
+    text = _camel_names(F.col(value))
     if on_error == "fail":
         return rows.withColumn(
-            "message", F.from_json(value, schemas.OTLP_MESSAGE, {"mode": "FAILFAST"})
+            "message", F.from_json(text, schemas.OTLP_MESSAGE, {"mode": "FAILFAST"})
         )
     if on_error != "quarantine":
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not '{on_error}'")
     layout = T.StructType([*schemas.OTLP_MESSAGE.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = rows.withColumn(
-        "message", F.from_json(value, layout, {"columnNameOfCorruptRecord": _CORRUPT})
+        "message", F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
     )
     return parsed.withColumn(
         "is_bad", F.col(f"message.{_CORRUPT}").isNotNull() | F.col(value).rlike(_BAD_TIME)

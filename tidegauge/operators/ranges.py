@@ -92,29 +92,40 @@ def rate(
     """Increase per second of a counter, per series and step with two samples in the range.
 
     A drop counts as a restart from 0. The increase is not stretched to the edges of the range.
-    Neighbours matter only within one range, so series are cut into time blocks with one range of
-    look-back instead of being sorted whole.
+    Samples of one timestamp count as rising, so they are folded to their lowest and highest value
+    first. Neighbours matter only within one range: series are cut into time blocks with one range
+    of look-back instead of being sorted whole.
     """
     _check(range_ms, step_ms)
     block_ms = 30 * range_ms
+    moments = (
+        samples.filter(F.col(value).isNotNull())
+        .groupBy(*series, ts)
+        .agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"))
+    )
     own = floor_div(F.col(ts), block_ms)
-    blocks = samples.select(
-        *series, ts, value, own.alias("_own"),
+    blocks = moments.select(
+        "*",
+        own.alias("_own"),
         F.explode(F.sequence(own, floor_div(F.col(ts) + (range_ms - 1), block_ms))).alias("_block"),
     )
-    w = Window.partitionBy(*series, "_block").orderBy(ts, value)
-    pairs = (
-        blocks.withColumn("_before", F.lag(value).over(w))
-        .withColumn("_before_ts", F.lag(ts).over(w))
-        .filter((F.col("_own") == F.col("_block")) & (F.col("_before_ts") > F.col(ts) - range_ms))
+    w = Window.partitionBy(*series, "_block").orderBy(ts)
+    before, low, high = F.col("_before"), F.col("_low"), F.col("_high")
+    rows = blocks.withColumns(
+        {"_before": F.lag("_high").over(w), "_before_ts": F.lag(ts).over(w)}
+    ).filter(F.col("_own") == F.col("_block"))
+    step = F.when(low >= before, low - before).otherwise(low)
+    # (since, increase): the increase counts in ranges that reach back to ``since``.
+    changes = F.array(
+        F.struct(F.col("_before_ts").alias("since"), step.alias("grown")),
+        F.struct(F.when(F.col("_n") > 1, F.col(ts)).alias("since"), (high - low).alias("grown")),
     )
-    grown = F.when(F.col(value) >= F.col("_before"), F.col(value) - F.col("_before")).otherwise(
-        F.col(value)
+    increases = rows.select(*series, ts, F.explode(changes).alias("c")).select(
+        *series,
+        step_at_or_after(F.col(ts), step_ms).alias("_first"),
+        floor_to(F.col("c.since") + (range_ms - 1), step_ms).alias("_last"),
+        F.col("c.grown").alias("_grown"),
     )
-    # Both samples of the pair are in the range of step t when ts <= t < before + range.
-    first = step_at_or_after(F.col(ts), step_ms)
-    last = floor_to(F.col("_before_ts") + (range_ms - 1), step_ms)
-    increases = pairs.select(*series, first.alias("_first"), last.alias("_last"), grown.alias("_grown"))
     folded = (
         increases.filter(F.col("_first") <= F.col("_last"))
         .groupBy(*series, "_first", "_last")

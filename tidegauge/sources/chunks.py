@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,20 +22,24 @@ def write_chunks(df: DataFrame, root: str, ts: str = "timestamp", gate: bool = T
     """Write sorted chunks, replacing only the days the frame holds.
 
     The gate refuses frames with NULL or NaN. Rows are range-partitioned by day and time, which
-    sorts the files and also cuts a large day into several.
+    sorts the files and also cuts a large day into several. Gate, range sampling and write each
+    read the frame, so it is kept on the executors' disks meanwhile.
     """
-    if gate:
-        require_clean(df)
-    (
-        with_chunk_date(df, ts)
-        .repartitionByRange(CHUNK, ts)
-        .sortWithinPartitions(CHUNK, ts)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(CHUNK)
-        .option("compression", "snappy")
-        .parquet(root)
-    )
+    dated = with_chunk_date(df, ts).persist(StorageLevel.DISK_ONLY)
+    try:
+        if gate:
+            require_clean(dated)
+        (
+            dated.repartitionByRange(CHUNK, ts)
+            .sortWithinPartitions(CHUNK, ts)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(CHUNK)
+            .option("compression", "snappy")
+            .parquet(root)
+        )
+    finally:
+        dated.unpersist()
 
 
 def _read(spark: SparkSession, root: str) -> DataFrame:
