@@ -118,13 +118,27 @@ def _model_frame(spark, sf_dir):
     return ordering.shift_rows(indexed, lags).drop(ordering.INDEX).checkpoint()
 
 
+def forest(spark, sf_dir):
+    return learn.train_forest(_model_frame(spark, sf_dir), tables.TARGET, n_trees=8, max_depth=4)[1]
+
+
+def boosted(spark, sf_dir):
+    return learn.train_boosted(_model_frame(spark, sf_dir), tables.TARGET, n_trees=5, max_depth=3)[1]
+
+
+def seasonal_regression(spark, sf_dir):
+    return learn.train_seasonal(_model_frame(spark, sf_dir), tables.TARGET, list(tables.WIDE))[1]
+
+
 def model_table(spark, sf_dir):
     """The three forecasters on the same frame, one row of measures each."""
     frame = _model_frame(spark, sf_dir)
-    _, forest = learn.train_forest(frame, tables.TARGET, n_trees=8, max_depth=4)
-    _, boosted = learn.train_boosted(frame, tables.TARGET, n_trees=5, max_depth=3)
-    _, seasonal = learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))
-    return learn.evaluation_table([forest, boosted, seasonal])
+    scores = [
+        learn.train_forest(frame, tables.TARGET, n_trees=8, max_depth=4)[1],
+        learn.train_boosted(frame, tables.TARGET, n_trees=5, max_depth=3)[1],
+        learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1],
+    ]
+    return learn.evaluation_table(scores)
 
 
 def sequence_training_table(spark, sf_dir):
@@ -144,6 +158,9 @@ QUERIES = {
     "clip": (clipped, CLIPPED_SQL),
     "eval_metrics": (eval_metrics, EVAL_METRICS_SQL),
     "ensemble_mean": (ensemble_mean, ENSEMBLE_MEAN_SQL),
+    "forest": (forest, None),
+    "boosted": (boosted, None),
+    "seasonal_regression": (seasonal_regression, None),
     "model_table": (model_table, None),
     "sequence_training_table": (sequence_training_table, None),
 }

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidegauge.functions.anyvalue import last_match
-from tidegauge.operators.clean import drop_null_rows
-from tidegauge.plans import decoding, grid, tables
+from tidegauge.operators import filters
+from tidegauge.operators.clean import count_rows, drop_null_rows
+from tidegauge.plans import decoding, filtering, grid, tables
 from tidegauge.session import checkpoint_root
 from tidegauge.sources import lake, topics
 from tidegauge.streaming import ingest
@@ -153,7 +154,59 @@ FROM events WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY
 """
 
 
+def lake_tables(spark, sf_dir):
+    """Catalog tables created, filled, extended by a column and filled again; then dropped from the
+    catalog, and their files read by path."""
+    root = _run_root(spark, "tables")
+    namespace = f"lake_{uuid.uuid4().hex}"
+    lake.create_tables(spark, namespace, location=root)
+    rows = tables.metric_rows(spark, sf_dir)
+    old, new = rows.filter(F.col("__name__") != "view"), rows.filter(F.col("__name__") == "view")
+    lake.append_table(old.drop("event_id"), namespace, "metrics")
+    lake.add_columns(spark, namespace, "metrics", {"zone": "STRING"})
+    lake.append_table(new.drop("event_id").withColumn("zone", F.lit("z")), namespace, "metrics")
+    schema = spark.table(f"{namespace}.metrics").schema
+    for name in lake.TABLES:
+        lake.drop_table(spark, namespace, name, purge=False)
+    lake.drop_namespace(spark, namespace)
+    stored = spark.read.schema(schema).parquet(f"{root}/metrics")
+    return stored.select(
+        F.unix_micros("timestamp").alias("ts_us"),
+        F.col("__name__").alias("name"),
+        "value",
+        "zone",
+        F.date_format(lake.DAY, "yyyy-MM-dd").alias("day"),
+    )
+
+
+LAKE_TABLES_SQL = """
+SELECT epoch_us(ts) AS ts_us, event_type AS name, value, CASE WHEN event_type = 'view' THEN 'z' END AS zone,
+       strftime(ts, '%Y-%m-%d') AS day
+FROM events
+"""
+
+
+def row_counters(spark, sf_dir):
+    """Rows seen, kept and filtered by the include rules, counted while the rows pass."""
+    rows = tables.metric_rows(spark, sf_dir)
+    counted, seen = count_rows(rows, "include", kept=filters.include_predicate(filtering.INCLUDE))
+    counted.write.format("noop").mode("overwrite").save()
+    found = seen.get
+    return spark.createDataFrame(
+        [(found["rows"], found["kept_rows"], found["filtered_rows"])],
+        "n_rows bigint, kept_rows bigint, filtered_rows bigint",
+    )
+
+
+ROW_COUNTERS_SQL = f"""
+WITH kept AS ({filtering.METRIC_INCLUDE_SQL}), n AS (SELECT count(*) AS n FROM events), k AS (SELECT count(*) AS k FROM kept)
+SELECT n AS n_rows, k AS kept_rows, n - k AS filtered_rows FROM n, k
+"""
+
+
 QUERIES = {
+    "lake_tables": (lake_tables, LAKE_TABLES_SQL),
+    "row_counters": (row_counters, ROW_COUNTERS_SQL),
     "stream_ingest": (stream_ingest, STREAM_INGEST_SQL),
     "stream_ingest_logs": (stream_ingest_logs, STREAM_INGEST_LOGS_SQL),
     "stream_records": (stream_records, STREAM_RECORDS_SQL),

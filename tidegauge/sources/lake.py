@@ -27,7 +27,9 @@ def create_tables(
 
     ``iceberg`` partitions by ``days(timestamp)`` itself; ``parquet`` keeps the day as a column.
     """
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(namespace)}")
+    # Dropping a namespace may delete its own folder, so tables with a location stay outside of it.
+    home = f" LOCATION '{location}/_namespace'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quoted(namespace)}{home}")
     for name, schema in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         if provider == "iceberg":
