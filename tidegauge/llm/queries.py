@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import packing, sentence_pieces, token_counts
+from tidegauge.llm import (
+    fingerprints,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    neighbours,
+    packing,
+    quotation_threads,
+    sentence_pieces,
+    sharding,
+    token_counts,
+)
 
 QUERIES = {
     "op1_token_counts": token_counts.query,
+    "op2_jaccard_join": jaccard_join.query,
+    "op3_quotation_threads": quotation_threads.query,
     "op4_sentence_pieces": sentence_pieces.query,
     "op5_packing": packing.query,
+    "op6_fingerprints": fingerprints.query,
+    "op7_sharding": sharding.query,
+    "op8_neighbours": neighbours.query,
+    "op9_line_dedup": line_dedup.query,
+    "op10_language_id": language_id.query,
+}
+ORACLES = {
+    "op3_quotation_threads": quotation_threads.SQL,
+    "op7_sharding": sharding.SQL,
+    "op9_line_dedup": line_dedup.SQL,
 }
-ORACLES: dict[str, str] = {}
