@@ -35,8 +35,9 @@ SAMPLE_ROWS = 1600
 LANDMARKS_PER_LANG = 60
 RIDGE = 1e-3
 UNKNOWN = "und"
-# Below this score the outputs of the best two languages are as good as equal.
-MIN_SCORE = 0.01
+SHARPNESS = 6.0
+# Two languages with equal outputs have at most 0.5 each; below this score no language stands out.
+MIN_SCORE = 0.4
 _LETTER = re.compile(r"[^\W\d_]").search
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], "u4")
 _SHIFT = np.uint32(32 - SLOT_BITS)
@@ -85,11 +86,10 @@ class Model:
                 held = presence.slots(text)
                 values[k] = table[row_of[held]].sum(axis=0, dtype="f8") / max(1.0, len(held)) ** 0.5
         best = values.argmax(axis=1)
-        ordered = np.sort(values, axis=1)
-        top = ordered[:, -1]
-        second = ordered[:, -2] if values.shape[1] > 1 else np.zeros(len(texts))
-        # distance of the best two outputs, relative to their size
-        score = np.clip((top - second) / np.maximum(np.abs(top) + np.abs(second), 1e-12), 0, 1)
+        # a soft maximum of the outputs, whatever their size: long texts have small ones
+        sizes = np.maximum(np.sqrt((values * values).sum(axis=1, keepdims=True)), 1e-12)
+        powers = np.exp(SHARPNESS * values / sizes)
+        score = powers.max(axis=1) / powers.sum(axis=1)
         names = [self.languages[b] if good else UNKNOWN for b, good in zip(best, known)]
         return names, np.where(known, score, 0.0)
 
