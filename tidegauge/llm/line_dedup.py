@@ -111,7 +111,8 @@ def gone_lines(
 ) -> DataFrame:
     """(doc_id, text_hash, pos) of the lines that go, decided batch by batch against the runs."""
     lines = base.stage_table(repeated_lines(long_lines(docs, min_chars), min_docs), "repeated-lines")
-    cuts = lines.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    shares = [i / batches for i in range(1, batches)]
+    cuts = lines.approxQuantile("doc_id", shares, 0.01) if shares else []
     borders = [None, *sorted({int(c) for c in cuts}), None]
     store = RunStore(fan_out)
     gone = []

@@ -130,20 +130,23 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The twin of everything but the checksum, which DuckDB lacks as a function: it is folded from the bytes.
 SQL = f"""
-WITH numbers AS (SELECT range AS n FROM range(256)),
-step AS (
-  SELECT n, list_reduce(list_prepend(n::BIGINT, range(8)),
-    (c, _) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
-  FROM numbers
+WITH step AS (
+  SELECT range AS n, list_reduce(list_prepend(range, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256)
 ),
 crc AS (SELECT list(v ORDER BY n) AS t FROM step),
-rows AS (
+bytes AS (
   SELECT doc_id, source, coalesce(strlen(text), 0) + 1 AS size,
-    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
-      range(strlen(coalesce(text, ''))), i -> ('0x' || substr(hex(encode(coalesce(text, ''))), 2 * i + 1, 2))::BIGINT)),
-      (c, b) -> xor(t[xor(c, b) & 255 + 1], c >> 8)), 4294967295) AS text_crc32,
-    ('0x' || substr(md5('{SEED}:' || doc_id), 1, {_HEX_DIGITS}))::BIGINT AS random_rank
-  FROM documents, crc
+    ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, {_HEX_DIGITS}))::BIGINT AS random_rank,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b
+  FROM documents
+),
+rows AS (
+  SELECT doc_id, source, size, random_rank,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)
+      AS text_crc32
+  FROM bytes, crc
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY random_rank, doc_id) - 1 AS rank,
