@@ -102,7 +102,7 @@ def test_stream_values_and_counts(spark):
 
 def test_stream_refuses_a_point_without_number(spark):
     message = metrics_message({"service.namespace": "a"}, [metric("g", "gauge", [point()])])
-    with pytest.raises(Exception, match="Unsupported value type"):
+    with pytest.raises(Exception, match="neither asDouble nor asInt"):
         stream(spark, message, [{"service.namespace": "a"}]).collect()
 
 
@@ -225,6 +225,45 @@ def test_malformed_messages(spark):
         decode.parse_messages(texts(spark, good), "ignore")
 
 
+# One way each to break a message.
+BREAKS = {
+    "syntax": lambda text: text[:-1],
+    "time": lambda text: text.replace('"timeUnixNano": "1772043702670000000"', '"timeUnixNano": "noon"'),
+    "late time": lambda text: text.replace("1772043702670000000", "9223372036854775808"),
+    "asInt": lambda text: text.replace('"asInt": "5"', '"asInt": "five"'),
+    "sum": lambda text: text.replace('"sum": 2.5', '"sum": "much"'),
+    "count": lambda text: text.replace('"count": "4"', '"count": "4.x"'),
+    "attribute": lambda text: text.replace('"intValue": "3"', '"intValue": "3rd"'),
+}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_quarantine_takes_all_that_would_fail(spark, ansi):
+    good = metrics_message(
+        {"shelf": 3}, [metric("m", "gauge", [point(asInt="5")]), metric("h", "histogram", [point(sum=2.5, count="4")])]
+    )
+    broken = {name: make(good) for name, make in BREAKS.items()}
+    assert all(text != good for text in broken.values())
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        parsed = decode.parse_messages(texts(spark, good, *broken.values()), "quarantine")
+        kept, rejected = decode.split_bad(parsed)
+        assert sorted(r["value"] for r in decode.flatten_metrics(kept).collect()) == [2.5, 5.0]
+        assert sorted(r[0] for r in rejected.collect()) == sorted(broken.values())
+        for name in ("time", "late time", "asInt", "sum"):
+            with pytest.raises(Exception):
+                lake(spark, broken[name]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_mixed_spelling_in_one_message(spark):
+    text = metrics_message({}, [metric("m", "gauge", [point(asDouble=1.5)])])
+    for name, other in {"scopeMetrics": "scope_metrics", "dataPoints": "data_points", "asDouble": "as_double"}.items():
+        assert [r["value"] for r in lake(spark, text.replace(name, other)).collect()] == [1.5]
+
+
 def test_publishable_skips_messages_without_metrics(spark):
     good = metrics_message({"a": 1}, [metric("m", "gauge", [point(asDouble=1.0)])])
     empty = metrics_message({}, [])

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,37 +19,30 @@ def rows(spark, *items):
     return spark.createDataFrame(data, SCHEMA)
 
 
+def tagged(**attributes):
+    return ("pump", {}, attributes)
+
+
 @pytest.mark.parametrize(
     "rule, items, kept",
     [
-        ({"attributes": {"env": "prod"}}, [("cpu", {}, {"env": "prod"}), ("cpu", {}, {"env": "dev"})], [0]),
-        (
-            {"attributes": {"request": "produce"}},
-            [("cpu", {}, {"request": r}) for r in ("produce", "fetch", "produce_v2")],
-            [0, 2],
-        ),
-        (
-            {"attributes": {"request": "produce|fetch"}},
-            [("cpu", {}, {"request": r}) for r in ("produce", "fetch", "delete")],
-            [0, 1],
-        ),
+        # a pattern may match anywhere in the value
+        ({"attributes": {"valve": "nor"}}, [tagged(valve="north"), tagged(valve="south"), tagged(valve="no")], [0]),
+        ({"attributes": {"valve": "^n|^w"}}, [tagged(valve="west"), tagged(valve="own"), tagged(valve="north")], [0, 2]),
+        # all patterns of a rule must match
         (
-            {"attributes": {"env": "prod", "region": "eu"}},
-            [
-                ("cpu", {}, {"env": "prod", "region": "eu-west"}),
-                ("cpu", {}, {"env": "prod", "region": "us-east"}),
-                ("cpu", {}, {"env": "dev", "region": "eu-west"}),
-            ],
-            [0],
+            {"attributes": {"valve": "th$", "grade": "[12]"}},
+            [tagged(valve="north", grade="3"), tagged(valve="south", grade="2"), tagged(grade="1")],
+            [1],
         ),
-        ({"attributes": {"absent": "x"}}, [("cpu", {}, {"env": "prod"}), ("cpu", {}, {})], []),
-        ({"attributes": {"env": "."}}, [("cpu", {}, {"env": None})], []),
-        ({"resource_attributes": {"svc": "^a$"}}, [("cpu", {"svc": "a"}, {}), ("cpu", {"svc": "ab"}, {})], [0]),
-        ({}, [("cpu", {}, {}), ("mem", {}, {})], [0]),
+        ({"attributes": {"colour": "x"}}, [tagged(valve="north"), tagged()], []),
+        ({"attributes": {"valve": "."}}, [tagged(valve=None)], []),
+        ({"resource_attributes": {"site": "^7$"}}, [("pump", {"site": "7"}, {}), ("pump", {"site": "77"}, {})], [0]),
+        ({}, [tagged(), ("fan", {}, {})], [0]),
     ],
 )
 def test_include_rules(spark, rule, items, kept):
-    got = filters.include_metrics(rows(spark, *items), [{"name": "cpu", **rule}])
+    got = filters.include_metrics(rows(spark, *items), [{"name": "pump", **rule}])
     assert sorted(r["id"] for r in got.collect()) == kept
 
 
@@ -100,20 +93,13 @@ def test_log_rules(spark):
     assert len(lines([])) == 5
 
 
-@pytest.mark.parametrize(
-    "as_of, offset, day",
-    [
-        (datetime(2026, 3, 2, 14, 30), 0, (2026, 3, 1)),
-        (datetime(2026, 3, 2, 14, 30), 1, (2026, 2, 28)),
-        (datetime(2026, 3, 2, 14, 30), -1, (2026, 3, 2)),
-        (datetime(2026, 1, 1, 0, 0), 0, (2025, 12, 31)),
-        (datetime(2028, 3, 1, 0, 0), 0, (2028, 2, 29)),
-    ],
-)
-def test_previous_day(as_of, offset, day):
+@pytest.mark.parametrize("offset", [-1, 0, 1, 40])
+@pytest.mark.parametrize("as_of", [datetime(2023, 1, 1), datetime(2024, 3, 1, 23, 59, 59), datetime(2025, 7, 9, 6)])
+def test_previous_day(as_of, offset):
     start, end = previous_day_range(as_of, offset)
-    assert start == datetime(*day, tzinfo=timezone.utc)
-    assert (end - start).total_seconds() == 86399
+    day = as_of.date() - timedelta(days=1 + offset)
+    assert start == datetime(day.year, day.month, day.day, tzinfo=timezone.utc)
+    assert end == start + timedelta(days=1, seconds=-1)
 
 
 def test_time_windows(spark):

@@ -25,34 +25,35 @@ def merged(spark, series, aggs, **options):
     return collect(merge.merge_series(long(spark, series), aggs, tie="pos", **options))
 
 
+M = 60_000
+
+
 @pytest.mark.parametrize(
     "agg, points, expected",
     [
-        ("mean", [(960000, 0.1), (980000, 0.3)], {960000: 0.2}),
-        ("mean", [(1000000, 0.1), (1060000, 0.5)], {960000: 0.1, 1020000: 0.5}),
-        ("sum", [(960000, 1.0), (980000, 2.0), (1000000, 3.0)], {960000: 6.0}),
-        ("mean", [(960000, 0.1), (990000, 0.3), (1020000, 0.5)], {960000: 0.2, 1020000: 0.5}),
-        ("first", [(990000, 2.0), (960000, 1.0)], {960000: 1.0}),
-        ("last", [(990000, 2.0), (960000, 1.0)], {960000: 2.0}),
-        ("min", [(960000, 4.0), (961000, 3.0)], {960000: 3.0}),
-        ("max", [(960000, 4.0), (961000, 3.0)], {960000: 4.0}),
-        ("mean", [(-1, 1.0), (0, 2.0)], {-60000: 1.0, 0: 2.0}),
+        ("mean", [(3, 5.0), (M - 1, 6.0), (M, 9.0), (7 * M + 1, 4.0)], {0: 5.5, M: 9.0, 7 * M: 4.0}),
+        ("sum", [(2 * M, 0.5), (2 * M + 9, 0.25)], {2 * M: 0.75}),
+        ("first", [(9, 8.0), (4, 7.0), (6, 1.0)], {0: 7.0}),
+        ("last", [(9, 8.0), (4, 7.0), (6, 1.0)], {0: 8.0}),
+        ("min", [(1, 5.0), (2, -5.0), (M, 0.0)], {0: -5.0, M: 0.0}),
+        ("max", [(1, 5.0), (2, -5.0), (M, 0.0)], {0: 5.0, M: 0.0}),
+        ("mean", [(-M - 1, 1.0), (-M, 2.0), (-1, 4.0)], {-2 * M: 1.0, -M: 3.0}),
         ("mean", [], {}),
     ],
 )
-def test_one_series(spark, agg, points, expected):
+def test_windows_of_one_series(spark, agg, points, expected):
     for build in (merge.merge_series, merge.pivot_series):
         got = collect(build(long(spark, {"a": points}), {"a": agg}))
         assert {t: pytest.approx(v[0]) for t, v in got.items()} == expected
 
 
-def test_disjoint_and_mixed(spark):
-    assert merged(spark, {"a": [(1000000, 1.0)], "b": [(2000000, 2.0)]}, {"a": "mean", "b": "mean"}) == {
-        960000: (1.0, None),
-        1980000: (None, 2.0),
+def test_windows_of_two_series(spark):
+    series = {"tide": [(5, 2.0), (6, 4.0), (9 * M, 1.0)], "rain": [(8, 0.5), (9, 0.75), (3 * M, 2.0)]}
+    assert merged(spark, series, {"tide": "max", "rain": "sum"}) == {
+        0: (4.0, 1.25),
+        3 * M: (None, 2.0),
+        9 * M: (1.0, 0.0),
     }
-    series = {"gauge": [(0, 10.0), (1, 20.0)], "counter": [(0, 1.0), (1, 4.0)]}
-    assert merged(spark, series, {"gauge": "mean", "counter": "sum"}) == {0: (15.0, 5.0)}
 
 
 def test_unknown_aggregate(spark):
@@ -146,3 +147,9 @@ def test_hot_timestamp_makes_no_pairs(spark):
     b = [0 if i % 3 == 0 else i for i in range(1, 4000, 2)]
     expected = sum(max(1, a.count(t)) for t in b)
     assert got[0] == (1.0, float(expected))
+
+
+def test_pivot_refuses_duplicate_timestamps(spark):
+    df = long(spark, {"a": [(1, 1.0), (1, 3.0)], "b": [(1, 2.0)]})
+    with pytest.raises(Exception, match="two points at one timestamp"):
+        merge.pivot_series(df, {"a": "sum", "b": "sum"}).collect()

@@ -38,7 +38,7 @@ def test_merge_folds_before_both_shuffles(spark):
     df = merge.merge_series(tables.series(spark, SF), tables.WIDE)
     text = plan(df)
     assert shuffles(df) == 2 and "Join" not in text and text.count("HashAggregate") == 4
-    assert shuffles(merge.pivot_series(tables.series(spark, SF), tables.WIDE)) == 1
+    assert shuffles(merge.pivot_series(tables.series(spark, SF), tables.WIDE)) == 2
 
 
 def test_no_single_partition_windows(spark):

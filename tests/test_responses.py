@@ -27,24 +27,29 @@ def points(spark, text, **options):
     return [(r["__name__"], r["time_unix_nano"], r["value"], [(p.key, p.value) for p in r["attributes"]]) for r in rows]
 
 
-T0 = 1700000000000
+T0 = 1_640_995_200_000
 
 
-def test_single_series(spark):
-    text = answer(A=[frame([[T0, T0 + 60000], [42.0, 43.0]])])
-    assert points(spark, text) == [("A", T0 * 10**6, 42.0, []), ("A", (T0 + 60000) * 10**6, 43.0, [])]
-    series = responses.to_series(parsed(spark, text), F.lit("cpu")).collect()
-    assert [tuple(r) for r in series] == [("cpu", T0, 42.0), ("cpu", T0 + 60000, 43.0)]
+def test_one_series(spark):
+    text = answer(A=[frame([[T0 + 5 * k for k in range(4)], [k / 8 for k in range(4)]])])
+    assert points(spark, text) == [("A", (T0 + 5 * k) * 10**6, k / 8, []) for k in range(4)]
+    series = responses.to_series(parsed(spark, text), F.lit("level")).collect()
+    assert [tuple(r) for r in series] == [("level", T0 + 5 * k, k / 8) for k in range(4)]
 
 
-def test_several_refs_labels_and_names(spark):
-    text = answer(cpu=[frame([[T0], [80.0]])], mem=[frame([[T0], [55.5]])])
-    assert sorted(p[0] for p in points(spark, text)) == ["cpu", "mem"]
-    labelled = answer(
-        A=[frame([[T0], [42.0]], {"job": "api", "env": "prod"}), frame([[T0], [55.0]], {"job": "worker", "env": "prod"})]
-    )
-    got = points(spark, labelled, name="up")
-    assert [(n, v, dict(a)["job"]) for n, _, v, a in got] == [("up", 42.0, "api"), ("up", 55.0, "worker")]
+def test_numbers_may_be_quoted(spark):
+    text = answer(A=[frame([[str(T0), T0 + 1, "x"], ["1.5", 2, 3]])])
+    assert [p[1:3] for p in points(spark, text)] == [(T0 * 10**6, 1.5), ((T0 + 1) * 10**6, 2.0)]
+    quoted = answer(A=[frame([[T0], ["-2e-3"]])])
+    assert [r["value"] for r in responses.to_series(parsed(spark, quoted), F.lit("q")).collect()] == [-0.002]
+
+
+def test_names_and_labels(spark):
+    text = answer(tide=[frame([[T0], [3.25]])], wind=[frame([[T0], [11.0]])])
+    assert sorted(p[0] for p in points(spark, text)) == ["tide", "wind"]
+    frames = [frame([[T0], [float(k)]], {"gauge": f"g{k}"}) for k in range(3)]
+    got = points(spark, answer(A=frames), name="level")
+    assert [(n, v, a) for n, _, v, a in got] == [("level", float(k), [("gauge", f"g{k}")]) for k in range(3)]
 
 
 @pytest.mark.parametrize(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidegauge.functions.numbers import all_of
+from tidegauge.functions.numbers import all_of, strict
 
 
 def _let(value: Column, body) -> Column:
@@ -64,7 +64,7 @@ def any_text(value: Column) -> Column:
     return F.coalesce(
         value["stringValue"],
         value["intValue"],
-        F.when(number.isNotNull(), float_text(number.cast("double"))),
+        F.when(number.isNotNull(), float_text(strict(number, "double", "doubleValue"))),
         F.when(value["boolValue"], F.lit("True")).when(~value["boolValue"], F.lit("False")),
         value["bytesValue"],
         value["arrayValue"],
@@ -74,10 +74,10 @@ def any_text(value: Column) -> Column:
 
 def any_truthy(value: Column) -> Column:
     """False for unset, '', 0, 0.0, false and empty bytes; true otherwise."""
-    number = value["doubleValue"].cast("double")
+    number = strict(value["doubleValue"], "double", "doubleValue")
     return F.coalesce(
         value["stringValue"] != "",
-        value["intValue"].cast("bigint") != 0,
+        strict(value["intValue"], "bigint", "intValue") != 0,
         F.isnan(number) | (number != 0.0),
         value["boolValue"],
         value["bytesValue"] != "",

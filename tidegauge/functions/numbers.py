@@ -76,7 +76,14 @@ AGGREGATES: dict[str, Callable[[Column, Column], Column]] = {
 def check_aggregates(columns: dict[str, str]) -> None:
     for name, agg in columns.items():
         if agg not in AGGREGATES:
-            raise ValueError(f"Unknown aggregation '{agg}' for column '{name}'")
+            raise ValueError(f"column {name!r} asks for {agg!r}, which is none of {', '.join(AGGREGATES)}")
+
+
+def strict(text: Column, kind: str, what: str) -> Column:
+    """Text as a number; text that is none stops the job, whatever the session's ANSI setting."""
+    number = text.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{what} is no {kind}: "), text)).cast(kind)
+    return F.when(text.isNotNull() & number.isNull(), wrong).otherwise(number)
 
 
 def unfold(df: DataFrame, carry: list, array: Column, name: str) -> DataFrame:

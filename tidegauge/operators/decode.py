@@ -19,13 +19,10 @@ from tidegauge.functions.anyvalue import (
     kv_texts,
 )
 from tidegauge.functions.calendar import from_nanos
-from tidegauge.functions.numbers import unfold
+from tidegauge.functions.numbers import any_of, strict, unfold
 from tidegauge.operators.filters import allow_predicate, include_predicate
 
 _CORRUPT = "_corrupt"
-# A point or record time that is not a number would fail the cast below.
-_BAD_TIME = r'"(observedT|t|observed_t)ime(UnixNano|_unix_nano)"\s*:\s*("[^"]*[^0-9"][^"]*"|""|[^"0-9\s])'
-
 
 # Field names of the protocol as its definition spells them.
 _PROTO_NAMES = [
@@ -58,13 +55,13 @@ def _camel(name: str) -> str:
 def _camel_names(text: Column) -> Column:
     """Rename the keys of messages written with the definition's own field names.
 
-    A key is an unescaped quoted name with a colon behind it, so values are never touched. Only
-    messages whose root is spelled that way pay for the renaming.
+    A key is an unescaped quoted name with a colon behind it, so values are never touched. A message
+    may mix both spellings; one without any such name does not pay for the renaming.
     """
     renamed = text
     for name in _PROTO_NAMES:
         renamed = F.regexp_replace(renamed, rf'(?<!\\)"{name}"\s*:', f'"{_camel(name)}":')
-    spelled = F.contains(text, F.lit('"resource_metrics"')) | F.contains(text, F.lit('"resource_logs"'))
+    spelled = text.rlike('"(' + "|".join(_PROTO_NAMES) + r')"\s*:')
     return F.when(spelled, renamed).otherwise(text)
 
 
@@ -87,8 +84,51 @@ def parse_messages(df: DataFrame, on_error: str = "fail", value: str = "value")
         "message", F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
     )
     return parsed.withColumn(
-        "is_bad", F.col(f"message.{_CORRUPT}").isNotNull() | F.col(value).rlike(_BAD_TIME)
+        "is_bad", F.col(f"message.{_CORRUPT}").isNotNull() | _has_bad_number(F.col("message"))
+    )
+
+
+def _no_number(text: Column, kind: str) -> Column:
+    return text.isNotNull() & text.try_cast(kind).isNull()
+
+
+def _any(array: Column, test) -> Column:
+    return F.coalesce(F.exists(array, lambda x: F.coalesce(test(x), F.lit(False))), F.lit(False))
+
+
+def _bad_value(value: Column) -> Column:
+    return _no_number(value["intValue"], "bigint") | _no_number(value["doubleValue"], "double")
+
+
+def _bad_attributes(attributes: Column) -> Column:
+    return _any(attributes, lambda a: F.coalesce(_bad_value(a["value"]), F.lit(False)))
+
+
+def _has_bad_number(message: Column) -> Column:
+    """Whether any number that the decoders read from a message is none, or out of its range."""
+
+    def bad_point(p: Column) -> Column:
+        whole = [_no_number(p[name], "bigint") for name in ("timeUnixNano", "asInt", "count")]
+        real = [_no_number(p[name], "double") for name in ("asDouble", "sum")]
+        return any_of([*whole, *real, _bad_attributes(p["attributes"])])
+
+    def bad_record(r: Column) -> Column:
+        times = [_no_number(r[name], "bigint") for name in ("timeUnixNano", "observedTimeUnixNano")]
+        return any_of([*times, F.coalesce(_bad_value(r["body"]), F.lit(False)), _bad_attributes(r["attributes"])])
+
+    def bad_resource(r: Column) -> Column:
+        return _bad_attributes(r["resource"]["attributes"])
+
+    metrics = _any(
+        message["resourceMetrics"],
+        lambda r: bad_resource(r)
+        | _any(r["scopeMetrics"], lambda s: _any(s["metrics"], lambda m: _any(_points(m), bad_point))),
+    )
+    logs = _any(
+        message["resourceLogs"],
+        lambda r: bad_resource(r) | _any(r["scopeLogs"], lambda s: _any(s["logRecords"], bad_record)),
     )
+    return metrics | logs
 
 
 def split_bad(parsed: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -99,11 +139,11 @@ def split_bad(parsed: DataFrame, value: str = "value") -> tuple[DataFrame, DataF
 
 
 def _number(point: Column) -> Column:
-    return F.coalesce(point["asDouble"].cast("double"), point["asInt"].cast("double"))
+    return F.coalesce(strict(point["asDouble"], "double", "asDouble"), strict(point["asInt"], "bigint", "asInt").cast("double"))
 
 
 def _sum_or_zero(point: Column) -> Column:
-    return F.coalesce(point["sum"].cast("double"), F.lit(0.0))
+    return F.coalesce(strict(point["sum"], "double", "sum"), F.lit(0.0))
 
 
 def _kind(metric: Column) -> Column:
@@ -119,7 +159,7 @@ def _points(metric: Column) -> Column:
 
 
 def _nanos(text: Column) -> Column:
-    return F.coalesce(text.cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(strict(text, "bigint", "time"), F.lit(0).cast("bigint"))
 
 
 def _explode_resources(messages: DataFrame, root: str, carry: tuple[str, ...]) -> DataFrame:
@@ -291,9 +331,9 @@ def flatten_stream_metrics(
     points = _explode_points(_explode_metrics(resources, promoted), promoted)
     p = F.col("p")
     plain = F.col("kind").isin("gauge", "sum")
-    missing = F.raise_error(F.lit("Unsupported value type: data point without a number"))
+    missing = F.raise_error(F.lit("a gauge or sum point holds neither asDouble nor asInt"))
     value = F.when(plain, F.coalesce(_number(p), missing.cast("double"))).otherwise(_sum_or_zero(p))
-    count = F.when(~plain, F.coalesce(p["count"].cast("bigint"), F.lit(0).cast("bigint")))
+    count = F.when(~plain, F.coalesce(strict(p["count"], "bigint", "count"), F.lit(0).cast("bigint")))
     return points.select(
         *carry,
         _nanos(p["timeUnixNano"]).alias("timestamp"),

@@ -108,9 +108,10 @@ def merge_series(
 def pivot_series(
     series: DataFrame, columns: dict[str, str], step_ms: int = GRID_MS, tie: str | None = None
 ) -> DataFrame:
-    """One-shuffle variant of :func:`merge_series` for series without duplicate timestamps.
+    """Variant of :func:`merge_series` for series without duplicate timestamps, which stop the job.
 
-    Means and sums then need no repeat factors, so the long rows go straight into the windows.
+    Means and sums then need no repeat factors, so the long rows go straight into the windows. The
+    points of a window are counted in the same aggregation, all and different ones.
     First and last still look at the whole timeline: a window opens with NULL for a series that has
     no point at the first timestamp of the window.
     """
@@ -131,11 +132,14 @@ def pivot_series(
             values.append(F.when(edge == at, AGGREGATES[agg](value, order)).alias(name))
         else:
             values.append(AGGREGATES[agg](value, F.col("timestamp")).alias(name))
-    return (
-        wanted.groupBy(floor_to(F.col("timestamp"), step_ms).alias("_bucket"))
-        .agg(*values)
-        .withColumnRenamed("_bucket", "timestamp")
+    windows = wanted.groupBy(floor_to(F.col("timestamp"), step_ms).alias("_bucket")).agg(
+        *values,
+        F.count("timestamp").alias("_points"),
+        F.count_distinct(F.when(F.col("timestamp").isNotNull(), F.struct("query_id", "timestamp"))).alias("_different"),
     )
+    stop = F.raise_error(F.lit("a series holds two points at one timestamp: use merge_series"))
+    bucket = F.when(F.col("_points") == F.col("_different"), F.col("_bucket")).otherwise(stop.cast("bigint"))
+    return windows.select(bucket.alias("timestamp"), *columns)
 
 
 def has_duplicate_timestamps(series: DataFrame) -> bool:

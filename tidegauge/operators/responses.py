@@ -11,7 +11,7 @@ from tidegauge.functions.numbers import unfold
 _MS_TO_NS = 1_000_000
 _NO_FRAMES = (
     "array<struct<schema:struct<name:string,fields:array<struct<name:string,type:string,"
-    "labels:map<string,string>>>>,data:struct<values:array<array<double>>>>>"
+    "labels:map<string,string>>>>,data:struct<values:array<array<string>>>>>"
 )
 
 
@@ -32,10 +32,15 @@ def frames_of(results: Column, ref_id: str = "A") -> Column:
     )
 
 
+def _columns(frame: Column) -> Column:
+    """Column arrays of a frame as numbers, quoted or not; what is no number counts as NULL."""
+    return F.transform(frame["data"]["values"], lambda c: F.transform(c, lambda v: v.try_cast("double")))
+
+
 def values_of(results: Column, ref_id: str = "A") -> Column:
     """Raw column arrays of the first frame; empty when there is none."""
     first = F.get(frames_of(results, ref_id), F.lit(0))
-    return F.coalesce(first["data"]["values"], F.array().cast("array<array<double>>"))
+    return F.coalesce(_columns(first), F.array().cast("array<array<double>>"))
 
 
 def to_series(
@@ -64,8 +69,8 @@ def to_series(
     )
     pairs = F.when(valid, F.arrays_zip(times.alias("t"), points.alias("v")))
     if on_error == "raise":
-        reason = F.when(~two_columns, F.lit("expected 2 columns (timestamp, value)")).otherwise(
-            F.lit("timestamps and values differ in length or hold NULL")
+        reason = F.when(~two_columns, F.lit("a frame needs one column of times and one of values")).otherwise(
+            F.lit("the two columns must be equally long and without NULL")
         )
         message = F.concat(F.lit("Query '"), F.col("query_id"), F.lit("': "), reason)
         pairs = pairs.when(
@@ -77,7 +82,7 @@ def to_series(
 
 
 def _usable(frame: Column) -> Column:
-    values = frame["data"]["values"]
+    values = _columns(frame)
     return F.coalesce((F.size(values) == 2) & (F.size(F.get(values, F.lit(0))) > 0), F.lit(False))
 
 
@@ -95,7 +100,7 @@ def to_gauge_points(responses: DataFrame, name: str | None = None, carry: tuple[
     frames = refs.select(
         *carry, F.col("ref.key").alias("ref_id"), F.explode("ref.value.frames").alias("frame")
     ).filter(_usable(F.col("frame")))
-    values = F.col("frame.data.values")
+    values = _columns(F.col("frame"))
     zipped = F.arrays_zip(
         F.get(values, F.lit(0)).alias("t"), F.get(values, F.lit(1)).alias("v")
     )
@@ -124,7 +129,7 @@ def _attribute(key: Column, text: Column) -> Column:
 
 def _gauge_points(frames: Column) -> Column:
     def points(frame: Column) -> Column:
-        values = frame["data"]["values"]
+        values = _columns(frame)
         attributes = F.transform(_labels(frame), lambda kv: _attribute(kv["key"], kv["value"]))
         pairs = F.filter(
             F.arrays_zip(F.get(values, F.lit(0)).alias("t"), F.get(values, F.lit(1)).alias("v")),

@@ -216,7 +216,42 @@ FROM events WHERE event_id % 7 <> 0
 """
 
 
+def _broken(text):
+    """Six ways to break a message, by turns."""
+    turn = F.expr("(event_id div 13) % 6")
+    nanos = '"timeUnixNano":"[0-9]+"'
+    return (
+        F.when(turn == 0, F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(turn == 1, F.regexp_replace(text, nanos, '"timeUnixNano":"soon"'))
+        .when(turn == 2, F.regexp_replace(text, nanos, '"timeUnixNano":"9223372036854775808"'))
+        .when(turn == 3, F.regexp_replace(text, '"asInt":"[0-9-]+"', '"asInt":"many"'))
+        .when(turn == 4, F.regexp_replace(text, '"intValue":"[0-9]+"', '"intValue":"x"'))
+        .otherwise(F.regexp_replace(text, nanos, '"timeUnixNano":""'))
+    )
+
+
+def otlp_quarantine(spark, sf_dir):
+    """Every 13th message is broken; the others are decoded, and the rejected ones counted."""
+    messages = tables.otlp_messages(spark, sf_dir)
+    text = F.when(F.col("event_id") % 13 == 0, _broken(F.col("value"))).otherwise(F.col("value"))
+    parsed = decode.parse_messages(messages.select(text.alias("value")), "quarantine")
+    good, bad = decode.split_bad(parsed)
+    rows = decode.flatten_metrics(good)
+    kept = rows.select(F.col("__name__").alias("name"), last_match(F.col("attributes"), "n").alias("n"))
+    counted = bad.agg(F.count(F.lit(1)).cast("string").alias("n")).select(F.lit("rejected").alias("name"), "n")
+    return kept.unionByName(counted)
+
+
+OTLP_QUARANTINE_SQL = f"""
+WITH lake AS ({OTLP_METRICS_LAKE_SQL})
+SELECT name, n FROM lake WHERE CAST(n AS BIGINT) % 13 <> 0
+UNION ALL
+SELECT 'rejected', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 13 = 0
+"""
+
+
 QUERIES = {
+    "otlp_quarantine": (otlp_quarantine, OTLP_QUARANTINE_SQL),
     "otlp_metrics_lake": (otlp_metrics_lake, OTLP_METRICS_LAKE_SQL),
     "otlp_metrics_stream": (otlp_metrics_stream, OTLP_METRICS_STREAM_SQL),
     "otlp_logs": (otlp_logs, OTLP_LOGS_SQL),

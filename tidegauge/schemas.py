@@ -161,7 +161,7 @@ OTLP_MESSAGE = T.StructType(
     ]
 )
 
-# Answer of the dashboard backend: column arrays per frame.
+# Answer of the dashboard backend: column arrays per frame. Numbers may be quoted, so they are text here.
 RESPONSE = T.StructType(
     [
         T.StructField(
@@ -211,7 +211,7 @@ RESPONSE = T.StructType(
                                                 [
                                                     T.StructField(
                                                         "values",
-                                                        T.ArrayType(T.ArrayType(T.DoubleType())),
+                                                        T.ArrayType(T.ArrayType(T.StringType())),
                                                     )
                                                 ]
                                             ),
