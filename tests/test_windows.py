@@ -181,3 +181,25 @@ def test_day_keys_are_checked(text):
     with pytest.raises(ValueError):
         calendar.parse_day_key(text)
     assert calendar.parse_day_key("20240229") == "20240229"
+
+
+def test_an_outlier_leaves_no_trace(spark):
+    """Seven values in turn and one spike: frames without the spike are as exact as if it were not there."""
+    rows = [("k", i * 10 * MIN, 1e12 if i == 1 else float(i % 7)) for i in range(3000)]
+    w = 7 * DAY
+    got = rolling.rolling_statistics(frame(spark, rows), ["v"], [w]).orderBy("timestamp").collect()
+    for i in range(1100, 3000, 131):
+        window = [rows[j][2] for j in range(i - w // (10 * MIN) + 1, i + 1)]
+        assert got[i][f"v_std_{w}i"] == pytest.approx(statistics.stdev(window), rel=1e-9)
+        assert got[i][f"v_mean_{w}i"] == pytest.approx(statistics.fmean(window), rel=1e-9)
+
+
+def test_spikes_against_brute_force(spark):
+    rng = random.Random(3)
+    rows = [("k", i * MIN, rng.uniform(0, 9) * (1e9 if i % 97 == 0 else 1.0)) for i in range(600)]
+    got = rolling.rolling_statistics(frame(spark, rows), ["v"], [5 * MIN, HOUR]).orderBy("timestamp").collect()
+    for w in (5 * MIN, HOUR):
+        for i, r in enumerate(got):
+            window = [v for _, _, v in rows[max(0, i - w // MIN + 1) : i + 1]]
+            assert r[f"v_mean_{w}i"] == pytest.approx(mean(window), rel=1e-9)
+            assert r[f"v_std_{w}i"] == (pytest.approx(std(window), rel=1e-9) if i else None)

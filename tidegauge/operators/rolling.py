@@ -1,21 +1,22 @@
 """Rolling statistics over (t - width, t] on the time axis.
 
 Without a key a plain ``RANGE`` window runs in one task. So rows are put into time blocks, with
-copies of the rows the next block looks back at, and the windows run per block.
+copies of the rows the next block looks back at, and every block is worked through on its own.
 
-With a moving lower bound Spark adds up every frame from scratch. That is fine up to an hour, where
-a frame of the grid holds a few dozen rows. Longer frames are the difference of two growing frames
-(up to t, up to t - width), which Spark extends row by row. Their running sums start anew in each
-block and are taken around the block mean, which keeps the differences accurate; a window of equal
-values is recognised by its last change and has deviation exactly 0.
+Inside a block the values are folded into a tree of (count, mean, squared deviations): a node merges
+its two halves, and a frame of any width is put together from the few nodes that cover it. Nothing is
+ever subtracted, so an outlier leaves no trace in the frames it is not in, a frame of equal values has
+deviation exactly 0, and one way serves all widths.
 
-The frames are meant for grid frames: with one row per series and grid step, a block holds at most
-its length divided by the step, however hot the series is. Resample denser rows first.
+A block holds the rows of three times the longest width of one series. That suits grid frames, with one
+row per series and grid step; resample denser rows first.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,101 +46,76 @@ def in_time_blocks(
 
 
 def block_length(width: int) -> int:
-    """Blocks of four widths, so that a quarter of the rows is copied, but not below a day."""
-    return max(4 * width, DAY)
-
-
-def width_groups(widths: list[int]) -> list[list[int]]:
-    """Widths that share blocks: up to an hour, up to a day, longer.
-
-    Short frames then stay in short blocks and do not pay the look-back of the long ones.
-    """
-    groups = [
-        [w for w in widths if w <= HOUR],
-        [w for w in widths if HOUR < w <= DAY],
-        [w for w in widths if w > DAY],
-    ]
-    return [sorted(g) for g in groups if g]
-
-
-def _block_order(keys: tuple[str, ...], ts: str) -> str:
-    by = ", ".join(f"`{k}`" for k in [*keys, _BLOCK])
-    return f"PARTITION BY {by} ORDER BY `{ts}`"
-
-
-def _moving_frames(
-    blocks: DataFrame, columns: list[str], widths: list[int], keys: tuple[str, ...], ts: str
-) -> DataFrame:
-    """Mean and sample deviation of short frames, ``{c}_mean_{w}i`` and ``{c}_std_{w}i``."""
-    results = []
-    for w in widths:
-        frame = f"({_block_order(keys, ts)} RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
-        for c in columns:
-            results.append(f"avg(`{c}`) OVER {frame} AS `{c}_mean_{w}i`")
-            results.append(f"stddev_samp(`{c}`) OVER {frame} AS `{c}_std_{w}i`")
-    return blocks.selectExpr("*", *results).filter(_HOME)
-
-
-def _growing_frames(
-    blocks: DataFrame, columns: list[str], widths: list[int], keys: tuple[str, ...], ts: str
-) -> DataFrame:
-    """The same columns for long frames.
-
-    Written as SQL text: hundreds of window columns are then parsed in one call each.
-    """
-    block = _block_order(keys, ts)
-    whole = f"({block} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    earlier_rows = f"({block} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    now = f"({block} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    real = "(isnotnull(`{c}`) AND NOT isnan(`{c}`) AND abs(`{c}`) < double('inf'))"
-
-    prepared, centred, running, results = [], [], [], []
-    for c in columns:
-        is_real = real.format(c=c)
-        prepared += [
-            f"coalesce(avg(CASE WHEN {is_real} THEN `{c}` END) OVER {whole}, 0D) AS `_{c}_mid`",
-            f"last(`{c}`, true) OVER {earlier_rows} AS `_{c}_prev`",
-            f"count(`{c}`) OVER {earlier_rows} AS `_{c}_seen`",
-        ]
-        # The marks below hold how many values came before the last change of value, and up to the
-        # last NaN or infinity. Compared with how many values a frame leaves out on its left, they
-        # tell whether the frame holds such a row.
-        centred += [
-            f"CASE WHEN {is_real} THEN `{c}` - `_{c}_mid` WHEN isnotnull(`{c}`) THEN 0D END AS `_{c}_d`",
-            f"CASE WHEN `{c}` <> `_{c}_prev` THEN `_{c}_seen` END AS `_{c}_change`",
-            f"CASE WHEN isnan(`{c}`) OR `{c}` = double('inf') THEN `_{c}_seen` + 1 END AS `_{c}_plus`",
-            f"CASE WHEN isnan(`{c}`) OR `{c}` = double('-inf') THEN `_{c}_seen` + 1 END AS `_{c}_minus`",
-        ]
-        running += [f"max(`_{c}_{mark}`) OVER {now} AS `_{c}_last_{mark}`" for mark in ("change", "plus", "minus")]
-        frames = {"now": now} | {
-            str(w): f"({block} RANGE BETWEEN UNBOUNDED PRECEDING AND {w} PRECEDING)" for w in widths
-        }
-        for name, frame in frames.items():
-            running += [
-                f"count(`_{c}_d`) OVER {frame} AS `_{c}_n_{name}`",
-                f"coalesce(sum(`_{c}_d`) OVER {frame}, 0D) AS `_{c}_s_{name}`",
-                f"coalesce(sum(`_{c}_d` * `_{c}_d`) OVER {frame}, 0D) AS `_{c}_q_{name}`",
-            ]
-        for w in widths:
-            n, s, q = [f"(`_{c}_{x}_now` - `_{c}_{x}_{w}`)" for x in "nsq"]
-            plus = f"coalesce(`_{c}_last_plus` > `_{c}_n_{w}`, false)"
-            minus = f"coalesce(`_{c}_last_minus` > `_{c}_n_{w}`, false)"
-            varied = f"coalesce(`_{c}_last_change` > `_{c}_n_{w}`, false)"
-            results += [
-                f"CASE WHEN {plus} AND {minus} THEN double('nan') WHEN {plus} THEN double('inf')"
-                f" WHEN {minus} THEN double('-inf') WHEN {n} > 0 THEN `_{c}_mid` + {s} / {n} END"
-                f" AS `{c}_mean_{w}i`",
-                f"CASE WHEN {n} < 2 THEN NULL WHEN {plus} OR {minus} THEN double('nan')"
-                f" WHEN NOT {varied} THEN 0D"
-                f" ELSE sqrt(greatest({q} - {s} * {s} / {n}, 0D) / ({n} - 1)) END AS `{c}_std_{w}i`",
-            ]
-    return (
-        blocks.selectExpr("*", *prepared)
-        .selectExpr("*", *centred)
-        .selectExpr("*", *running)
-        .filter(_HOME)
-        .selectExpr("*", *results)
-    )
+    """Blocks of two widths, so that half of the rows is copied, but not below a day."""
+    return max(2 * width, DAY)
+
+
+Moments = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _merged(a: Moments, b: Moments) -> Moments:
+    """Count, mean and squared deviations of two disjoint sets of values together."""
+    (n_a, mean_a, dev_a), (n_b, mean_b, dev_b) = a, b
+    n = n_a + n_b
+    share = n_b / np.maximum(n, 1)
+    apart = np.where((n_a > 0) & (n_b > 0), mean_b - mean_a, 0.0)
+    mean = np.where(n_a > 0, mean_a + apart * share, mean_b)
+    return n, mean, dev_a + dev_b + apart * apart * n_a * share
+
+
+class MomentTree:
+    """Moments of any run of rows, from nodes that hold 1, 2, 4, ... rows."""
+
+    def __init__(self, values: np.ndarray, counted: np.ndarray):
+        size = 1 << max(0, len(values) - 1).bit_length()
+        n, mean = np.zeros(size), np.zeros(size)
+        n[: len(values)] = counted
+        mean[: len(values)] = np.where(counted, values, 0.0)
+        self.levels: list[Moments] = [(n, mean, np.zeros(size))]
+        while len(n) > 1:
+            last = self.levels[-1]
+            self.levels.append(_merged(tuple(x[::2] for x in last), tuple(x[1::2] for x in last)))
+            n = self.levels[-1][0]
+
+    def moments(self, low: np.ndarray, high: np.ndarray) -> Moments:
+        """Of the rows low, ..., high - 1 of each frame."""
+        low, high = low.copy(), high.copy()
+        left, right = (tuple(np.zeros(len(low)) for _ in range(3)) for _ in range(2))
+        for level in self.levels:
+            take = (low < high) & (low % 2 == 1)
+            _add(left, take, level, low, True)
+            low += take
+            take = (low < high) & (high % 2 == 1)
+            high -= take
+            _add(right, take, level, high, False)
+            low, high = low // 2, high // 2
+        return _merged(left, right)
+
+
+def _add(total: Moments, take: np.ndarray, level: Moments, at: np.ndarray, after: bool) -> None:
+    """Merge the nodes of one level into the totals of the frames that take one."""
+    if take.any():
+        own, nodes = tuple(x[take] for x in total), tuple(x[at[take]] for x in level)
+        for x, new in zip(total, _merged(own, nodes) if after else _merged(nodes, own)):
+            x[take] = new
+
+
+def _frame_statistics(values: np.ndarray, known: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Mean and sample deviation of frames of rows, with masks of the NULLs."""
+    finite = known & np.isfinite(values)
+    n, mean, squares = MomentTree(values, finite).moments(low, high)
+
+    def number(flags: np.ndarray) -> np.ndarray:
+        upto = np.concatenate([[0], np.cumsum(flags)])
+        return upto[high] - upto[low]
+
+    unknown = known & np.isnan(values)
+    plus = number(unknown | (known & (values == np.inf))) > 0
+    minus = number(unknown | (known & (values == -np.inf))) > 0
+    present = number(known)
+    mean = np.where(plus & minus, np.nan, np.where(plus, np.inf, np.where(minus, -np.inf, mean)))
+    std = np.sqrt(squares / np.maximum(n - 1, 1))
+    return mean, present == 0, np.where(plus | minus, np.nan, std), present < 2
 
 
 def rolling_statistics(
@@ -152,17 +128,36 @@ def rolling_statistics(
 ) -> DataFrame:
     """Unshifted rolling ``mean`` and ``std`` columns of a frame.
 
-    NULLs are ignored, an empty frame gives NULL, the deviation needs two values. Rows of equal
-    timestamp see the same frame. One shuffle per group of widths.
+    NULLs are ignored, an empty frame gives NULL, the deviation needs two values; a NaN or infinite
+    value shows in the frames it is in. Rows of equal timestamp see the same frame. One shuffle.
     """
+    width = max(widths)
+    blocks = in_time_blocks(df, width, block_length(width), ts, keys)
+    names = [f"{c}_{stat}_{w}i" for stat in statistics for w in widths for c in columns]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
     kept = list(df.columns)
-    for group in width_groups(widths):
-        width = max(group)
-        blocks = in_time_blocks(df, width, block_length(width), ts, keys)
-        kept += [f"{c}_{stat}_{w}i" for stat in statistics for w in group for c in columns]
-        frames = _moving_frames if width <= HOUR else _growing_frames
-        df = frames(blocks, columns, group, keys, ts).select(*kept)
-    return df
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(ts)
+        times = table.column(ts).to_numpy()
+        high = np.searchsorted(times, times, "right")
+        home = table.column(_HOME)
+        made = {}
+        for c in columns:
+            column = table.column(c)
+            known = column.is_valid().to_numpy()
+            values = column.cast(pa.float64()).fill_null(0.0).to_numpy()
+            for w in widths:
+                low = np.searchsorted(times, times - w, "right")
+                mean, no_mean, std, no_std = _frame_statistics(values, known, low, high)
+                made[f"{c}_mean_{w}i"] = pa.array(mean, mask=no_mean)
+                made[f"{c}_std_{w}i"] = pa.array(std, mask=no_std)
+        rows = table.select(kept)
+        for name in names:
+            rows = rows.append_column(name, made[name])
+        return rows.filter(home)
+
+    return blocks.groupBy(*keys, _BLOCK).applyInArrow(run, schema)
 
 
 def _names(columns: list[str], widths: list[int], label: str) -> list[str]:
@@ -184,14 +179,12 @@ def rolling_quantile(
     are therefore handed to pandas, whose rolling quantile keeps the frame sorted as it moves. A
     group is one time block of one series, not a whole series.
     """
-    for group in width_groups(widths):
-        width = max(group)
-        blocks = in_time_blocks(df, width, block_length(width), ts, keys)
-        names = _names(columns, group, label)
-        schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-        grouped = blocks.groupBy(*keys, _BLOCK)
-        df = grouped.applyInPandas(_quantiles_of_block(columns, group, q, label, ts, schema), schema)
-    return df
+    width = max(widths)
+    blocks = in_time_blocks(df, width, block_length(width), ts, keys)
+    names = _names(columns, widths, label)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    grouped = blocks.groupBy(*keys, _BLOCK)
+    return grouped.applyInPandas(_quantiles_of_block(columns, widths, q, label, ts, schema), schema)
 
 
 def _quantiles_of_block(columns, widths, q, label, ts, schema):

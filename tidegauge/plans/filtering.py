@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidegauge.functions.anyvalue import kv_matches
@@ -227,24 +229,25 @@ WHERE ts BETWEEN TIMESTAMP '2024-01-27 00:00:00' AND TIMESTAMP '2024-01-27 23:59
 """
 
 
-def _chunk_root(spark, sf_dir, name):
-    scale = sf_dir.rstrip("/").rsplit("/", 1)[-1]
-    return f"{checkpoint_root(spark)}/tidegauge/{scale}/{name}"
+def _written_chunks(spark, sf_dir):
+    """The wide frame as daily chunks in a folder of this run, cleaned so that the gate lets it through."""
+    root = f"{checkpoint_root(spark)}/tidegauge/chunks-{uuid.uuid4().hex}"
+    rows = tables.wide(spark, sf_dir)
+    for c in tables.WIDE:
+        rows = clean.fill_nulls(rows, c)
+    chunks.write_chunks(rows, root)
+    return root
 
 
 def day_chunks(spark, sf_dir):
     """The wide frame written as daily chunks, the last three days read back."""
-    root = _chunk_root(spark, sf_dir, "chunks")
-    chunks.write_chunks(tables.wide(spark, sf_dir), root, gate=False)
-    recent = chunks.read_recent_chunks(spark, root, 3, tables.AS_OF)
+    recent = chunks.read_recent_chunks(spark, _written_chunks(spark, sf_dir), 3, tables.AS_OF)
     return recent.select("timestamp", *[tables.shown(c, 6).alias(c) for c in tables.WIDE])
 
 
 def day_chunk(spark, sf_dir):
     """One chunk by its key."""
-    root = _chunk_root(spark, sf_dir, "chunk")
-    chunks.write_chunks(tables.wide(spark, sf_dir), root, gate=False)
-    day = chunks.read_chunk(spark, root, "20240115")
+    day = chunks.read_chunk(spark, _written_chunks(spark, sf_dir), "20240115")
     return day.select("timestamp", *[tables.shown(c, 6).alias(c) for c in tables.WIDE])
 
 
@@ -255,28 +258,37 @@ def chunk_rows(spark, sf_dir):
     )
 
 
-WIDE_CTE = """
-timeline AS (SELECT DISTINCT (epoch_us(ts) // 1000) AS timestamp FROM events WHERE event_type IN ('view', 'click', 'error')),
+def wide_cte(events: str = "events") -> str:
+    """The wide frame in SQL, with the repetition of rows that joins by timestamp bring."""
+    stamps = "(epoch_us(ts) // 1000) AS timestamp"
+    names = list(tables.WIDE)
+    listed = ", ".join(f"'{c}'" for c in names)
+    joins = "\n".join(
+        f"  LEFT JOIN (SELECT {stamps}, value FROM {events} WHERE event_type = '{c}') AS t_{c} USING (timestamp)" for c in names
+    )
+    return f"""
+timeline AS (SELECT DISTINCT {stamps} FROM {events} WHERE event_type IN ({listed})),
 joined AS (
-  SELECT t.timestamp, v.value AS view, c.value AS click, e.value AS error
+  SELECT t.timestamp, {", ".join(f"t_{c}.value AS {c}" for c in names)}
   FROM timeline t
-  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'view') v USING (timestamp)
-  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'click') c USING (timestamp)
-  LEFT JOIN (SELECT (epoch_us(ts) // 1000) AS timestamp, value FROM events WHERE event_type = 'error') e USING (timestamp)),
+{joins}),
 wide AS (
-  SELECT (timestamp // 60000) * 60000 AS timestamp, avg(view) AS view, avg(click) AS click, avg(error) AS error
+  SELECT (timestamp // 60000) * 60000 AS timestamp, {", ".join(f"avg({c}) AS {c}" for c in names)}
   FROM joined GROUP BY 1)
 """
 
-_ROUNDED = "timestamp, round(view + 1e-9, 6) AS view, round(click + 1e-9, 6) AS click, round(error + 1e-9, 6) AS error"
+
+WIDE_CTE = wide_cte()
+
+_FILLED = "timestamp, " + ", ".join(f"round(coalesce({c}, 0) + 1e-9, 6) AS {c}" for c in tables.WIDE)
 
 DAY_CHUNKS_SQL = f"""
-WITH {WIDE_CTE} SELECT {_ROUNDED} FROM wide
+WITH {WIDE_CTE} SELECT {_FILLED} FROM wide
 WHERE timestamp >= epoch_ms(TIMESTAMP '2024-01-29 00:00:00')
 """
 
 DAY_CHUNK_SQL = f"""
-WITH {WIDE_CTE} SELECT {_ROUNDED} FROM wide
+WITH {WIDE_CTE} SELECT {_FILLED} FROM wide
 WHERE timestamp >= epoch_ms(TIMESTAMP '2024-01-15 00:00:00') AND timestamp < epoch_ms(TIMESTAMP '2024-01-16 00:00:00')
 """
 

@@ -152,7 +152,7 @@ def wide_frame(spark, sf_dir):
 
 WIDE_FRAME_SQL = f"""
 WITH {WIDE_CTE}
-SELECT timestamp, round(view + 1e-9, 6) AS view, round(click + 1e-9, 6) AS click, round(error + 1e-9, 6) AS error FROM wide
+SELECT timestamp, {", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in tables.WIDE)} FROM wide
 """
 
 

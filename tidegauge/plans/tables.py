@@ -13,7 +13,7 @@ from tidegauge.session import prepare
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 
 # Query ids of the wide frame, in column order, with their resample aggregates.
-WIDE = {"view": "mean", "click": "mean", "error": "mean"}
+WIDE = {"view": "mean", "click": "mean", "error": "mean", "purchase": "mean", "signup": "mean"}
 TARGET = "view"
 
 

@@ -8,10 +8,12 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidegauge.functions import calendar
-from tidegauge.operators import features, ordering, rolling
+from tidegauge.operators import aggregates, features, ordering, rolling
+from tidegauge.operators.merge import merge_series, resample
 from tidegauge.operators.rolling import DAY, HOUR
 from tidegauge.plans import tables
-from tidegauge.plans.filtering import WIDE_CTE
+from tidegauge.plans.filtering import WIDE_CTE, wide_cte
+from tidegauge.plans.grid import TRAINING_SQL
 
 COLUMNS = list(tables.WIDE)
 
@@ -45,16 +47,16 @@ def _season_sql(columns: str) -> str:
 
 
 def lag_rows(spark, sf_dir):
-    lags = {"1m": 1, "30m": 30, "1d": 1440}
-    df = features.lag_rows(tables.wide(spark, sf_dir), COLUMNS, lags)
-    return _rounded(df, [f"{c}_lag_{s}" for s in lags for c in COLUMNS])
+    """All lags of the feature set."""
+    df = features.lag_rows(tables.wide(spark, sf_dir), COLUMNS)
+    return _rounded(df, [f"{c}_lag_{s}" for s in features.LAGS for c in COLUMNS])
 
 
 LAG_ROWS_SQL = (
     f"WITH {WIDE_CTE} SELECT timestamp, "
     + ", ".join(
         f"round(lag({c}, {n}) OVER (ORDER BY timestamp) + 1e-9, 6) AS {c}_lag_{s}"
-        for s, n in {"1m": 1, "30m": 30, "1d": 1440}.items()
+        for s, n in features.LAGS.items()
         for c in COLUMNS
     )
     + " FROM wide"
@@ -63,8 +65,6 @@ LAG_ROWS_SQL = (
 
 def _keyed(spark, sf_dir):
     """Per event type on the one-minute grid: many series in one long frame."""
-    from tidegauge.operators.merge import resample
-
     return resample(tables.series(spark, sf_dir), {"value": "mean"}, keys=("query_id",))
 
 
@@ -90,7 +90,7 @@ FROM keyed WINDOW w AS (PARTITION BY query_id ORDER BY timestamp)
 _ROLLING = {
     "mean": (rolling.rolling_mean, "avg({c})", features.WIDTHS),
     "std": (rolling.rolling_std, "stddev_samp({c})", features.WIDTHS),
-    "p50": (rolling.rolling_p50, "median({c})", [HOUR, 6 * HOUR, 2 * DAY]),
+    "p50": (rolling.rolling_p50, "median({c})", features.WIDTHS),
     "p90": (
         rolling.rolling_p90,
         "list({c}) FILTER (WHERE {c} IS NOT NULL)",
@@ -123,6 +123,32 @@ def _rolling_sql(stat: str) -> str:
     )
 
 
+def rolling_std_spiked(spark, sf_dir):
+    """Deviations where every 997th value is a billion times too large: spikes must leave no trace.
+
+    Shown as logarithms, as the numbers span nine orders of magnitude.
+    """
+    spiked = F.when(F.col("event_id") % 997 == 0, F.col("value") * 1e9).otherwise(F.col("value"))
+    grid = merge_series(tables.series(spark, sf_dir).withColumn("value", spiked), tables.WIDE)
+    df = rolling.rolling_statistics(grid, COLUMNS, _SPIKE_WIDTHS, ("std",))
+    names = [f"{c}_std_{w}i" for w in _SPIKE_WIDTHS for c in COLUMNS]
+    return df.select("timestamp", *[tables.shown(F.log1p(F.abs(n)), 8).alias(n) for n in names])
+
+
+_SPIKE_WIDTHS = [HOUR, DAY, 7 * DAY]
+ROLLING_STD_SPIKED_SQL = (
+    "WITH spiked AS (SELECT * REPLACE (CASE WHEN event_id % 997 = 0 THEN value * 1e9 ELSE value END AS value) FROM events),"
+    f" {wide_cte('spiked')} SELECT timestamp, "
+    + ", ".join(
+        f"round(ln(1 + stddev_samp({c}) OVER (ORDER BY timestamp RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW))"
+        f" + 1e-11, 8) AS {c}_std_{w}i"
+        for w in _SPIKE_WIDTHS
+        for c in COLUMNS
+    )
+    + " FROM wide"
+)
+
+
 def rolling_keyed(spark, sf_dir):
     widths = [HOUR, 7 * DAY]
     df = rolling.rolling_statistics(_keyed(spark, sf_dir), ["value"], widths, keys=("query_id",))
@@ -175,7 +201,7 @@ def _feature_sql(lags: dict[str, int], widths: list[int]) -> tuple[str, dict[str
         moved.append(f"lag({c}_mean_{HOUR}i, 2) OVER (ORDER BY timestamp) AS older_{c}")
     ctes = (
         f"{WIDE_CTE}, raw AS (SELECT *, {', '.join(raw)} FROM wide),"
-        f" moved AS (SELECT timestamp, view, click, error, {', '.join(moved)} FROM raw)"
+        f" moved AS (SELECT timestamp, {', '.join(COLUMNS)}, {', '.join(moved)} FROM raw)"
     )
     expressions = {f"{c}_lag_{s}": f"{c}_lag_{s}" for s in lags for c in COLUMNS}
     expressions |= {f"{c}_{stat}_{w}i": f"{c}_{stat}_{w}i" for stat in ("mean", "std") for w in widths for c in COLUMNS}
@@ -205,7 +231,7 @@ DELTA_ZSCORE_SQL = _derived_sql(
 
 
 def ml_features(spark, sf_dir):
-    """The full set: 112 derived columns."""
+    """The full set of derived columns."""
     df = features.generate_features(tables.wide(spark, sf_dir), COLUMNS, tables.TARGET)
     return _rounded(df, [c for c in df.columns if c != "timestamp"], 4)
 
@@ -246,6 +272,21 @@ SELECT event_id, CASE WHEN i < trunc(total * (1 - 0.15::DOUBLE - 0.15::DOUBLE))
 """
 
 
+def split_ties(spark, sf_dir):
+    """The split of the training aggregate, whose rows share bucket times and hold maps, as counts."""
+    rows = aggregates.training_aggregate(tables.metric_rows(spark, sf_dir), tables.AS_OF)
+    parts = ordering.split_by_time(rows)
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, df in zip(("train", "val", "test"), parts)]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+SPLIT_TIES_SQL = f"""
+WITH t AS ({TRAINING_SQL}), n AS (SELECT count(*) AS n FROM t),
+s AS (SELECT n, trunc(n * (1 - 0.15::DOUBLE - 0.15::DOUBLE))::BIGINT AS a, trunc(n * (1 - 0.15::DOUBLE))::BIGINT AS b FROM n)
+SELECT 'train' AS part, a AS n FROM s UNION ALL SELECT 'val', b - a FROM s UNION ALL SELECT 'test', n - b FROM s
+"""
+
+
 def row_index(spark, sf_dir):
     rows = tables.events(spark, sf_dir).select("event_id", "event_type", "timestamp")
     indexed = ordering.with_row_index(rows, ("timestamp", "event_id"))
@@ -307,11 +348,13 @@ QUERIES = {
     "lag_rows": (lag_rows, LAG_ROWS_SQL),
     "lag_rows_keyed": (lag_rows_keyed, LAG_ROWS_KEYED_SQL),
     **{f"rolling_{stat}": (partial(rolling_query, stat=stat), _rolling_sql(stat)) for stat in _ROLLING},
+    "rolling_std_spiked": (rolling_std_spiked, ROLLING_STD_SPIKED_SQL),
     "rolling_keyed": (rolling_keyed, ROLLING_KEYED_SQL),
     "diff_ratio": (diff_ratio, DIFF_RATIO_SQL),
     "delta_zscore": (delta_zscore, DELTA_ZSCORE_SQL),
     "ml_features": (ml_features, _ml_features_sql()),
     "chrono_split": (chrono_split, CHRONO_SPLIT_SQL),
+    "split_ties": (split_ties, SPLIT_TIES_SQL),
     "row_index": (row_index, ROW_INDEX_SQL),
     "sequences": (sequences, SEQUENCES_SQL),
 }
