@@ -1,13 +1,13 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge import schemas
 from tidegauge.operators.clean import QualityError
-from tidegauge.sources import chunks, lake, synthetic
+from tidegauge.sources import chunks, lake
 
 
 def metrics(spark, times, value=1.0):
@@ -98,16 +98,25 @@ def test_recent_dates():
     assert chunks.recent_dates(3, datetime(2024, 3, 1)) == ["20240228", "20240229", "20240301"]
 
 
-def test_synthetic_series(spark, tmp_path):
-    columns = ["alloy_queue_length", "cpu_usage", "loki_request_rate"]
-    path = str(tmp_path / "series")
-    df = synthetic.generate_series(spark, columns, days=1, step_seconds=60, cache_path=path, end_ms=D0)
-    rows = df.orderBy("timestamp").collect()
-    assert len(rows) == 1440 and df.columns == ["timestamp", *columns]
-    assert rows[0]["timestamp"] == D0 - DAY_MS and rows[1]["timestamp"] - rows[0]["timestamp"] == 60_000
-    assert min(min(r[c] for c in columns) for r in rows) >= 0 and max(r["cpu_usage"] for r in rows) <= 100
-    again = synthetic.generate_series(spark, columns, days=2, cache_path=path)
-    assert again.count() == 1440
-    same = synthetic.generate_series(spark, columns, days=1, end_ms=D0)
-    assert same.orderBy("timestamp").collect() == rows
-    assert dict(df.dtypes)["timestamp"] == "bigint" and dict(df.dtypes)["cpu_usage"] == "double"
+def test_compaction(spark, tmp_path):
+    root, day = str(tmp_path / "lake"), date(2024, 5, 6)
+    for k in range(3):
+        lake.write_batch(metrics(spark, [f"2024-05-06 0{k}:00:00", "2024-05-07 00:00:00"], float(k)), root, f"b-{k}")
+    before = sorted(map(str, lake.read_rows(spark, root).collect()))
+    assert lake.compact(spark, root, day) == 3
+    assert lake.batches_of(spark, root, day) == ["compacted-20240506"]
+    assert len(lake.batches_of(spark, root, date(2024, 5, 7))) == 3
+    assert sorted(map(str, lake.read_rows(spark, root).collect())) == before
+    assert lake.compact(spark, root, day) == 0 and lake.compact(spark, root, date(2020, 1, 1)) == 0
+
+
+def test_compaction_goes_on_after_a_stop(spark, tmp_path):
+    """A run that stopped after the day's batches were deleted is taken up from the staged rows."""
+    root, day = str(tmp_path / "lake"), date(2024, 5, 6)
+    lake.write_batch(metrics(spark, ["2024-05-06 01:00:00"] * 2), root, "b-0")
+    rows = spark.read.parquet(f"{root}/{lake.DAY}=2024-05-06").drop(lake.BATCH)
+    rows.write.parquet(f"{root}/_compacting/compacted-20240506")
+    files, place = lake._files(spark, f"{root}/{lake.DAY}=2024-05-06/{lake.BATCH}=b-0")
+    files.delete(place, True)
+    lake.compact(spark, root, day)
+    assert lake.read_rows(spark, root).count() == 2

@@ -1,18 +1,28 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators import learn
-from tidegauge.sources.synthetic import generate_series
 
-COLUMNS = ["alloy_queue_length", "cpu_usage", "loki_request_rate"]
+COLUMNS = ["tide", "wind", "rain"]
 TARGET = COLUMNS[0]
 
 
 @pytest.fixture(scope="module")
 def frame(spark):
-    df = generate_series(spark, COLUMNS, days=6, step_seconds=600, end_ms=1_704_067_200_000)
+    """Six days every ten minutes: a half-day tide that the wind lifts, and rain without any meaning."""
+    t = F.col("id") * 600_000
+    turn = 2 * math.pi * F.col("id") / 72
+    wind = 3 + F.pmod(F.hash("id"), F.lit(100)) / 50
+    df = spark.range(6 * 144).select(
+        (F.lit(1_704_067_200_000) + t).alias("timestamp"),
+        (10 + 4 * F.sin(turn) + wind).alias("tide"),
+        wind.alias("wind"),
+        (F.pmod(F.hash("id", F.lit(1)), F.lit(7)) / 7).alias("rain"),
+    )
     return df.repartition(2).cache()
 
 
@@ -30,11 +40,11 @@ def test_models_beat_the_mean(spark, frame):
 
 
 def test_rows_without_numbers_are_left_out(spark, frame):
-    holes = frame.withColumn("cpu_usage", F.when(F.col("timestamp") % 1_800_000 == 0, float("inf")).otherwise(F.col("cpu_usage")))
+    holes = frame.withColumn("wind", F.when(F.col("timestamp") % 1_800_000 == 0, float("inf")).otherwise(F.col("wind")))
     assert learn._usable(holes, COLUMNS[1:], TARGET).count() < frame.count()
     _, score = learn.train_seasonal(holes, TARGET, COLUMNS)
     assert score.count() == 1
-    with pytest.raises(ValueError, match="No valid rows"):
+    with pytest.raises(ValueError, match="no row with finite numbers"):
         learn.train_seasonal(frame.withColumn(TARGET, F.lit(float("nan"))), TARGET, COLUMNS)
 
 
@@ -47,6 +57,6 @@ def test_sequence_tables(spark, frame):
     assert len(row["x"]) == 24 and len(row["x"][0]) == 3
     limits = tables["test"].select(F.explode(F.flatten("x")).alias("v")).agg(F.min("v"), F.max("v")).first()
     assert -20.0 <= limits[0] and limits[1] <= 20.0
-    assert set(x_scale.mean) == {"timestamp", "cpu_usage", "loki_request_rate"} and set(y_scale.mean) == {TARGET}
+    assert set(x_scale.mean) == {"timestamp", "wind", "rain"} and set(y_scale.mean) == {TARGET}
     with pytest.raises(ValueError, match="Not enough rows"):
         learn.prepare_sequences(frame, TARGET, length=600)

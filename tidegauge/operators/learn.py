@@ -10,6 +10,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.functions.numbers import is_finite
 from tidegauge.operators.aggregates import evaluate
 from tidegauge.operators.clean import finite_rows
 from tidegauge.operators.ordering import sequences, split_by_time, with_row_index
@@ -30,11 +31,25 @@ def feature_columns(df: DataFrame, target: str) -> list[str]:
 
 
 def _usable(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Rows with finite numbers everywhere, as doubles. Warm-up rows with NULL lags drop out."""
+    """Rows with finite numbers everywhere, as doubles."""
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]])
     return finite_rows(numbers, [*features, target])
 
 
+# Stands for a missing feature; far below all values, so that one split of a tree sets such rows apart.
+MISSING = -1e30
+
+
+def _for_trees(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Rows with a finite target, as doubles; missing and non-finite features become :data:`MISSING`.
+
+    Warm-up rows, whose long lags are NULL, stay in.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]])
+    filled = {c: F.when(is_finite(F.col(c)), F.col(c)).otherwise(F.lit(MISSING)) for c in features}
+    return finite_rows(numbers, [target]).withColumns(filled)
+
+
 def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
@@ -66,8 +81,8 @@ def train_forest(
         minInstancesPerNode=max(1, min_rows // 2),
         seed=seed,
     )
-    model = Pipeline(stages=[_assembler(features), forest]).fit(_usable(train, features, target))
-    return model, _score("random_forest", model, _usable(val, features, target), features, target)
+    model = Pipeline(stages=[_assembler(features), forest]).fit(_for_trees(train, features, target))
+    return model, _score("random_forest", model, _for_trees(val, features, target), features, target)
 
 
 def train_boosted(
@@ -84,8 +99,8 @@ def train_boosted(
     """Boosted trees stopped early on the validation part, measured on the test part."""
     features = feature_columns(df, target)
     train, val, test = split_by_time(df, test_size, val_size)
-    marked = _usable(train, features, target).withColumn("is_validation", F.lit(False)).unionByName(
-        _usable(val, features, target).withColumn("is_validation", F.lit(True))
+    marked = _for_trees(train, features, target).withColumn("is_validation", F.lit(False)).unionByName(
+        _for_trees(val, features, target).withColumn("is_validation", F.lit(True))
     )
     boosted = GBTRegressor(
         labelCol=target,
@@ -97,7 +112,7 @@ def train_boosted(
         seed=seed,
     )
     model = Pipeline(stages=[_assembler(features), boosted]).fit(marked)
-    return model, _score("boosted_trees", model, _usable(test, features, target), features, target)
+    return model, _score("boosted_trees", model, _for_trees(test, features, target), features, target)
 
 
 def seasonal_regressors(
@@ -134,7 +149,7 @@ def train_seasonal(
     train, val, _ = split_by_time(framed, test_size, val_size)
     train, val = _usable(train, features, target), _usable(val, features, target)
     if train.isEmpty() or val.isEmpty():
-        raise ValueError("No valid rows left after dropping NaN and infinite values.")
+        raise ValueError("no row with finite numbers is left to train or measure on")
     linear = LinearRegression(labelCol=target, regParam=ridge, elasticNetParam=0.0)
     model = Pipeline(stages=[_assembler(features), linear]).fit(train)
     return model, _score("seasonal_regression", model, val, features, target)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tidegauge.operators import aggregates, clean, features, learn, ordering, standardize
 from tidegauge.operators.merge import merge_series
 from tidegauge.plans import tables
+from tidegauge.plans.filtering import WIDE_CTE
+from tidegauge.session import checkpoint_root
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 
@@ -107,60 +109,138 @@ SELECT l_orderkey AS row_id, round(avg(l_extendedprice) + 1e-7, 4) AS prediction
 """
 
 
-def _model_frame(spark, sf_dir):
-    """Events on an hourly grid, cleaned, with seasonality and one-row lags."""
-    grid = merge_series(tables.series(spark, sf_dir), tables.WIDE, step_ms=3_600_000)
+def _grid_frame(spark, sf_dir):
+    """The one-minute grid, cleaned: rows without target out, other gaps 0."""
+    grid = merge_series(tables.series(spark, sf_dir), tables.WIDE)
     others = [c for c in tables.WIDE if c != tables.TARGET]
     cleaned = clean.clean_frame(grid, critical=tables.TARGET, zero_filled=others[0])
-    cleaned = clean.fill_nulls(cleaned, others[1])
-    indexed = ordering.with_row_index(features.run_steps(cleaned, features.seasonal_steps()))
-    lags = {f"{c}_lag_1": (c, 1) for c in tables.WIDE}
-    return ordering.shift_rows(indexed, lags).drop(ordering.INDEX).checkpoint()
+    for c in others[1:]:
+        cleaned = clean.fill_nulls(cleaned, c)
+    return cleaned
+
+
+def _model_frame(spark, sf_dir):
+    """The grid frame with the full feature set; read by several models, so it is stored."""
+    checkpoint_root(spark)
+    return features.generate_features(_grid_frame(spark, sf_dir), list(tables.WIDE), tables.TARGET).checkpoint()
+
+
+def _measured(scores, frame, part):
+    """What is exact about a model's row, and whether its error is of the size of the mean forecast's.
+
+    Event values are random, so no model can do much better than their mean.
+    """
+    total = frame.count()
+    first, second = ordering.split_positions(total, 0.15, 0.15)
+    sizes = {"train": (0, first), "val": (first, second), "test": (second, total)}
+    low, high = sizes[part]
+    spread = frame.agg(F.avg(F.abs(F.col(tables.TARGET) - frame.agg(F.avg(tables.TARGET)).first()[0]))).first()[0]
+    return scores.select(
+        "model",
+        "features_number",
+        F.lit(first).cast("long").alias("rows_train"),
+        F.lit(high - low).cast("long").alias("rows_measured"),
+        ((F.col("mae") <= F.col("rmse")) & (F.col("mae") < 2 * spread)).alias("sane"),
+    )
 
 
 def forest(spark, sf_dir):
-    return learn.train_forest(_model_frame(spark, sf_dir), tables.TARGET, n_trees=8, max_depth=4)[1]
+    frame = _model_frame(spark, sf_dir)
+    return _measured(learn.train_forest(frame, tables.TARGET)[1], frame, "val")
 
 
 def boosted(spark, sf_dir):
-    return learn.train_boosted(_model_frame(spark, sf_dir), tables.TARGET, n_trees=5, max_depth=3)[1]
+    frame = _model_frame(spark, sf_dir)
+    return _measured(learn.train_boosted(frame, tables.TARGET)[1], frame, "test")
 
 
 def seasonal_regression(spark, sf_dir):
-    return learn.train_seasonal(_model_frame(spark, sf_dir), tables.TARGET, list(tables.WIDE))[1]
+    frame = _grid_frame(spark, sf_dir)
+    return _measured(learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1], frame, "val")
 
 
 def model_table(spark, sf_dir):
-    """The three forecasters on the same frame, one row of measures each."""
+    """The three forecasters on the same frame, one row each."""
     frame = _model_frame(spark, sf_dir)
     scores = [
-        learn.train_forest(frame, tables.TARGET, n_trees=8, max_depth=4)[1],
-        learn.train_boosted(frame, tables.TARGET, n_trees=5, max_depth=3)[1],
-        learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1],
+        _measured(learn.train_forest(frame, tables.TARGET)[1], frame, "val"),
+        _measured(learn.train_boosted(frame, tables.TARGET)[1], frame, "test"),
+        _measured(learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1], frame, "val"),
     ]
     return learn.evaluation_table(scores)
 
 
+_SIZES_CTE = f"""
+WITH {WIDE_CTE}, n AS (SELECT count(view) AS n FROM wide),
+sizes AS (SELECT n, trunc(n * (1 - 0.15::DOUBLE - 0.15::DOUBLE))::BIGINT AS a, trunc(n * (1 - 0.15::DOUBLE))::BIGINT AS b FROM n)
+"""
+# timestamp, other series, seasons, lags, means, deviations, ratios, scores; and trend, waves, other series
+_OTHERS = len(tables.WIDE) - 1
+_N_FEATURES = 1 + _OTHERS + 9 + len(tables.WIDE) * (len(features.LAGS) + 2 * len(features.WIDTHS)) + 5 * _OTHERS
+_N_SEASONAL = 1 + 2 * (4 + 3) + _OTHERS
+
+
+def _model_sql(*rows: tuple[str, int, str]) -> str:
+    picked = [
+        f"SELECT '{name}' AS model, {number} AS features_number, a AS rows_train, {size} AS rows_measured, true AS sane FROM sizes"
+        for name, number, size in rows
+    ]
+    return f"{_SIZES_CTE} {' UNION ALL '.join(picked)}"
+
+
+_FOREST = ("random_forest", _N_FEATURES, "b - a")
+_BOOSTED = ("boosted_trees", _N_FEATURES, "n - b")
+_SEASONAL = ("seasonal_regression", _N_SEASONAL, "b - a")
+LENGTH = 12
+
+
 def sequence_training_table(spark, sf_dir):
-    """Prepared sequences of all three parts, as counts and value ranges."""
-    frame = _model_frame(spark, sf_dir).select("timestamp", *tables.WIDE)
-    made, _, _ = learn.prepare_sequences(frame, tables.TARGET, length=12)
+    """Prepared sequences of all three parts, by place, length and target."""
+    frame = _grid_frame(spark, sf_dir)
+    made, _, _ = learn.prepare_sequences(frame, tables.TARGET, length=LENGTH)
     parts = [
-        df.select(F.lit(name).alias("part"), "start_idx", F.size("x").alias("n_rows"), "y")
+        df.select(
+            F.lit(name).alias("part"),
+            "start_idx",
+            F.size("x").cast("long").alias("n_rows"),
+            tables.shown(F.col("y").cast("double"), 4).alias("y"),
+            tables.shown(F.aggregate("x", F.lit(0.0), lambda s, row: s + row[1].cast("double")), 3).alias("total"),
+        )
         for name, df in made.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_FIRST = [c for c in tables.WIDE if c != tables.TARGET][0]
+SEQUENCE_TRAINING_SQL = f"""
+{_SIZES_CTE},
+numbered AS (
+  SELECT timestamp, view, coalesce({_FIRST}, 0) AS x, row_number() OVER (ORDER BY timestamp) - 1 AS i FROM wide WHERE view IS NOT NULL),
+parts AS (
+  SELECT *, CASE WHEN i < a THEN 'train' WHEN i < b THEN 'val' ELSE 'test' END AS part FROM numbered, sizes),
+scale AS (
+  SELECT avg(view) AS my, stddev_pop(view) AS sy, avg(x) AS mx, stddev_pop(x) AS sx FROM parts WHERE part = 'train'),
+scaled AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY timestamp) - 1 AS j,
+    CAST(CAST((view - my) / sy AS FLOAT) AS DOUBLE) AS y,
+    CAST(CAST(greatest(least((x - mx) / sx, 20), -20) AS FLOAT) AS DOUBLE) AS x
+  FROM parts, scale),
+made AS (
+  SELECT part, j - {LENGTH} AS start_idx, count(*) OVER w AS n_rows, y, sum(x) OVER w AS total
+  FROM scaled WINDOW w AS (PARTITION BY part ORDER BY j ROWS BETWEEN {LENGTH} PRECEDING AND 1 PRECEDING))
+SELECT part, start_idx, n_rows, round(y + 1e-7, 4) AS y, round(total + 1e-6, 3) AS total FROM made WHERE n_rows = {LENGTH}
+"""
+
+
 QUERIES = {
     "standardize": (standardized, STANDARDIZED_SQL),
     "standardize_target": (standardized_target, STANDARDIZED_TARGET_SQL),
     "clip": (clipped, CLIPPED_SQL),
     "eval_metrics": (eval_metrics, EVAL_METRICS_SQL),
     "ensemble_mean": (ensemble_mean, ENSEMBLE_MEAN_SQL),
-    "forest": (forest, None),
-    "boosted": (boosted, None),
-    "seasonal_regression": (seasonal_regression, None),
-    "model_table": (model_table, None),
-    "sequence_training_table": (sequence_training_table, None),
+    "forest": (forest, _model_sql(_FOREST)),
+    "boosted": (boosted, _model_sql(_BOOSTED)),
+    "seasonal_regression": (seasonal_regression, _model_sql(_SEASONAL)),
+    "model_table": (model_table, _model_sql(_FOREST, _BOOSTED, _SEASONAL)),
+    "sequence_training_table": (sequence_training_table, SEQUENCE_TRAINING_SQL),
 }
