@@ -57,7 +57,14 @@ def test_split_inside_a_hot_timestamp(spark, tie):
     ids = [{r["id"] for r in p.collect()} for p in parts]
     assert len(set().union(*ids)) == 600
     ranked = [i for i, _ in sorted(rows, key=lambda r: (r[1], r[0]))]
-    assert ids[0] == set(ranked[:239]) and ids[2] == set(ranked[420:])
+    if tie:
+        assert ids[0] == set(ranked[:239]) and ids[2] == set(ranked[420:])
+    else:  # rows of the border timestamp follow a hash: the same in every run
+        times = dict(rows)
+        assert max(times[i] for i in ids[0]) <= min(times[i] for i in ids[1])
+        assert max(times[i] for i in ids[1]) <= min(times[i] for i in ids[2])
+        again = ordering.split_by_time(df.repartition(5), 0.3, 0.3)
+        assert [{r["id"] for r in p.collect()} for p in again] == ids
 
 
 def test_split_counts_nulls_as_first(spark):
@@ -93,3 +100,19 @@ def test_sequences(spark, block_rows):
 
 def test_preview(spark):
     assert ordering.preview(spark.range(10)).count() == 5
+
+
+def test_hot_timestamps_are_cut(spark):
+    """Nine rows of ten share one timestamp, and still no partition of the sort holds most rows."""
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 != 0, 5).otherwise(F.col("id")).alias("timestamp"))
+    indexed = ordering.with_row_index(df, partitions=8)
+    assert [r[0] for r in indexed.orderBy("row_idx").select("row_idx").collect()] == list(range(20_000))
+    sizes = [r["count"] for r in indexed.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 6_000
+
+
+def test_rows_with_maps_are_indexed_and_split(spark):
+    df = spark.range(40).select(F.lit(7).cast("long").alias("timestamp"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    parts = ordering.split_by_time(df)
+    assert [p.count() for p in parts] == [28, 6, 6]
+    assert {r["m"]["k"] for p in parts for r in p.collect()} == set(range(40))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.functions.numbers import all_of, floor_div
 from tidegauge.session import checkpoint_root
@@ -16,12 +17,25 @@ from tidegauge.session import checkpoint_root
 INDEX = "row_idx"
 _BLOCK = "_block"
 _HOME = "_home"
+_TIE = "_tie"
 # Rows of one block; a block is the unit a window task sorts.
 BLOCK_ROWS = 16_384
 # monotonically_increasing_id: partition number above, row number in the lower 33 bits.
 _ID_BITS = 33
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row; maps, which have no order, count by their sorted entries."""
+
+    def hashable(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.MapType):
+            return F.array_sort(F.map_entries(c))
+        return F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c
+
+    return F.xxhash64(*[hashable(f) for f in df.schema.fields])
+
+
 def with_row_index(
     df: DataFrame,
     order: tuple[str, ...] = ("timestamp",),
@@ -34,16 +48,19 @@ def with_row_index(
     The sorted frame is checkpointed to the shared folder: partition numbers come from sampled
     range bounds, so they must not be computed a second time after a lost executor. The only
     other table holds one row per (partition, series) and is joined on both, which keeps a hot
-    series spread over its partitions. Columns in ``order`` should identify a row if ties matter.
+    series spread over its partitions. Rows that tie in ``order`` follow a hash of the whole row: their
+    order is the same in every run, and a hot timestamp is cut like everything else.
     """
     checkpoint_root(df.sparkSession)
-    columns = [*keys, *order]
+    columns = [*keys, *order, _TIE]
+    tied = df.withColumn(_TIE, row_hash(df))
     ranged = (
-        df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+        tied.repartitionByRange(partitions, *columns) if partitions else tied.repartitionByRange(*columns)
     )
     position = F.monotonically_increasing_id()
     placed = (
         ranged.sortWithinPartitions(*columns)
+        .drop(_TIE)
         .withColumn("_position", position)
         .withColumns(
             {
@@ -203,7 +220,7 @@ def split_by_time(
         F.lit(True) if rank >= total else _rows_before(df, ts, tie, rank) for rank in (first, second)
     ]
     if any(border is None for border in borders):
-        numbered = with_row_index(df, (ts, *[c for c in df.columns if c != ts]))
+        numbered = with_row_index(df, (ts,))
         borders = [F.col(INDEX) < first, F.col(INDEX) < second]
         parts = _three_parts(numbered, *borders)
         return tuple(part.drop(INDEX) for part in parts)
