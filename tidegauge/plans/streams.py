@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -20,20 +21,39 @@ def _run_root(spark, name):
     return f"{checkpoint_root(spark)}/tidegauge/runs/{name}-{uuid.uuid4().hex}"
 
 
-def _message_files(spark, texts, root):
-    # Several files, so that the stream has several batches to take.
-    texts.select("value").write.option("maxRecordsPerFile", 50_000).text(root)
+# Message files of a run, and how many of them a micro-batch takes.
+FILES, FILES_PER_BATCH = 8, 2
+
+
+def _message_files(texts, root):
+    """Several files, so that the stream has several batches to take."""
+    texts.select("value").repartition(FILES).write.mode("append").text(root)
     return root
 
 
+def _ended(query, least: int = 3):
+    """Wait for a stream that takes what is there, and make sure that it went on in micro-batches."""
+    query.awaitTermination()
+    batches = sum(progress.numInputRows > 0 for progress in query.recentProgress)
+    if batches < least:
+        raise RuntimeError(f"the stream took {batches} batches, not {least}")
+
+
+def _mixed_ingest(spark, sf_dir, root):
+    """Metric and log messages in one stream of files, into both tables."""
+    texts = tables.otlp_messages(spark, sf_dir).select("value").unionByName(
+        tables.otlp_log_messages(spark, sf_dir).select("value")
+    )
+    files = _message_files(texts, f"{root}/messages")
+    stream = topics.read_message_files(spark, files, max_files=FILES_PER_BATCH)
+    sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
+    _ended(ingest.ingest(stream, sink, f"{root}/offsets"))
+
+
 def stream_ingest(spark, sf_dir):
-    """Message files streamed into the lake in several micro-batches and read back."""
+    """Message files streamed into the lake in several micro-batches; the metrics read back."""
     root = _run_root(spark, "ingest")
-    texts = tables.otlp_messages(spark, sf_dir).select("value")
-    files = _message_files(spark, texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes=64_000_000)
-    sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
-    ingest.ingest(stream, sink, f"{root}/offsets").awaitTermination()
+    _mixed_ingest(spark, sf_dir, root)
     rows = lake.read_rows(spark, f"{root}/lake/metrics")
     attributes = F.col("attributes")
     return rows.select(
@@ -54,11 +74,9 @@ FROM lake WHERE value IS NOT NULL
 
 
 def stream_ingest_logs(spark, sf_dir):
+    """The logs of the same stream."""
     root = _run_root(spark, "ingest-logs")
-    texts = tables.otlp_log_messages(spark, sf_dir).select("value")
-    files = _message_files(spark, texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files)
-    ingest.ingest(stream, ingest.LakeSink(f"{root}/lake"), f"{root}/offsets").awaitTermination()
+    _mixed_ingest(spark, sf_dir, root)
     rows = lake.read_rows(spark, f"{root}/lake/logs", "logs")
     return rows.select(F.unix_micros("timestamp").alias("ts_us"), "line", "service_name", "host", "env")
 
@@ -72,8 +90,9 @@ def stream_records(spark, sf_dir):
     """Message files mapped to flat stream records, written as JSON and read back."""
     root = _run_root(spark, "records")
     texts = tables.otlp_messages(spark, sf_dir).select("value")
-    files = _message_files(spark, texts, f"{root}/messages")
-    records = ingest.stream_metrics(topics.read_message_files(spark, files), decoding.RULES)
+    files = _message_files(texts, f"{root}/messages")
+    stream = topics.read_message_files(spark, files, max_files=FILES_PER_BATCH)
+    records = ingest.stream_metrics(stream, decoding.RULES)
     query = (
         topics.as_messages(records)
         .writeStream.format("text")
@@ -81,7 +100,7 @@ def stream_records(spark, sf_dir):
         .trigger(availableNow=True)
         .start(f"{root}/records")
     )
-    query.awaitTermination()
+    _ended(query)
     out = spark.read.text(f"{root}/records")
     return out.select(
         F.get_json_object("value", "$.timestamp").cast("bigint").alias("ts_ns"),
@@ -98,27 +117,32 @@ WITH r AS ({decoding.OTLP_METRICS_STREAM_SQL}) SELECT ts_ns, name, value, n_coun
 
 
 def stream_training_aggregate(spark, sf_dir):
-    """The training aggregate over a stream of the metric lake."""
+    """The training aggregate over a stream of metric rows in time order, ten days a batch.
+
+    State is bounded: only buckets within the lateness are kept. Each batch writes the means of the
+    buckets it touched; the latest batch of a bucket counts.
+    """
     root = _run_root(spark, "aggregate")
-    lake.append_rows(
-        tables.metric_rows(spark, sf_dir).drop("event_id").withColumns(
-            {c: F.lit(None).cast("string") for c in ("k8s_namespace_name", "cluster_name", "host", "env")}
-        ),
-        f"{root}/metrics",
+    rows = tables.metric_rows(spark, sf_dir).drop("event_id").withColumns(
+        {c: F.lit(None).cast("string") for c in ("k8s_namespace_name", "cluster_name", "host", "env")}
+    )
+    for first, last in ((1, 10), (11, 20), (21, 31)):
+        part = rows.filter(F.dayofmonth("timestamp").between(first, last))
+        part.repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{root}/metrics")
+    stream = (
+        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", str(FILES_PER_BATCH)).parquet(f"{root}/metrics")
     )
-    stored = lake.read_rows(spark, f"{root}/metrics")
-    stream = spark.readStream.schema(stored.schema).parquet(f"{root}/metrics")
-    means = ingest.running_training_aggregate(stream)
     query = (
-        means.writeStream.outputMode("complete")
-        .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{root}/means"))
+        ingest.running_training_aggregate(stream)
+        .writeStream.outputMode("update")
+        .foreachBatch(ingest.means_writer(f"{root}/means"))
         .option("checkpointLocation", f"{root}/offsets")
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    rows = spark.read.parquet(f"{root}/means")
-    return rows.select(
+    _ended(query)
+    means = ingest.latest_means(spark.read.parquet(f"{root}/means"))
+    return means.select(
         F.col("timestamp").alias("bucket_ms"),
         F.col("__name__").alias("name"),
         last_match(F.col("attributes"), "k").alias("k"),
@@ -154,6 +178,48 @@ FROM events WHERE ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY
 """
 
 
+def _batched_rows(spark, sf_dir, root):
+    rows = tables.metric_rows(spark, sf_dir)
+    for k in range(3):
+        lake.write_batch(rows.filter(F.col("event_id") % 3 == k).drop("event_id"), root, f"b-{k}")
+    return rows
+
+
+def _lake_rows(spark, root):
+    return lake.read_rows(spark, root).select(
+        F.unix_micros("timestamp").alias("ts_us"),
+        F.col("__name__").alias("name"),
+        "value",
+        F.date_format(lake.DAY, "yyyy-MM-dd").alias("day"),
+    )
+
+
+def lake_compacted(spark, sf_dir):
+    """Three batches a day, a week of closed days compacted: the rows stay, the partitions go."""
+    root = _run_root(spark, "compacted")
+    _batched_rows(spark, sf_dir, root)
+    for day in range(8, 15):
+        closed = date(2024, 1, day)
+        if lake.batches_of(spark, root, closed) and lake.compact(spark, root, closed) < 1:
+            raise RuntimeError(f"nothing to compact on {closed}")
+        if len(lake.batches_of(spark, root, closed)) > 1:
+            raise RuntimeError(f"{closed} still has several batches")
+    return _lake_rows(spark, root)
+
+
+def lake_replayed(spark, sf_dir):
+    """One of three batches written twice, as after a lost driver; it counts once."""
+    root = _run_root(spark, "replayed")
+    rows = _batched_rows(spark, sf_dir, root)
+    lake.write_batch(rows.filter(F.col("event_id") % 3 == 1).drop("event_id"), root, "b-1")
+    return _lake_rows(spark, root)
+
+
+LAKE_ROWS_SQL = """
+SELECT epoch_us(ts) AS ts_us, event_type AS name, value, strftime(ts, '%Y-%m-%d') AS day FROM events
+"""
+
+
 def lake_tables(spark, sf_dir):
     """Catalog tables created, filled, extended by a column and filled again; then dropped from the
     catalog, and their files read by path."""
@@ -211,5 +277,7 @@ QUERIES = {
     "stream_ingest_logs": (stream_ingest_logs, STREAM_INGEST_LOGS_SQL),
     "stream_records": (stream_records, STREAM_RECORDS_SQL),
     "stream_training_aggregate": (stream_training_aggregate, STREAM_TRAINING_SQL),
+    "lake_compacted": (lake_compacted, LAKE_ROWS_SQL),
+    "lake_replayed": (lake_replayed, LAKE_ROWS_SQL),
     "lake_recent": (lake_recent, LAKE_RECENT_SQL),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +110,46 @@ def write_batch(rows: DataFrame, root: str, batch: str) -> None:
     )
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def batches_of(spark: SparkSession, root: str, day: date) -> list[str]:
+    """Batch partitions that a day consists of."""
+    files, place = _files(spark, f"{root}/{DAY}={day:%Y-%m-%d}")
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{BATCH}="))
+
+
+def compact(spark: SparkSession, root: str, day: date) -> int:
+    """Rewrite the batches of a closed day as one partition; returns how many there were.
+
+    A closed day is one whose batches are committed: none of them may be written again. The new files
+    are written beside the table first. The day's batches are then deleted and the new partition is
+    moved in; a run that stops in between is taken up by the next call, so no row is lost or doubled.
+    Readers should wait meanwhile.
+    """
+    home, name = f"{root}/{DAY}={day:%Y-%m-%d}", f"compacted-{day:%Y%m%d}"
+    staged = f"{root}/_compacting/{name}"
+    files, ready = _files(spark, staged)
+    old = [b for b in batches_of(spark, root, day) if b != name]
+    if not files.exists(_files(spark, f"{staged}/_SUCCESS")[1]):
+        if not old:
+            return 0
+        rows = spark.read.parquet(home).drop(BATCH)
+        rows.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(staged)
+    for batch in batches_of(spark, root, day):
+        files.delete(_files(spark, f"{home}/{BATCH}={batch}")[1], True)
+    files.mkdirs(_files(spark, home)[1])
+    if not files.rename(ready, _files(spark, f"{home}/{BATCH}={name}")[1]):
+        raise OSError(f"could not move {staged} into the table")
+    return len(old)
+
+
 def read_rows(spark: SparkSession, root: str, kind: str = "metrics") -> DataFrame:
     """Read a path-based table in the current row layout; columns a file lacks read as NULL."""
     fields = [*TABLES[kind].fields, T.StructField(DAY, T.DateType())]

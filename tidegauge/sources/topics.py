@@ -27,10 +27,12 @@ def read_topics(
 
 
 def read_message_files(
-    spark: SparkSession, path: str, max_bytes: int | None = None
+    spark: SparkSession, path: str, max_bytes: int | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """Stream of message texts from files with one message per line."""
+    """Stream of message texts from files with one message per line; batches by bytes or files."""
     reader = spark.readStream.format("text")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return message_texts(reader.load(path))

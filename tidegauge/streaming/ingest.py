@@ -20,6 +20,7 @@ from tidegauge.operators.decode import (
 )
 from tidegauge.sources.lake import write_batch
 
+MEANS_BATCH = "means_batch"
 RowStep = Callable[[DataFrame], DataFrame]
 
 
@@ -109,9 +110,10 @@ def stream_logs(texts: DataFrame, on_error: str = "fail") -> DataFrame:
 def running_training_aggregate(
     metrics: DataFrame, bucket: str = "5 minutes", lateness: str = "10 minutes"
 ) -> DataFrame:
-    """The training aggregate on a stream: a bucket is emitted once it is past the lateness.
+    """The training aggregate on a stream; a bucket's state goes once it is past the lateness.
 
-    Attribute maps are grouped as sorted pair lists, which a streaming state can use as a key.
+    Meant for the append mode, which emits a bucket then, or the update mode with
+    :func:`means_writer`, which emits it with every batch that touches it. Attribute maps are grouped as sorted pair lists, which a streaming state can use as a key.
     """
 
     def pairs(column: str):
@@ -137,6 +139,27 @@ def running_training_aggregate(
     )
 
 
+def means_writer(root: str) -> Callable[[DataFrame, int], None]:
+    """Batch function for the update mode: each batch has a partition of its own, replaced on replay."""
+
+    def write(means: DataFrame, batch_id: int) -> None:
+        (
+            means.withColumn(MEANS_BATCH, F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MEANS_BATCH)
+            .parquet(root)
+        )
+
+    return write
+
+
+def latest_means(written: DataFrame) -> DataFrame:
+    """Of each bucket the mean of the last batch that touched it."""
+    keys = [c for c in written.columns if c not in ("value", MEANS_BATCH)]
+    return written.groupBy(*keys).agg(F.max_by("value", MEANS_BATCH).alias("value"))
+
+
 class CounterListener(StreamingQueryListener):
     """Keeps the observed counters of every micro-batch, by counter name."""
 
