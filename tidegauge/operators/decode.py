@@ -80,9 +80,9 @@ def parse_messages(df: DataFrame, on_error: str = "fail", value: str = "value")
     if on_error != "quarantine":
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not '{on_error}'")
     layout = T.StructType([*schemas.OTLP_MESSAGE.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = rows.withColumn(
-        "message", F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
-    )
+    # Unfolded, so that the test below and later filters read the parsed message, not the text again.
+    message = F.from_json(text, layout, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = unfold(rows, rows.columns, F.array(message), "message")
     return parsed.withColumn(
         "is_bad", F.col(f"message.{_CORRUPT}").isNotNull() | _has_bad_number(F.col("message"))
     )

@@ -114,11 +114,29 @@ FROM conversations
 """
 
 
+def _without_metrics(spark, sf_dir):
+    """One message per event that is valid and holds no metric, in five forms by turns."""
+    forms = ["{}", '{"resourceMetrics":[]}', '{"resourceMetrics":[{}]}', '{"resourceMetrics":[{"scopeMetrics":[]}]}']
+    forms.append('{"resourceMetrics":[{"resource":{},"scopeMetrics":[{"metrics":[]}]}]}')
+    turn = (F.col("event_id") % len(forms)).cast("int")
+    return tables.events(spark, sf_dir).select(F.get(F.array(*map(F.lit, forms)), turn).alias("value"))
+
+
+def otlp_empty(spark, sf_dir):
+    """Messages without metrics among the others add no row."""
+    messages = tables.otlp_messages(spark, sf_dir).select("value").unionByName(_without_metrics(spark, sf_dir))
+    rows = decode.flatten_metrics(decode.parse_messages(messages))
+    return rows.groupBy(F.col("__name__").alias("name")).agg(F.count(F.lit(1)).alias("n_points"))
+
+
+OTLP_EMPTY_SQL = f"WITH lake AS ({OTLP_METRICS_LAKE_SQL}) SELECT name, count(*) AS n_points FROM lake GROUP BY 1"
+
+
 def otlp_publishable(spark, sf_dir):
-    """Messages that hold a metric, as JSON again; the logs messages among them are skipped."""
+    """Messages that hold a metric, as JSON again; logs messages and those without metrics are skipped."""
     metrics = tables.otlp_messages(spark, sf_dir).select("value")
     logs = tables.otlp_log_messages(spark, sf_dir).select("value")
-    parsed = decode.parse_messages(metrics.unionByName(logs))
+    parsed = decode.parse_messages(metrics.unionByName(logs).unionByName(_without_metrics(spark, sf_dir)))
     texts = decode.publishable(parsed)
     first = "$.resourceMetrics[0].scopeMetrics[0].metrics[0]"
     return texts.select(
@@ -251,6 +269,7 @@ SELECT 'rejected', CAST(count(*) AS VARCHAR) FROM events WHERE event_id % 13 = 0
 
 
 QUERIES = {
+    "otlp_empty": (otlp_empty, OTLP_EMPTY_SQL),
     "otlp_quarantine": (otlp_quarantine, OTLP_QUARANTINE_SQL),
     "otlp_metrics_lake": (otlp_metrics_lake, OTLP_METRICS_LAKE_SQL),
     "otlp_metrics_stream": (otlp_metrics_stream, OTLP_METRICS_STREAM_SQL),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.anyvalue import kv_matches
-from tidegauge.operators import aggregates, clean, filters
+from tidegauge.operators import aggregates, clean, filters, ordering
 from tidegauge.plans import tables
 from tidegauge.session import checkpoint_root
 from tidegauge.sources import chunks
@@ -292,6 +293,37 @@ WITH {WIDE_CTE} SELECT {_FILLED} FROM wide
 WHERE timestamp >= epoch_ms(TIMESTAMP '2024-01-15 00:00:00') AND timestamp < epoch_ms(TIMESTAMP '2024-01-16 00:00:00')
 """
 
+def chunk_order(spark, sf_dir):
+    """Rows per chunk, and rows that stand before an earlier one in their file: none."""
+    stored = spark.read.parquet(_written_chunks(spark, sf_dir)).select(
+        F.col(chunks.CHUNK).cast("string").alias("chunk_date"),
+        "timestamp",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+    )
+    before = F.lag("timestamp").over(Window.partitionBy("file").orderBy("place"))
+    return stored.withColumn("late", F.coalesce(before > F.col("timestamp"), F.lit(False))).groupBy("chunk_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_late")
+    )
+
+
+CHUNK_ORDER_SQL = f"""
+WITH {WIDE_CTE} SELECT strftime(make_timestamp(timestamp * 1000), '%Y%m%d') AS chunk_date, count(*) AS n_rows, 0 AS n_late
+FROM wide GROUP BY 1
+"""
+
+
+def preview(spark, sf_dir):
+    """The first rows after a sort."""
+    rows = tables.events(spark, sf_dir).select("event_id", "timestamp", "value")
+    return ordering.preview(rows.orderBy("timestamp", "event_id"), 7)
+
+
+PREVIEW_SQL = """
+SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, value FROM events ORDER BY 2, 1 LIMIT 7
+"""
+
+
 CHUNK_ROWS_SQL = f"""
 WITH {WIDE_CTE} SELECT strftime(make_timestamp(timestamp * 1000), '%Y%m%d') AS chunk_date, count(*) AS n_rows
 FROM wide GROUP BY 1
@@ -353,6 +385,8 @@ QUERIES = {
     "day_range": (day_range, DAY_RANGE_SQL),
     "day_chunks": (day_chunks, DAY_CHUNKS_SQL),
     "day_chunk": (day_chunk, DAY_CHUNK_SQL),
+    "chunk_order": (chunk_order, CHUNK_ORDER_SQL),
+    "preview": (preview, PREVIEW_SQL),
     "chunk_rows": (chunk_rows, CHUNK_ROWS_SQL),
     "dedup_last_wins": (dedup_last_wins, DEDUP_SQL),
     "distinct_names": (distinct_names, DISTINCT_NAMES_SQL),
