@@ -134,7 +134,9 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
             F.substring("ids", (4 * start + 1).cast("int"), (4 * (high - low)).cast("int")).alias("ids"),
         )
 
-    placed = stored.join(offsets, "part").withColumns({"begin": begin, "windows": F.sequence(first, last)})
+    # so the ids stay where they are
+    small = base.broadcast_if_small(offsets, totals.count())
+    placed = stored.join(small, "part").withColumns({"begin": begin, "windows": F.sequence(first, last)})
     return placed.select("doc_id", "doc_tokens", F.inline(F.transform("windows", piece)))
 
 
