@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import base
-from tidegauge.llm.shingles import shingle_hashes
+from tidegauge.llm.shingles import distinct, shingle_hashes
 
 # One in so many shingle hashes is kept.
 SCALE = 4
@@ -38,7 +38,7 @@ _NO_ID = -(1 << 63)
 
 def retained(hashes: np.ndarray) -> np.ndarray:
     """The sketch of a set of hashes: sorted, without repeats."""
-    below = np.unique(hashes[hashes < THRESHOLD])
+    below = distinct(hashes[hashes < THRESHOLD])
     return below if len(below) or not len(hashes) else hashes.min(keepdims=True)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import base
 from tidegauge.llm.components import components
-from tidegauge.llm.shingles import mix, shingle_hashes
+from tidegauge.llm.shingles import distinct, mix, shingle_hashes
 
 # Similarity in percent.
 SIMILARITY = 80
@@ -50,6 +50,7 @@ VERIFY_COST = 0.25
 # Lists up to this length are joined as pairs; longer ones are cut in blocks of so many documents.
 SHORT_LIST = 64
 BLOCK_DOCS = 512
+_ODD = 0x9E3779B97F4A7C15
 
 
 def least_overlap(n):
@@ -67,15 +68,16 @@ def similar(shared, n_a, n_b):
 
 
 def shingle_set(text: str) -> np.ndarray:
-    return np.unique(shingle_hashes(text))
+    return distinct(shingle_hashes(text))
 
 
 def _class_of(hashes: np.ndarray) -> int:
     """64-bit hash of a set; positive, 0 for the empty set."""
     if not len(hashes):
         return 0
-    total = (mix(hashes) * np.uint64(0x9E3779B97F4A7C15)).sum(dtype="u8") ^ np.bitwise_xor.reduce(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)))
-    return int(mix(np.array([total]))[0] >> np.uint64(1)) | 1
+    # the hashes are well mixed already, so their sum tells sets apart
+    total = hashes.sum(dtype="u8", keepdims=True)
+    return int(mix(total * np.uint64(_ODD) + np.bitwise_xor.reduce(hashes))[0] >> np.uint64(1)) | 1
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -146,7 +148,8 @@ def sieve(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     continue
                 count = rough[_slot(own)]
                 spare = n - least_overlap(n)
-                first = np.lexsort((own, count))[: spare + sift_matches(n)]
+                # the set is sorted by hash, so a stable sort leaves ties in that order
+                first = np.argsort(count, kind="stable")[: spare + sift_matches(n)]
                 wanted = sift_matches(least_overlap(n))
                 size = len(first)
                 row = own[first].view("i8"), np.full(size, _class_of(own)), np.full(size, wanted)
@@ -157,14 +160,15 @@ def sieve(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         return apply
 
     postings = base.map_batches(docs, make, "hash long, class long, wanted long, counted boolean, hot boolean")
-    same = Window.partitionBy("hash")
-    cold = postings.filter(~F.col("hot")).drop("hot")
-    shared = (
-        cold.withColumns({"least": F.min("class").over(same), "most": F.max("class").over(same)})
-        .filter("least < most AND counted")
+    # a very frequent shingle counts as shared without gathering its rows
+    spread = F.when(F.col("hot"), F.col("class")).otherwise(F.lit(0))
+    same = Window.partitionBy("hash", "spread")
+    found = (
+        postings.withColumn("spread", spread)
+        .withColumns({"least": F.min("class").over(same), "most": F.max("class").over(same)})
+        .filter("(hot OR least < most) AND counted")
         .select("hash", "class", "wanted")
     )
-    found = shared.unionAll(postings.filter("hot AND counted").select("hash", "class", "wanted"))
     matches = found.groupBy("class").agg(F.count_distinct("hash").alias("matches"), F.first("wanted").alias("wanted"))
     return matches.filter("matches >= wanted").select("class")
 
@@ -186,6 +190,12 @@ def choose_length(n: int, frequencies: np.ndarray) -> tuple[int, int]:
     return best + 1, int(min(ends[best], len(frequencies)))
 
 
+def _sets_of(texts: list[str], classes: list[int]) -> list[np.ndarray | None]:
+    """Shingle sets of texts; None where the text is not of the class its id stands for (a repeated id)."""
+    sets = [shingle_set(t) for t in texts]
+    return [s if _class_of(s) == c else None for s, c in zip(sets, classes)]
+
+
 def posting_lists(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """(hash, doc, n, matches) for the chosen prefix of every document; ``docs`` holds one per class."""
     hot_above = _hot_above(counts)
@@ -195,18 +205,21 @@ def posting_lists(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         rough = table.value
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+            found = _sets_of(batch.column("text").to_pylist(), batch.column("class").to_pylist())
+            sets = [np.empty(0, "u8") if s is None else s for s in found]
             sizes = [len(s) for s in sets]
             flat = np.concatenate(sets)
-            columns = [flat.view("i8"), np.repeat(batch.column(0).to_numpy(), sizes), np.repeat(sizes, sizes), rough[_slot(flat)] > hot_above]
+            ids = np.repeat(batch.column("doc_id").to_numpy(), sizes)
+            columns = [flat.view("i8"), ids, np.repeat(sizes, sizes), rough[_slot(flat)] > hot_above]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "doc", "n", "hot"])
 
         return apply
 
     rows = base.map_batches(docs, make, "hash long, doc long, n long, hot boolean")
     very_often = 1 << 40
-    cold = rows.filter(~F.col("hot")).withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("hash")))
-    counted = cold.drop("hot").unionByName(rows.filter("hot").drop("hot").withColumn("often", F.lit(very_often)))
+    spread = F.when(F.col("hot"), F.col("doc")).otherwise(F.lit(0))
+    number = F.count(F.lit(1)).over(Window.partitionBy("hash", "spread"))
+    counted = rows.withColumn("spread", spread).withColumn("often", F.when(F.col("hot"), very_often).otherwise(number))
     # the shared shingles of one document
     per_doc = (
         counted.filter("often > 1")
@@ -245,15 +258,18 @@ def verify_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that are similar, checked on their texts: each text ``a`` is followed by its partners."""
     asked = pairs.select(F.col("a").alias("lead"), F.col("b").alias("doc_id"))
     asked = asked.unionAll(pairs.select(F.col("a").alias("lead"), F.col("a").alias("doc_id")).distinct())
-    texts = docs.join(asked, "doc_id").select("lead", (F.col("lead") != F.col("doc_id")).alias("partner"), "doc_id", "text")
+    partner = F.col("lead") != F.col("doc_id")
+    texts = docs.join(asked, "doc_id").select("lead", partner.alias("partner"), "doc_id", "text", "class")
     ordered = texts.repartition("lead").sortWithinPartitions("lead", "partner", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, own_lead = np.empty(0, "u8"), None
         for batch in batches:
             links = []
-            for lead, partner, doc, text in zip(*[c.to_pylist() for c in batch.columns]):
-                hashes = shingle_set(text)
+            leads, partners, docs_, texts_, classes = [c.to_pylist() for c in batch.columns]
+            for lead, partner, doc, hashes in zip(leads, partners, docs_, _sets_of(texts_, classes)):
+                if hashes is None:
+                    continue
                 if not partner:
                     own, own_lead = hashes, lead
                 elif lead == own_lead:
@@ -323,13 +339,16 @@ def block_links(lists: DataFrame, docs: DataFrame) -> DataFrame:
     groups = dealt.select(
         "hash", "doc_id", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("side")
     )
-    texts = docs.join(groups, "doc_id").select("hash", "low", "high", "side", "doc_id", "text")
+    texts = docs.join(groups, "doc_id").select("hash", "low", "high", "side", "doc_id", "text", "class")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("doc_id").to_pylist()
-        sets = [shingle_set(t) for t in table.column("text").to_pylist()]
-        found = spanning_links(sets, np.array(table.column("side").to_pylist()))
+        found = _sets_of(table.column("text").to_pylist(), table.column("class").to_pylist())
+        rows = [k for k, s in enumerate(found) if s is not None]
+        ids, sides = (table.column(name).take(pa.array(rows, pa.int64())).to_pylist() for name in ("doc_id", "side"))
+        if not rows:
+            return schema.empty_table()
+        found = spanning_links([found[k] for k in rows], np.array(sides))
         pairs = [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in found]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (zip(*pairs) if pairs else ([], []))], schema=schema)
 
@@ -347,11 +366,11 @@ def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     leads = members.groupBy("class").agg(F.min("doc_id").alias("lead"))
     known = docs.filter(F.col("doc_id").isNotNull())
     sieved = base.stage_table(sieve(known, counts), "sieved")
-    # a text per class; rows may repeat an id, so its class is checked where texts are read
+    # a text per class; rows may repeat an id, so the class of a text is checked where it is read
     chosen = base.stage_table(leads.join(sieved, "class").select(F.col("lead").alias("doc_id"), "class"), "chosen")
     small = base.broadcast_if_small(chosen, chosen.count())
-    texts = _one_text(known.join(small, "doc_id"))
-    lists = base.stage_table(posting_lists(texts.select("doc_id", "text"), counts), "posting-lists")
+    texts = known.join(small, "doc_id")
+    lists = base.stage_table(posting_lists(texts, counts), "posting-lists")
     sizes = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sized = base.stage_table(lists.join(sizes, "hash"), "sized-lists")
     pairs = short_pairs(sized.filter(F.col("size") <= SHORT_LIST).drop("size"))
@@ -382,18 +401,5 @@ def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def _one_text(texts: DataFrame) -> DataFrame:
-    """Of rows that share an id, those whose text is of the class the id stands for."""
-
-    def make():
-        def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            good = [_class_of(shingle_set(t)) == c for t, c in zip(batch.column("text").to_pylist(), batch.column("class").to_pylist())]
-            return batch.filter(pa.array(good, pa.bool_()))
-
-        return apply
-
-    return base.map_batches(texts.select("doc_id", "text", "class"), make, "doc_id long, text string, class long")
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_groups(base.read(spark, sf_dir, "documents")).drop("class")
