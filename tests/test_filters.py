@@ -73,8 +73,8 @@ def test_rule_table_equals_rule_list(spark):
 
 def test_log_rules(spark):
     data = [
-        ("alloy", "level=info started", []),
-        ("alloy", "information only", []),
+        ("agent", "level=info started", []),
+        ("agent", "information only", []),
         ("web", "x", [("level", "INFO")]),
         ("web", "info", [("level", "warn")]),
         ("web", None, []),
@@ -86,7 +86,7 @@ def test_log_rules(spark):
     def lines(rules):
         return [r["line"] for r in filters.include_logs(df, rules).collect()]
 
-    assert lines([{"service_name": "alloy"}]) == ["level=info started", "information only"]
+    assert lines([{"service_name": "agent"}]) == ["level=info started", "information only"]
     assert lines([{"level": "info"}]) == ["level=info started", "x"]
     assert lines([{"contains": "info"}]) == ["level=info started", "information only", "info"]
     assert lines([{"service_name": "web", "level": "info"}, {"contains": "only"}]) == ["information only", "x"]

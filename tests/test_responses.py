@@ -80,10 +80,10 @@ def test_pairs_stop_at_the_shorter_column(spark):
 
 def test_message_nesting(spark):
     text = answer(A=[frame([[T0], [42.0]], {"job": "api"}), frame([[T0, T0 + 1], [1.0, 2.0]])], B=[])
-    nested = responses.to_otlp(parsed(spark, text), resource_attributes={"service.name": "alloy"})
+    nested = responses.to_otlp(parsed(spark, text), resource_attributes={"service.name": "agent"})
     out = json.loads(nested.select(decode.serialize(F.col("message"))).first()[0])
     resource = out["resourceMetrics"][0]
-    assert resource["resource"]["attributes"] == [{"key": "service.name", "value": {"stringValue": "alloy"}}]
+    assert resource["resource"]["attributes"] == [{"key": "service.name", "value": {"stringValue": "agent"}}]
     scope = resource["scopeMetrics"][0]
     assert scope["scope"] == {"name": "grafana"} and len(scope["metrics"]) == 1
     dps = scope["metrics"][0]["gauge"]["dataPoints"]

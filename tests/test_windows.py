@@ -135,9 +135,9 @@ def test_small_row_blocks_give_the_same_lags(spark):
 def test_feature_set_against_single_steps(spark):
     rng = random.Random(8)
     rows = [(i * MIN, rng.random(), rng.random() * 9, None if rng.random() < 0.1 else 4.0) for i in range(300)]
-    df = spark.createDataFrame(rows, "timestamp long, alloy_queue_length double, cpu_usage double, loki_request_rate double")
-    columns = ["alloy_queue_length", "cpu_usage", "loki_request_rate"]
-    got = features.generate_features(df, columns, "alloy_queue_length").orderBy("timestamp")
+    df = spark.createDataFrame(rows, "timestamp long, queue double, load double, rate double")
+    columns = ["queue", "load", "rate"]
+    got = features.generate_features(df, columns, "queue").orderBy("timestamp")
     assert len(got.columns) == 4 + 9 + 33 + 30 + 30 + 4 + 6 - 0
     assert got.columns[4:7] == ["hour_sin", "hour_cos", "hour_sin_1"]
     assert got.columns[13:16] == [f"{c}_lag_1m" for c in columns]
@@ -146,13 +146,13 @@ def test_feature_set_against_single_steps(spark):
     h = [mean(cpu[max(0, i - 59) : i + 1]) for i in range(300)]
     sd = [std(cpu[max(0, i - 59) : i + 1]) for i in range(300)]
     i = 200
-    assert found[i][f"cpu_usage_mean_{HOUR}i"] == pytest.approx(h[i - 1])
-    assert found[i]["cpu_usage_diff_mean_1h"] == pytest.approx(cpu[i - 1] - h[i - 1])
-    assert found[i]["cpu_usage_delta_mean_1h"] == pytest.approx(h[i - 1] - h[i - 2])
-    assert found[i]["cpu_usage_zscore_1h"] == pytest.approx((cpu[i - 1] - h[i - 1]) / sd[i - 1])
-    assert found[i]["cpu_usage_ratio_mean_1h_1d"] == pytest.approx(h[i - 1] / mean(cpu[:i]))
-    assert found[i]["loki_request_rate_zscore_1h"] is None and found[0]["cpu_usage_lag_1m"] is None
-    minimal = features.generate_features(df, columns, "alloy_queue_length", kind="sequence")
+    assert found[i][f"load_mean_{HOUR}i"] == pytest.approx(h[i - 1])
+    assert found[i]["load_diff_mean_1h"] == pytest.approx(cpu[i - 1] - h[i - 1])
+    assert found[i]["load_delta_mean_1h"] == pytest.approx(h[i - 1] - h[i - 2])
+    assert found[i]["load_zscore_1h"] == pytest.approx((cpu[i - 1] - h[i - 1]) / sd[i - 1])
+    assert found[i]["load_ratio_mean_1h_1d"] == pytest.approx(h[i - 1] / mean(cpu[:i]))
+    assert found[i]["rate_zscore_1h"] is None and found[0]["load_lag_1m"] is None
+    minimal = features.generate_features(df, columns, "queue", kind="sequence")
     assert len(minimal.columns) == 4 + 9
     with pytest.raises(ValueError, match="unknown"):
         features.generate_features(df, ["nope"], "nope")
