@@ -14,6 +14,7 @@ documents is the order in which the first pass stored them.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +33,9 @@ END_ID = 2
 # Chunks kept per worker; beyond that the memory starts anew.
 KEPT_CHUNKS = 1_000_000
 KEPT_LENGTH = 64
+# A word of plain letters and signs behind it, without apostrophes (they can start a contraction) and the
+# signs of special strings: such words are split off by the vocabulary's pattern, whatever their case.
+_WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-;=-@\[-`{}~]*)").fullmatch
 
 
 class ChunkTokenizer:
@@ -50,11 +54,30 @@ class ChunkTokenizer:
             if self._ids([text])[0] != b"".join(self._ids(["one", "two"])):
                 raise ValueError("the tokenizer must drop white space")
         self._kept: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks; words are asked for in lower case and without the signs behind them."""
+        words = self._words
+        if len(words) >= KEPT_CHUNKS:
+            words.clear()
+            words[""] = b""
+        plans = []
+        for chunk in chunks:
+            found = _WORD_AND_SIGNS(chunk)
+            plans.append((found[1].lower(), found[2]) if found else (chunk, ""))
+        new = list({part for plan in plans for part in plan if part not in words})
+        words.update(zip(new, self._ids(new)))
+        ids = [words[word] + words[signs] for word, signs in plans]
+        for part in new:
+            if len(part) > KEPT_LENGTH:
+                del words[part]
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -63,7 +86,7 @@ class ChunkTokenizer:
             kept.clear()
         new = list({c for chunks in split for c in chunks if c not in kept})
         long: dict[str, bytes] = {}
-        for chunk, ids in zip(new, self._ids(new)):
+        for chunk, ids in zip(new, self._chunk_ids(new)):
             (kept if len(chunk) <= KEPT_LENGTH else long)[chunk] = ids
         if long:
             return [b"".join([kept[c] if len(c) <= KEPT_LENGTH else long[c] for c in chunks]) for chunks in split]
