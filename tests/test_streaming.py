@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from check import compare
 from tests.otlp import logs_message, metric, metrics_message, point
 from tidegauge.operators import aggregates, decode
 from tidegauge.operators.clean import count_rows
+from tidegauge.plans import streams
 from tidegauge.sources import lake, topics
 from tidegauge.streaming import ingest
 
@@ -131,6 +134,20 @@ def test_running_aggregate_equals_batch(spark, tmp_path):
     assert key(got) == key(batch)
 
 
+@pytest.mark.parametrize(
+    "kept, months",
+    [("true", 2), ("true", 14), ("event_id < 2", 1), ("event_id < 1", 1), ("event_id < 0", 1)],
+)
+def test_stream_over_months_drops_no_row(spark, tmp_path, kept, months):
+    moved = F.expr(f"ts + make_interval(0, cast(event_id % {months} AS int))")
+    given = spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter(kept)
+    given.withColumn("ts", moved).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    good, text = compare(streams.stream_training_aggregate(spark, str(tmp_path)), con, streams.STREAM_TRAINING_SQL)
+    assert good, text
+
+
 def test_counters_reach_the_listener(spark, tmp_path):
     listener = ingest.CounterListener()
     spark.streams.addListener(listener)

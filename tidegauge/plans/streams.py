@@ -116,32 +116,48 @@ WITH r AS ({decoding.OTLP_METRICS_STREAM_SQL}) SELECT ts_ns, name, value, n_coun
 """
 
 
+def _time_slices(rows, number: int = 3):
+    """Filters that cut rows into slices in time order, by quantiles of the whole table, none empty.
+
+    A slice ends with a time that occurs, so few distinct times give fewer slices; rows without a time
+    are in none, as they are in no bucket.
+    """
+    at = F.unix_micros("timestamp")
+    shares = F.array(*[F.lit(k / number) for k in range(1, number)])
+    found = rows.select(at.alias("at")).agg(F.percentile_approx("at", shares).alias("cuts"), F.max("at").alias("last")).first()
+    if found["last"] is None:
+        return []
+    ends = sorted({*found["cuts"], found["last"]})
+    return [(at <= end) if k == 0 else (at > ends[k - 1]) & (at <= end) for k, end in enumerate(ends)]
+
+
 def stream_training_aggregate(spark, sf_dir):
-    """The training aggregate over a stream of metric rows in time order, ten days a batch.
+    """The training aggregate over a stream of metric rows in time order, a slice of the time a batch.
 
-    State is bounded: only buckets within the lateness are kept. Each batch writes the means of the
-    buckets it touched; the latest batch of a bucket counts.
+    The stream is taken up again for each slice, so a batch never holds a part of one, however many
+    files it has: no row is behind the watermark. State is bounded: only buckets within the lateness are
+    kept. Each batch writes the means of the buckets it touched; the latest batch of a bucket counts.
     """
     root = _run_root(spark, "aggregate")
     rows = tables.metric_rows(spark, sf_dir).drop("event_id").withColumns(
         {c: F.lit(None).cast("string") for c in ("k8s_namespace_name", "cluster_name", "host", "env")}
     )
-    for first, last in ((1, 10), (11, 20), (21, 31)):
-        part = rows.filter(F.dayofmonth("timestamp").between(first, last))
-        part.repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{root}/metrics")
-    stream = (
-        spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", str(FILES_PER_BATCH)).parquet(f"{root}/metrics")
-    )
-    query = (
-        ingest.running_training_aggregate(stream)
-        .writeStream.outputMode("update")
-        .foreachBatch(ingest.means_writer(f"{root}/means"))
-        .option("checkpointLocation", f"{root}/offsets")
-        .trigger(availableNow=True)
-        .start()
-    )
-    _ended(query)
-    means = ingest.latest_means(spark.read.parquet(f"{root}/means"))
+    # an empty table is streamed too: one file without rows
+    slices = _time_slices(rows)
+    for part in slices or [F.lit(False)]:
+        rows.filter(part).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{root}/metrics")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/metrics")
+        aggregate = ingest.running_training_aggregate(stream)
+        query = (
+            aggregate.writeStream.outputMode("update")
+            .foreachBatch(ingest.means_writer(f"{root}/means"))
+            .option("checkpointLocation", f"{root}/offsets")
+            .trigger(availableNow=True)
+            .start()
+        )
+        _ended(query, min(1, len(slices)))
+    written = spark.read.schema(aggregate.schema.add(ingest.MEANS_BATCH, "long")).parquet(f"{root}/means")
+    means = ingest.latest_means(written)
     return means.select(
         F.col("timestamp").alias("bucket_ms"),
         F.col("__name__").alias("name"),
