@@ -19,7 +19,10 @@ from tidegauge.llm import base, jaccard_join, language_id, line_dedup, packing
 
 
 def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text, without a letter or without a language that can be told go."""
+    """Documents without text, without a letter or without a language that can be told go.
+
+    The rule is the same for any number of languages; if no row is labelled, it is about letters only.
+    """
     return language_id.with_known_language(docs, language_id.learn(docs))
 
 

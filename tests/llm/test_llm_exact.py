@@ -326,6 +326,38 @@ def test_kernel_is_folded_into_weights():
     assert language_id.fit([]).predict(["text"])[0] == ["und"]
 
 
+def invented(number, rng):
+    """As many languages, each with words of its own made of syllables that several share."""
+    syllables = [c + v + e for c in "bdfgklmnprstvz" for v in "aeiou" for e in ("", "n", "r", "s")]
+    return [["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(60)] for _ in range(number)]
+
+
+@pytest.mark.parametrize("number", [2, 4, 40])
+def test_told_language_whatever_the_number_of_languages(spark, number):
+    rng = random.Random(number)
+    words = invented(number, rng)
+    rows = [(k, " ".join(rng.choices(words[k % number], k=50)), f"l{k % number:02d}") for k in range(25 * number)]
+    rows.append((-1, "12 + 12 = 24", None))
+    if number > 2:  # of two languages the better one stands out always
+        rows.append((-2, " ".join(w for own in words for w in own), None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"] for r in corpus_pipeline.told_language(spark, docs, "").collect()}
+    assert got == set(range(25 * number))
+
+
+def test_told_language_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [tuple(r) for r in corpus_pipeline.told_language(spark, docs, "").collect()] == [(1, "some words", None)]
+
+
+@pytest.mark.parametrize("number", [2, 4, 22, 100])
+def test_score_of_ideal_outputs(number):
+    weights = np.where(np.eye(number) > 0, 1.0, -1.0).astype("f4")[:1]
+    slots = language_id.Presence().slots("ab")
+    model = language_id.Model([f"l{k}" for k in range(number)], slots, weights)
+    assert model.predict(["ab"])[1][0] > 0.99
+
+
 def test_pipeline(spark, texts):
     pieces = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
