@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import calendar
 from tidegauge.operators import features, ordering, rolling
+from tidegauge.plans import tables, windows
 
 MIN, HOUR, DAY = rolling.MINUTE, rolling.HOUR, rolling.DAY
 NAN = float("nan")
@@ -86,6 +87,20 @@ def test_rolling_against_brute_force(spark, make, stat, label):
             assert [r[f"v_{label}_{w}i"] for r in found] == pytest.approx(expected, abs=1e-6)
 
 
+def test_p90_query_has_all_widths(spark, tmp_path):
+    given = spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter("event_id % 4 = 0")
+    given.write.parquet(str(tmp_path / "events.parquet"))
+    names = list(tables.WIDE)
+    grid = sorted(tuple(r) for r in tables.wide(spark, str(tmp_path)).select("timestamp", *names).collect())
+    got = windows.rolling_query(spark, str(tmp_path), "p90").orderBy("timestamp").collect()
+    assert len(got) == len(grid) > 200 and grid[-1][0] - grid[0][0] > 28 * DAY
+    for k, c in enumerate(names, 1):
+        points = [(r[0], r[k]) for r in grid]
+        for w in features.WIDTHS:
+            expected = expected_shifted(points, w, p90)
+            assert [r[f"{c}_p90_{w}i"] for r in got] == pytest.approx(expected, abs=1e-4)
+
+
 def test_equal_values_have_no_deviation(spark):
     rows = [("k", i * MIN, 1e6 + 0.1 if i > 500 else float(i)) for i in range(2000)]
     got = rolling.rolling_statistics(frame(spark, rows), ["v"], [HOUR, 12 * HOUR])

@@ -94,7 +94,7 @@ _ROLLING = {
     "p90": (
         rolling.rolling_p90,
         "list({c}) FILTER (WHERE {c} IS NOT NULL)",
-        [HOUR, 6 * HOUR, 2 * DAY],
+        features.WIDTHS,
     ),
 }
 
