@@ -12,6 +12,7 @@ from tidegauge.llm import (
     quotation_threads,
     sentence_pieces,
     sharding,
+    spelling_variants,
     token_counts,
 )
 
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_neighbours": neighbours.query,
     "op9_line_dedup": line_dedup.query,
     "op10_language_id": language_id.query,
+    "op13_spelling_variants": spelling_variants.query,
 }
 ORACLES = {
     "op3_quotation_threads": quotation_threads.SQL,
     "op7_sharding": sharding.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op13_spelling_variants": spelling_variants.SQL,
 }
