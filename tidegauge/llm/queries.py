@@ -9,9 +9,11 @@ from tidegauge.llm import (
     line_dedup,
     neighbours,
     packing,
+    prefix_trie,
     quotation_threads,
     sentence_pieces,
     sharding,
+    simhash_trees,
     spelling_variants,
     token_counts,
 )
@@ -27,11 +29,14 @@ QUERIES = {
     "op8_neighbours": neighbours.query,
     "op9_line_dedup": line_dedup.query,
     "op10_language_id": language_id.query,
+    "op11_simhash_trees": simhash_trees.query,
+    "op12_prefix_trie": prefix_trie.query,
     "op13_spelling_variants": spelling_variants.query,
 }
 ORACLES = {
     "op3_quotation_threads": quotation_threads.SQL,
     "op7_sharding": sharding.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
     "op13_spelling_variants": spelling_variants.SQL,
 }
