@@ -57,7 +57,7 @@ PER_ROW = {
     "edited": fingerprints.edited_likeness,
     "shards": sharding.shard,
     "lines": line_dedup.clean,
-    "languages": lambda df: language_id.identify(df.select("doc_id", "text"), language_id.learn(df)),
+    "languages": lambda df: language_id.identify(df, language_id.learn(df)),
 }
 
 
@@ -133,3 +133,25 @@ def test_neighbours_of_awkward_vectors(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 50), (50, 1, 2), (50, 2, 0), (50, 3, 1)]
     assert neighbours.nearest(df.limit(0), df).count() == 0
     assert neighbours.nearest(df, df.limit(0)).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    """A clean text stays although a copy stands under the same id; links do not mix texts of one id."""
+    a = " ".join(f"alpha{i}" for i in range(40))
+    b = " ".join(f"beta{i}" for i in range(40))
+    near_b = b + " more"
+    rows = [(1, a), (2, a), (2, b), (3, near_b), (3, "quite another text of six words"), (3, near_b), (None, a)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, _gone string, first string")
+    kept = sorted((tuple(r)[:2] for r in jaccard_join.one_per_group(df).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (3, "quite another text of six words"), (None, a)], key=str)
+    groups = {(r["doc_id"], r["n_shingles"]): r for r in jaccard_join.link_groups(df).collect()}
+    assert groups[2, 36]["component_id"] in (1, 2) and groups[3, 37]["component_id"] == 2 and groups[3, 2]["component_id"] == 3
+    members = {(r["doc_id"], r["group"]) for r in jaccard_join.link_groups(df).filter("doc_id IS NOT NULL").collect()}
+    assert len({g for _, g in members}) == 3
+
+
+def test_counters_add_up_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ADD_AT_ONCE", 2)
+    df = spark.createDataFrame([(i, f"common words in all of the texts and {i}") for i in range(40)], "doc_id long, text string").repartition(9)
+    counts = jaccard_join.rough_counts(jaccard_join.survey(df).cache())
+    assert counts.sum() == sum(len(jaccard_join.shingle_set(f"common words in all of the texts and {i}")) for i in range(40))

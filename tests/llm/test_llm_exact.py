@@ -332,12 +332,14 @@ def invented(number, rng):
     return [["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(60)] for _ in range(number)]
 
 
-@pytest.mark.parametrize("number", [2, 4, 40])
+@pytest.mark.parametrize("number", [1, 2, 4, 40])
 def test_told_language_whatever_the_number_of_languages(spark, number):
     rng = random.Random(number)
     words = invented(number, rng)
     rows = [(k, " ".join(rng.choices(words[k % number], k=50)), f"l{k % number:02d}") for k in range(25 * number)]
     rows.append((-1, "12 + 12 = 24", None))
+    rows.append((-3, "этот текст написан на совсем другом языке " * 3, None))
+    rows.append((-4, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=400)), None))
     if number > 2:  # of two languages the better one stands out always
         rows.append((-2, " ".join(w for own in words for w in own), None))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -350,6 +352,34 @@ def test_told_language_without_labels(spark):
     assert [tuple(r) for r in corpus_pipeline.told_language(spark, docs, "").collect()] == [(1, "some words", None)]
 
 
+def test_outputs_are_those_of_the_explicit_kernel():
+    """N-gram sets, kernel, Nystroem landmarks and ridge solution written out, beside the folded weights."""
+
+    def grams(text):
+        text = text.lower()
+        return {(n, text[i : i + n]) for n in language_id.ORDERS for i in range(len(text) - n + 1)}
+
+    def kernel(a, b):
+        return len(a & b) / (len(a) * len(b)) ** 0.5
+
+    rng = random.Random(3)
+    words = invented(3, rng)
+    texts = [(f"l{k % 3}", " ".join(rng.choices(words[k % 3], k=12))) for k in range(24)]
+    presence = language_id.Presence()
+    # hardly a slot is shared
+    assert sum(len(presence.slots(t)) for _, t in texts) > 0.995 * sum(len(grams(t)) for _, t in texts)
+    model = language_id.fit([(lang, presence.slots(t)) for lang, t in texts], landmarks_per_lang=4, ridge=1e-2)
+    sets = [grams(t) for _, t in texts]
+    marks = [k for k in range(24) if k < 12]
+    full = np.array([[kernel(a, sets[m]) for m in marks] for a in sets])
+    target = np.array([[1.0 if lang == own else -1.0 for own in model.languages] for lang, _ in texts])
+    dual = np.linalg.solve(full.T @ full + 1e-2 * 24 * full[marks] + 1e-9 * np.eye(12), full.T @ target)
+    new = [" ".join(rng.choices(words[k % 3], k=9)) for k in range(90)]
+    want = np.array([[kernel(grams(t), sets[m]) for m in marks] for t in new]) @ dual
+    got = model.outputs([presence.slots(t) for t in new])
+    assert np.abs(got - want).max() < 0.02 and (got.argmax(axis=1) == np.arange(90) % 3).mean() > 0.95
+
+
 @pytest.mark.parametrize("number", [2, 4, 22, 100])
 def test_score_of_ideal_outputs(number):
     weights = np.where(np.eye(number) > 0, 1.0, -1.0).astype("f4")[:1]

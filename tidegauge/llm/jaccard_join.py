@@ -18,9 +18,12 @@ No pair is dropped: lists have no cap, only two ways to be worked through. Shing
 as are classes of equal sets. Shingles whose rough count is far above the mean are not counted exactly
 but sorted last, so that counting never gathers a very frequent shingle in one task.
 
+Links are between classes of equal sets, not between ids: an id may stand on rows with different texts.
+
 Defined results: NULL texts and texts without words have no shingles and are linked with nothing; rows
-that are repeated whole are one document; a row without id takes no part and gets a NULL component; an
-empty table gives an empty one; other columns are ignored, whatever their names.
+that are repeated whole are one document; rows with one id and different texts are documents of their own; a
+row without id takes no part and gets a NULL component; an empty table gives an empty one; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +55,8 @@ VERIFY_COST = 0.25
 SHORT_LIST = 64
 BLOCK_DOCS = 512
 _ODD = 0x9E3779B97F4A7C15
+# Counter tables added up in one group; more tasks are added in rounds.
+ADD_AT_ONCE = 128
 
 
 def least_overlap(n):
@@ -85,9 +91,14 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: rows (doc_id, n, class) and, per task, its counters in pieces."""
+    """One pass over the texts: rows (doc_id, text_a, text_b, n, class) and, per task, its counters in pieces.
+
+    ``text_a`` and ``text_b`` are a 128-bit hash that tells the texts of a repeated id apart.
+    """
     base.small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("piece", pa.int32()), ("counts", pa.binary())])
+    longs = ["doc_id", "text_a", "text_b", "n", "class"]
+    schema = pa.schema([*[(c, pa.int64()) for c in longs], ("task", pa.int64()), ("piece", pa.int32()), ("counts", pa.binary())])
+    hashed = docs.select("doc_id", "text", *[h.alias(c) for c, h in zip(longs[1:3], base.hash128(F.col("text")))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << SLOT_BITS, "i8")
@@ -96,28 +107,40 @@ def survey(docs: DataFrame) -> DataFrame:
             if not sets:
                 continue
             counters += np.bincount(_slot(np.concatenate(sets)), minlength=1 << SLOT_BITS)
-            nothing = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
+            nothing = [pa.nulls(len(sets), f.type) for f in list(schema)[5:]]
             numbers = [pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_of(s) for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, *nothing], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *numbers, *nothing], schema=schema)
         if counters.any():
             pieces = [p.tobytes() for p in np.split(counters, SLOT_BLOCKS)]
-            nothing = [pa.nulls(SLOT_BLOCKS, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(SLOT_BLOCKS), pa.int32()), pa.array(pieces, pa.binary())], schema=schema)
+            nothing = [pa.nulls(SLOT_BLOCKS, pa.int64())] * 5
+            task = pa.array([TaskContext.get().partitionId()] * SLOT_BLOCKS, pa.int64())
+            yield pa.RecordBatch.from_arrays([*nothing, task, pa.array(range(SLOT_BLOCKS), pa.int32()), pa.array(pieces, pa.binary())], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n long, class long, piece int, counts binary")
+    return hashed.mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", task long, piece int, counts binary")
 
 
 def rough_counts(surveyed: DataFrame) -> np.ndarray:
-    """Sum of the tasks' counters; the driver gets a table of fixed size."""
+    """Sum of the tasks' counters; the driver gets a table of fixed size.
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, "i8") for c in table.column("counts").to_pylist())
-        return pa.table({"piece": pa.array([table.column("piece")[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+    Tables are added ``ADD_AT_ONCE`` at a time, so a group stays the same size however many tasks there were.
+    """
 
-    pieces = surveyed.filter(F.col("piece").isNotNull()).select("piece", "counts")
-    rows = pieces.groupBy("piece").applyInArrow(add, "piece int, counts binary").collect()
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_py(), "i8") for c in table.column("counts"))
+        first = {c: table.column(c)[:1] for c in ("task", "piece")}
+        return pa.table({**first, "counts": pa.array([total.tobytes()], pa.binary())})
+
+    pieces = surveyed.filter(F.col("piece").isNotNull()).select("task", "piece", "counts")
+    tasks = pieces.agg(F.max("task")).first()[0]
+    while tasks is not None:
+        pieces = pieces.withColumn("task", F.floor(F.col("task") / ADD_AT_ONCE))
+        pieces = pieces.groupBy("piece", "task").applyInArrow(add, "task long, piece int, counts binary")
+        tasks //= ADD_AT_ONCE
+        if not tasks:
+            break
+        pieces = base.stage_table(pieces, "counters")
     counts = np.zeros((SLOT_BLOCKS, (1 << SLOT_BITS) // SLOT_BLOCKS), "i8")
-    for row in rows:
+    for row in pieces.collect() if tasks is not None else []:
         counts[row["piece"]] = np.frombuffer(row["counts"], "i8")
     return counts.reshape(-1)
 
@@ -197,7 +220,7 @@ def _sets_of(texts: list[str], classes: list[int]) -> list[np.ndarray | None]:
 
 
 def posting_lists(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(hash, doc, n, matches) for the chosen prefix of every document; ``docs`` holds one per class."""
+    """(hash, doc, n, matches) for the chosen prefix of every class; ``docs`` holds (doc_id: its class, text, class)."""
     hot_above = _hot_above(counts)
     table = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -356,50 +379,74 @@ def block_links(lists: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def link_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, class (of equal sets), component_id (smallest doc_id
-    reachable by links)."""
+    """One row per input row: doc_id, text_a, text_b, n_shingles, class (of equal sets), group (least class
+    reachable by links), component_id (smallest doc_id of the group)."""
     docs = base.id_and_text(df, doc_id, text)
     surveyed = base.stage_table(survey(docs), "survey")
     counts = rough_counts(surveyed)
-    rows = surveyed.filter(F.col("piece").isNull()).select("doc_id", "n", "class")
+    rows = surveyed.filter(F.col("n").isNotNull()).select("doc_id", "text_a", "text_b", "n", "class")
     members = rows.filter("doc_id IS NOT NULL AND n > 0")
-    leads = members.groupBy("class").agg(F.min("doc_id").alias("lead"))
+    leads = base.stage_table(members.groupBy("class").agg(F.min("doc_id").alias("lead")), "leads")
     known = docs.filter(F.col("doc_id").isNotNull())
     sieved = base.stage_table(sieve(known, counts), "sieved")
     # a text per class; rows may repeat an id, so the class of a text is checked where it is read
     chosen = base.stage_table(leads.join(sieved, "class").select(F.col("lead").alias("doc_id"), "class"), "chosen")
     small = base.broadcast_if_small(chosen, chosen.count())
-    texts = known.join(small, "doc_id")
+    texts = known.join(small, "doc_id").select(F.col("class").alias("doc_id"), "text", "class")
     lists = base.stage_table(posting_lists(texts, counts), "posting-lists")
     sizes = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sized = base.stage_table(lists.join(sizes, "hash"), "sized-lists")
     pairs = short_pairs(sized.filter(F.col("size") <= SHORT_LIST).drop("size"))
     long = sized.filter(F.col("size") > SHORT_LIST).select("hash", "doc", "size")
     links = base.stage_table(verify_pairs(pairs, texts).unionAll(block_links(long, texts)), "verified")
-    groups = components(links).withColumnsRenamed({"node": "lead"})
-    by_class = leads.join(groups, "lead", "left").select("class", F.coalesce("component", "lead").alias("component_id"))
-    joined = rows.join(by_class, "class", "left")
+    linked = leads.join(components(links).withColumnsRenamed({"node": "class", "component": "group"}), "class")
+    linked = base.stage_table(linked, "linked-classes")
+    least = base.stage_table(linked.groupBy("group").agg(F.min("lead").alias("component_id")), "groups")
+    named = linked.join(base.broadcast_if_small(least, least.count()), "group").select("class", "group", "component_id")
+    single = leads.join(linked, "class", "left_anti").select("class", F.col("class").alias("group"), F.col("lead").alias("component_id"))
+    joined = rows.join(named.unionByName(single), "class", "left")
     # texts without words are alone
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), "class", component.alias("component_id"))
+    known_id = F.col("doc_id").isNotNull()
+    return joined.select(
+        "doc_id",
+        "text_a",
+        "text_b",
+        F.col("n").alias("n_shingles"),
+        "class",
+        F.when(known_id, F.col("group")).alias("group"),
+        F.when(known_id, F.coalesce("component_id", "doc_id")).alias("component_id"),
+    )
 
 
 def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df``, of each group of linked documents only the smallest id; once if it is repeated.
+    """The rows of ``df``, of each group of linked documents only one: that with the smallest id.
 
-    Texts without words and rows without id all stay. The columns stay as they are, whatever their names.
+    A document is an id with its text: another text under an id that goes stays unless it is in the group,
+    too. Rows that repeat id and text stay once. Texts without words and rows without id all stay. The columns
+    stay as they are, whatever their names.
     """
+    identity = ["doc_id", "text_a", "text_b"]
     groups = base.stage_table(link_groups(df, doc_id, text), "groups").filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    again = groups.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
-    same = F.col(f"`{doc_id}`")
-    left = df.join(base.broadcast_if_small(gone, gone.count()), same == F.col("_gone"), "left_anti")
-    if again.isEmpty():
-        return left
-    return left.join(again, same == F.col("_again"), "left_anti").unionByName(
-        left.join(again, same == F.col("_again"), "left_semi").dropDuplicates([doc_id])
-    )
+    # one row per document; rows repeated whole count once
+    documents = groups.groupBy("group", *identity).agg(F.count(F.lit(1)).alias("copies"))
+    documents = base.stage_table(documents, "group-documents")
+    first = documents.groupBy("group").agg(F.min(F.struct(*identity)).alias("first"), F.count(F.lit(1)).alias("several"))
+    first = base.stage_table(first.filter("several > 1").select("group", "first"), "first-of-groups")
+    gone = documents.join(base.broadcast_if_small(first, first.count()), "group").filter(F.struct(*identity) != F.col("first"))
+    gone = base.stage_table(gone.select(*identity), "gone")
+    again = base.stage_table(documents.filter("copies > 1").select(*identity), "again")
+    # the given columns travel in a struct, where no name can clash
+    hashes = base.hash128(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    keys = [F.col(f"`{doc_id}`").cast("long"), *hashes]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[k.alias(c) for c, k in zip(identity, keys)])
+    left = rows.join(base.broadcast_if_small(gone, gone.count()), identity, "left_anti")
+    repeated = again.count()
+    if repeated:
+        small = base.broadcast_if_small(again, repeated)
+        once = left.join(small, identity, "left_semi").groupBy(*identity).agg(F.first("row").alias("row"))
+        left = left.join(small, identity, "left_anti").select("row").unionByName(once.select("row"))
+    return left.select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_groups(base.read(spark, sf_dir, "documents")).drop("class")
+    return link_groups(base.read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
