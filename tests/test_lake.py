@@ -98,25 +98,103 @@ def test_recent_dates():
     assert chunks.recent_dates(3, datetime(2024, 3, 1)) == ["20240228", "20240229", "20240301"]
 
 
+def stored_rows(spark, root):
+    return sorted(map(str, lake.read_rows(spark, root).collect()))
+
+
 def test_compaction(spark, tmp_path):
     root, day = str(tmp_path / "lake"), date(2024, 5, 6)
     for k in range(3):
         lake.write_batch(metrics(spark, [f"2024-05-06 0{k}:00:00", "2024-05-07 00:00:00"], float(k)), root, f"b-{k}")
-    before = sorted(map(str, lake.read_rows(spark, root).collect()))
+    before = stored_rows(spark, root)
     assert lake.compact(spark, root, day) == 3
-    assert lake.batches_of(spark, root, day) == ["compacted-20240506"]
-    assert len(lake.batches_of(spark, root, date(2024, 5, 7))) == 3
-    assert sorted(map(str, lake.read_rows(spark, root).collect())) == before
+    (name,) = lake.batches_of(spark, root, day)
+    assert name.startswith("compacted-20240506") and len(lake.batches_of(spark, root, date(2024, 5, 7))) == 3
+    assert stored_rows(spark, root) == before
+    assert lake.drop_replaced(spark, root, day) == 3 and lake.drop_replaced(spark, root, day) == 0
+    assert stored_rows(spark, root) == before
     assert lake.compact(spark, root, day) == 0 and lake.compact(spark, root, date(2020, 1, 1)) == 0
 
 
-def test_compaction_goes_on_after_a_stop(spark, tmp_path):
-    """A run that stopped after the day's batches were deleted is taken up from the staged rows."""
+def test_compaction_again_with_late_and_replayed_batches(spark, tmp_path):
+    root, day = str(tmp_path / "lake"), date(2024, 5, 6)
+    batch = {k: metrics(spark, [f"2024-05-06 0{k}:00:00"], float(k)) for k in range(4)}
+    for k in range(2):
+        lake.write_batch(batch[k], root, f"b-{k}")
+    assert lake.compact(spark, root, day) == 2
+    lake.write_batch(batch[2], root, "b-2")
+    assert lake.read_rows(spark, root).count() == 3
+    assert lake.compact(spark, root, day) == 2 and lake.drop_replaced(spark, root, day) == 4
+    # a batch compacted twice over is replayed, as after a lost driver
+    lake.write_batch(batch[0], root, "b-0")
+    lake.write_batch(batch[3], root, "b-3")
+    assert sorted(r["value"] for r in lake.read_rows(spark, root).collect()) == [0.0, 1.0, 2.0, 3.0]
+    assert lake.compact(spark, root, day) == 2
+    assert sorted(r["value"] for r in lake.read_rows(spark, root).collect()) == [0.0, 1.0, 2.0, 3.0]
+    assert sorted(r["value"] for r in lake.read_recent(spark, root, 7, datetime(2024, 5, 7)).collect()) == [0.0, 1.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("step", ["staging", "entry", "before the rename", "after the rename", "deleting"])
+def test_compaction_stopped_at_each_step(spark, tmp_path, monkeypatch, step):
+    """A run stops, a late batch of the day is written, the next call goes on: no row is lost or doubled."""
+
+    class Stop(Exception):
+        pass
+
+    def stop(*_):
+        raise Stop
+
+    root, day = str(tmp_path / "lake"), date(2024, 5, 6)
+    rows = metrics(spark, [f"2024-05-06 0{k}:00:00" for k in range(9)])
+    for k in range(3):
+        lake.write_batch(rows.filter(F.hour("timestamp") % 3 == k), root, f"b-{k}")
+    before = stored_rows(spark, root)
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        if step == "staging":
+            lake._files(spark, f"{root}/_compacting/compacted-20240506-dead")[0].mkdirs(lake._files(spark, f"{root}/_compacting/compacted-20240506-dead")[1])
+            patch.setattr(lake, "_entries", stop)
+        elif step == "entry":
+            patch.setattr(lake, "_write_entry", stop)
+        elif step == "before the rename":
+            real = lake._write_entry
+            patch.setattr(lake, "_write_entry", lambda *a: (real(*a), stop()))
+        else:
+            lake.compact(spark, root, day)
+            if step == "deleting":
+                real_delete, calls = lake._delete, []
+                patch.setattr(lake, "_delete", lambda *a: stop() if calls else (calls.append(1), real_delete(*a)))
+                lake.drop_replaced(spark, root, day)
+            raise Stop
+        lake.compact(spark, root, day)
+    assert stored_rows(spark, root) == before
+    lake.write_batch(metrics(spark, ["2024-05-06 20:00:00"]), root, "late")
+    after = stored_rows(spark, root)
+    assert len(after) == 10
+    lake.compact(spark, root, day)
+    assert stored_rows(spark, root) == after and len(lake.batches_of(spark, root, day)) == 1
+    lake.drop_replaced(spark, root, day)
+    assert stored_rows(spark, root) == after and len(lake._stored_batches(spark, root, day)) == 1
+    assert lake._names(spark, f"{root}/_compacting") == []
+
+
+def test_reader_that_began_before_a_compaction(spark, tmp_path):
+    root, day = str(tmp_path / "lake"), date(2024, 5, 6)
+    for k in range(3):
+        lake.write_batch(metrics(spark, [f"2024-05-06 0{k}:00:00"]), root, f"b-{k}")
+    early = lake.read_rows(spark, root)
+    lake.compact(spark, root, day)
+    late = lake.read_rows(spark, root)
+    assert early.count() == late.count() == 3
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and lake.BATCH in plan.split("PartitionFilters")[1]
+    assert lake.read_rows(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_compaction_keeps_columns_of_single_batches(spark, tmp_path):
     root, day = str(tmp_path / "lake"), date(2024, 5, 6)
-    lake.write_batch(metrics(spark, ["2024-05-06 01:00:00"] * 2), root, "b-0")
-    rows = spark.read.parquet(f"{root}/{lake.DAY}=2024-05-06").drop(lake.BATCH)
-    rows.write.parquet(f"{root}/_compacting/compacted-20240506")
-    files, place = lake._files(spark, f"{root}/{lake.DAY}=2024-05-06/{lake.BATCH}=b-0")
-    files.delete(place, True)
+    lake.write_batch(metrics(spark, ["2024-05-06 01:00:00"]), root, "b-0")
+    lake.write_batch(metrics(spark, ["2024-05-06 02:00:00"]).withColumn("zone", F.lit("z")), root, "b-1")
     lake.compact(spark, root, day)
+    lake.drop_replaced(spark, root, day)
+    assert spark.read.parquet(f"{root}/{lake.DAY}=2024-05-06").filter("zone = 'z'").count() == 1
     assert lake.read_rows(spark, root).count() == 2

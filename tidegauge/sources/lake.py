@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import uuid
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,44 +117,154 @@ def _files(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is no such folder."""
+    files, place = _files(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def _day_folder(root: str, day: date) -> str:
+    return f"{root}/{DAY}={day:%Y-%m-%d}"
+
+
+def _stored_batches(spark: SparkSession, root: str, day: date) -> list[str]:
+    names = _names(spark, _day_folder(root, day))
+    return [n.split("=", 1)[1] for n in names if n.startswith(f"{BATCH}=")]
+
+
+# Beside the day folders; Spark passes over names that start with an underscore.
+_LEDGER, _STAGED = "_ledger", "_compacting"
+
+
+def _write_entry(spark: SparkSession, root: str, day: date, name: str, replaced: list[str]) -> None:
+    """The entry says which batches the partition ``name`` stands for; it appears whole or not at all."""
+    folder = f"{root}/{_LEDGER}/{day:%Y-%m-%d}"
+    files, draft = _files(spark, f"{folder}/.{name}")
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray("\n".join(replaced).encode()))
+    finally:
+        stream.close()
+    if not files.rename(draft, _files(spark, f"{folder}/{name}")[1]):
+        raise OSError(f"could not write the ledger entry {name}")
+
+
+def _entry(spark: SparkSession, root: str, day: date, name: str) -> set[str]:
+    files, place = _files(spark, f"{root}/{_LEDGER}/{day:%Y-%m-%d}/{name}")
+    stream = files.open(place)
+    try:
+        return set(bytes(stream.readAllBytes()).decode().split("\n"))
+    finally:
+        stream.close()
+
+
+def _entries(spark: SparkSession, root: str, day: date) -> dict[str, set[str]]:
+    """Ledger entries of a day: compacted partition to the batches it stands for."""
+    names = [n for n in _names(spark, f"{root}/{_LEDGER}/{day:%Y-%m-%d}") if not n.startswith(".")]
+    return {name: _entry(spark, root, day, name) for name in names}
+
+
+def hidden_batches(spark: SparkSession, root: str, since: date | None = None) -> dict[date, set[str]]:
+    """Stored batches, by day, whose rows a compacted partition holds as well.
+
+    An entry counts from the moment its partition is in place, which is one rename. Until the replaced
+    batches are deleted, and whenever one of them is written again by a late replay, readers pass over them.
+    """
+    hidden = {}
+    for text in _names(spark, f"{root}/{_LEDGER}"):
+        day = date.fromisoformat(text)
+        if since is not None and day < since:
+            continue
+        stored = set(_stored_batches(spark, root, day))
+        replaced = {b for name, old in _entries(spark, root, day).items() if name in stored for b in old}
+        if replaced & stored:
+            hidden[day] = replaced & stored
+    return hidden
+
+
 def batches_of(spark: SparkSession, root: str, day: date) -> list[str]:
     """Batch partitions that a day consists of."""
-    files, place = _files(spark, f"{root}/{DAY}={day:%Y-%m-%d}")
-    if not files.exists(place):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(place)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{BATCH}="))
+    stored = _stored_batches(spark, root, day)
+    hidden = hidden_batches(spark, root, day).get(day, set()) if stored else set()
+    return [b for b in stored if b not in hidden]
 
 
 def compact(spark: SparkSession, root: str, day: date) -> int:
-    """Rewrite the batches of a closed day as one partition; returns how many there were.
+    """Write the batches of a day again as one partition that replaces them; returns how many there were.
 
-    A closed day is one whose batches are committed: none of them may be written again. The new files
-    are written beside the table first. The day's batches are then deleted and the new partition is
-    moved in; a run that stops in between is taken up by the next call, so no row is lost or doubled.
-    Readers should wait meanwhile.
+    The partition is staged, the ledger notes exactly which batches it stands for, and one rename puts
+    it in place: from then on readers see it instead of those batches, before that the batches. A batch
+    that comes in meanwhile is in no entry and stays. A run that stops at any point changes nothing or is
+    complete; the next call starts anew. Replaced batches stay on disk for readers that have begun, until
+    :func:`drop_replaced`. The file system must rename folders as one step.
     """
-    home, name = f"{root}/{DAY}={day:%Y-%m-%d}", f"compacted-{day:%Y%m%d}"
-    staged = f"{root}/_compacting/{name}"
+    home = _day_folder(root, day)
+    _forget_unfinished(spark, root, day)
+    old = batches_of(spark, root, day)
+    if not old or (len(old) == 1 and old[0].startswith("compacted-")):
+        return 0
+    name = f"compacted-{day:%Y%m%d}-{uuid.uuid4().hex[:12]}"
+    staged = f"{root}/{_STAGED}/{name}"
+    parts = [f"{home}/{BATCH}={b}" for b in old]
+    rows = spark.read.option("mergeSchema", True).parquet(*parts)
+    rows.hint("rebalance").write.option("compression", "zstd").parquet(staged)
+    # what an older compacted partition stands for must stay hidden after it is gone itself
+    entries = _entries(spark, root, day)
+    inherited = {b for o in old if o in entries for b in entries[o]}
+    _write_entry(spark, root, day, name, sorted({*old, *inherited}))
     files, ready = _files(spark, staged)
-    old = [b for b in batches_of(spark, root, day) if b != name]
-    if not files.exists(_files(spark, f"{staged}/_SUCCESS")[1]):
-        if not old:
-            return 0
-        rows = spark.read.parquet(home).drop(BATCH)
-        rows.hint("rebalance").write.mode("overwrite").option("compression", "zstd").parquet(staged)
-    for batch in batches_of(spark, root, day):
-        files.delete(_files(spark, f"{home}/{BATCH}={batch}")[1], True)
-    files.mkdirs(_files(spark, home)[1])
     if not files.rename(ready, _files(spark, f"{home}/{BATCH}={name}")[1]):
         raise OSError(f"could not move {staged} into the table")
     return len(old)
 
 
-def read_rows(spark: SparkSession, root: str, kind: str = "metrics") -> DataFrame:
-    """Read a path-based table in the current row layout; columns a file lacks read as NULL."""
+def _forget_unfinished(spark: SparkSession, root: str, day: date) -> None:
+    """Remove what runs left that stopped before their partition was in place."""
+    stored = set(_stored_batches(spark, root, day))
+    for name in _entries(spark, root, day):
+        if name not in stored and not _replaced_by_another(spark, root, day, name):
+            _delete(spark, f"{root}/{_LEDGER}/{day:%Y-%m-%d}/{name}")
+    for name in _names(spark, f"{root}/{_STAGED}"):
+        if name.startswith(f"compacted-{day:%Y%m%d}-"):
+            _delete(spark, f"{root}/{_STAGED}/{name}")
+
+
+def _replaced_by_another(spark: SparkSession, root: str, day: date, name: str) -> bool:
+    return any(name in old for other, old in _entries(spark, root, day).items() if other != name)
+
+
+def drop_replaced(spark: SparkSession, root: str, day: date) -> int:
+    """Delete the batches of a day that a compacted partition stands for; returns how many there were.
+
+    For a time when no reader that began before the compaction is still running.
+    """
+    gone = hidden_batches(spark, root, day).get(day, set())
+    for batch in sorted(gone):
+        _delete(spark, f"{_day_folder(root, day)}/{BATCH}={batch}")
+    return len(gone)
+
+
+def read_rows(spark: SparkSession, root: str, kind: str = "metrics", since: date | None = None) -> DataFrame:
+    """Read a path-based table in the current row layout; columns a file lacks read as NULL.
+
+    Batches that a compacted partition stands for are passed over, by a filter on the partition columns.
+    ``since`` limits how far back the ledger is read, for a reader that limits its days as well. A table
+    nothing was written to yet is empty.
+    """
     fields = [*TABLES[kind].fields, T.StructField(DAY, T.DateType())]
-    rows = spark.read.schema(T.StructType(fields)).parquet(root)
+    files, place = _files(spark, root)
+    if not files.exists(place):
+        return spark.createDataFrame([], T.StructType(fields))
+    hidden = hidden_batches(spark, root, since)
+    stored = [*fields, T.StructField(BATCH, T.StringType())] if hidden else fields
+    rows = spark.read.schema(T.StructType(stored)).parquet(root)
+    for day, batches in hidden.items():
+        rows = rows.filter(F.col(BATCH).isNull() | (F.col(DAY) != F.lit(day)) | ~F.col(BATCH).isin(sorted(batches)))
     return rows.select(*[f.name for f in fields])
 
 
@@ -161,4 +272,5 @@ def read_recent(
     spark: SparkSession, root: str, days: int = 7, as_of: datetime | None = None, kind: str = "metrics"
 ) -> DataFrame:
     """Recent rows; the limit prunes day partitions and is pushed into the files."""
-    return recent_window(read_rows(spark, root, kind), days, as_of, day=DAY)
+    since = (as_of or datetime.now(timezone.utc)).date() - timedelta(days=days + 1)
+    return recent_window(read_rows(spark, root, kind, since), days, as_of, day=DAY)
