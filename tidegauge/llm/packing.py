@@ -31,7 +31,7 @@ MODEL = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
 # Chunks kept per worker; beyond that the memory starts anew.
-KEPT_CHUNKS = 1_000_000
+KEPT_CHUNKS = 300_000
 KEPT_LENGTH = 64
 # A word of plain letters and signs behind it, without apostrophes (they can start a contraction) and the
 # signs of special strings: such words are split off by the vocabulary's pattern, whatever their case.
@@ -53,6 +53,9 @@ class ChunkTokenizer:
         for text in ("one  two", "one\ntwo", " one two "):
             if self._ids([text])[0] != b"".join(self._ids(["one", "two"])):
                 raise ValueError("the tokenizer must drop white space")
+        # words are asked for in lower case only where the vocabulary knows no other
+        cased = self._ids(["Harbour", "ÉCOLE", "harbour", "école"])
+        self._fold = str.lower if cased[:2] == cased[2:] else str
         self._kept: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {"": b""}
 
@@ -61,7 +64,7 @@ class ChunkTokenizer:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks; words are asked for in lower case and without the signs behind them."""
+        """Ids of chunks; words are asked for in one case and without the signs behind them."""
         words = self._words
         if len(words) >= KEPT_CHUNKS:
             words.clear()
@@ -69,7 +72,7 @@ class ChunkTokenizer:
         plans = []
         for chunk in chunks:
             found = _WORD_AND_SIGNS(chunk)
-            plans.append((found[1].lower(), found[2]) if found else (chunk, ""))
+            plans.append((self._fold(found[1]), found[2]) if found else (chunk, ""))
         new = list({part for plan in plans for part in plan if part not in words})
         words.update(zip(new, self._ids(new)))
         ids = [words[word] + words[signs] for word, signs in plans]
