@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import time
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -12,7 +14,7 @@ from tidegauge.operators import aggregates, decode
 from tidegauge.operators.clean import count_rows
 from tidegauge.plans import streams
 from tidegauge.sources import lake, topics
-from tidegauge.streaming import ingest
+from tidegauge.streaming import flush, ingest
 
 
 def messages(n=6):
@@ -168,3 +170,68 @@ def test_counters_reach_the_listener(spark, tmp_path):
 def test_kafka_source_is_declared(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.read_topics(spark, "localhost:9092", max_messages=10)
+
+
+def tiny_tables(spark, folder, rows):
+    """The given tables cut to so many rows."""
+    for path in Path("/root/testdata/sf0.001").glob("*.parquet"):
+        spark.read.parquet(str(path)).limit(rows).write.parquet(str(folder / path.name))
+    con = duckdb.connect()
+    for path in folder.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}/*.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("rows", [0, 1, 3])
+def test_stream_queries_on_small_tables(spark, tmp_path, rows):
+    sf_dir, con = tiny_tables(spark, tmp_path / "sf", rows)
+    for name in ("stream_records", "stream_ingest", "stream_ingest_logs", "stream_training_aggregate", "lake_compacted"):
+        run_query, sql = streams.QUERIES[name]
+        good, text = compare(run_query(spark, sf_dir), con, sql)
+        assert good, (name, text)
+
+
+def test_slices_follow_the_rows(spark, tmp_path):
+    rows = spark.range(1000).select(F.timestamp_seconds(F.pmod(F.hash("id"), F.lit(5000))).alias("timestamp"), "id")
+    streams._in_time_order(spark, rows, str(tmp_path / "rows"), slice_rows=100)
+    files = sorted((tmp_path / "rows").glob("part-*"), key=lambda p: p.stat().st_mtime)
+    spans = [spark.read.parquet(str(p)).agg(F.min("timestamp"), F.max("timestamp")).first() for p in files]
+    assert len(files) == 10 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def flushed(spark, tmp_path, flush_bytes, wait_ms=1500, lanes=1):
+    stream = topics.read_message_files(spark, str(tmp_path / "in"), max_files=4)
+    sink = ingest.LakeSink(str(tmp_path / "lake"))
+    return flush.ingest_by_size(stream, sink, str(tmp_path / "offsets"), flush_bytes, wait_ms, lanes, "100 milliseconds")
+
+
+def lake_batches(tmp_path):
+    return {p.name for p in (tmp_path / "lake/metrics").glob("timestamp_day=*/ingest_batch=*")}
+
+
+def test_flush_by_size_and_remainder(spark, tmp_path):
+    texts = messages(40)
+    write(tmp_path / "in", texts)
+    size = sum(len(t.encode()) for t in texts)
+    query = flushed(spark, tmp_path, size // 3)
+    flush.drain(query, 1500, patience=90)
+    # two flushes and the remainder, of ten triggers with messages
+    assert query.lastProgress.batchId >= 10 and 2 <= len(lake_batches(tmp_path)) <= 4
+    assert lake.read_rows(spark, str(tmp_path / "lake/metrics")).count() == 40
+
+
+def test_restart_keeps_the_messages_that_wait(spark, tmp_path):
+    texts = messages(24)
+    write(tmp_path / "in", texts[:12])
+    query = flushed(spark, tmp_path, 10**9, wait_ms=600_000, lanes=2)
+    deadline = time.monotonic() + 60
+    while sum(p.numInputRows for p in query.recentProgress) < 12 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    query.stop()
+    assert not (tmp_path / "lake/metrics").exists()
+    write(tmp_path / "in", texts)
+    size = sum(len(t.encode()) for t in texts)
+    query = flushed(spark, tmp_path, size // 8, lanes=2)
+    flush.drain(query, 1500, patience=90)
+    stored = lake.read_rows(spark, str(tmp_path / "lake/metrics"))
+    assert sorted(r["value"] for r in stored.collect()) == sorted(set(range(24)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tidegauge.operators.clean import count_rows, drop_null_rows
 from tidegauge.plans import decoding, filtering, grid, tables
 from tidegauge.session import checkpoint_root
 from tidegauge.sources import lake, topics
-from tidegauge.streaming import ingest
+from tidegauge.streaming import flush, ingest
 
 
 def _run_root(spark, name):
@@ -19,22 +20,24 @@ def _run_root(spark, name):
     return f"{checkpoint_root(spark)}/tidegauge/runs/{name}-{uuid.uuid4().hex}"
 
 
-# Message files of a run, and how many of them a micro-batch takes.
-FILES, FILES_PER_BATCH = 8, 2
+# Messages of one file, and bytes of files that a micro-batch takes.
+FILE_MESSAGES, BATCH_BYTES = 4096, 32_000_000
+# Rows of one slice of a stream in time order, and how many slices even a small table is cut in.
+SLICE_ROWS, LEAST_SLICES = 1 << 17, 3
 
 
 def _message_files(texts, root):
-    """Several files, so that the stream has several batches to take."""
-    texts.select("value").repartition(FILES).write.mode("append").text(root)
+    """Files by size, so that a batch has as many tasks and a stream as many batches as there are messages for."""
+    texts.select("value").write.mode("append").option("maxRecordsPerFile", FILE_MESSAGES).text(root)
     return root
 
 
-def _ended(query, least: int = 3):
+def _ended(query, batches: int = 0):
     """Wait for a stream that takes what is there, and make sure that it went on in micro-batches."""
     query.awaitTermination()
-    batches = sum(progress.numInputRows > 0 for progress in query.recentProgress)
-    if batches < least:
-        raise RuntimeError(f"the stream took {batches} batches, not {least}")
+    taken = sum(progress.numInputRows > 0 for progress in query.recentProgress)
+    if taken < batches:
+        raise RuntimeError(f"the stream took {taken} batches, not {batches}")
 
 
 def _mixed_ingest(spark, sf_dir, root):
@@ -43,7 +46,7 @@ def _mixed_ingest(spark, sf_dir, root):
         tables.otlp_log_messages(spark, sf_dir).select("value")
     )
     files = _message_files(texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_files=FILES_PER_BATCH)
+    stream = topics.read_message_files(spark, files, max_bytes=BATCH_BYTES)
     sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
     _ended(ingest.ingest(stream, sink, f"{root}/offsets"))
 
@@ -79,6 +82,29 @@ def stream_ingest_logs(spark, sf_dir):
     return rows.select(F.unix_micros("timestamp").alias("ts_us"), "line", "service_name", "host", "env")
 
 
+# Bytes that a flush gathers, those of a trigger, and how long a remainder waits.
+FLUSH_BYTES, TRIGGER_BYTES, WAIT_MS = 3_000_000, 1_000_000, 2_000
+
+
+def stream_flushed(spark, sf_dir):
+    """Messages that come in small triggers, gathered to flushes of ``FLUSH_BYTES``; the metrics read back."""
+    root = _run_root(spark, "flushed")
+    texts = tables.otlp_messages(spark, sf_dir)
+    files = _message_files(texts, f"{root}/messages")
+    stream = topics.read_message_files(spark, files, max_bytes=TRIGGER_BYTES)
+    sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
+    query = flush.ingest_by_size(stream, sink, f"{root}/offsets", FLUSH_BYTES, WAIT_MS, interval="100 milliseconds")
+    flush.drain(query, WAIT_MS)
+    rows = lake.read_rows(spark, f"{root}/lake/metrics")
+    return rows.select(
+        F.unix_micros("timestamp").alias("ts_us"), F.col("__name__").alias("name"), tables.shown("value").alias("value")
+    )
+
+
+STREAM_FLUSHED_SQL = f"""
+WITH lake AS ({decoding.OTLP_METRICS_LAKE_SQL}) SELECT ts_us, name, value FROM lake WHERE value IS NOT NULL
+"""
+
 STREAM_INGEST_LOGS_SQL = f"""
 WITH lake AS ({decoding.OTLP_LOGS_SQL}) SELECT ts_us, line, service_name, host, env FROM lake
 """
@@ -89,7 +115,7 @@ def stream_records(spark, sf_dir):
     root = _run_root(spark, "records")
     texts = tables.otlp_messages(spark, sf_dir).select("value")
     files = _message_files(texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_files=FILES_PER_BATCH)
+    stream = topics.read_message_files(spark, files, max_bytes=BATCH_BYTES)
     records = ingest.stream_metrics(stream, decoding.RULES)
     query = (
         topics.as_messages(records)
@@ -114,46 +140,43 @@ WITH r AS ({decoding.OTLP_METRICS_STREAM_SQL}) SELECT ts_ns, name, value, n_coun
 """
 
 
-def _time_slices(rows, number: int = 3):
-    """Filters that cut rows into slices in time order, by quantiles of the whole table, none empty.
+def _in_time_order(spark, rows, root, slice_rows=SLICE_ROWS):
+    """Rows written once as one file for each slice of time; a file stream takes the files in that order.
 
-    A slice ends with a time that occurs, so few distinct times give fewer slices; rows without a time
-    are in none, as they are in no bucket.
+    The source goes by the time a file was changed, so the files are dated in the order of their slices. Rows of
+    one time are in one slice.
     """
-    at = F.unix_micros("timestamp")
-    shares = F.array(*[F.lit(k / number) for k in range(1, number)])
-    found = rows.select(at.alias("at")).agg(F.percentile_approx("at", shares).alias("cuts"), F.max("at").alias("last")).first()
-    if found["last"] is None:
-        return []
-    ends = sorted({*found["cuts"], found["last"]})
-    return [(at <= end) if k == 0 else (at > ends[k - 1]) & (at <= end) for k, end in enumerate(ends)]
+    number = max(LEAST_SLICES, -(-rows.count() // slice_rows))
+    rows.repartitionByRange(number, "timestamp").sortWithinPartitions("timestamp").write.mode("append").parquet(root)
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(s.getPath().getName() for s in files.listStatus(place) if s.getPath().getName().startswith("part-"))
+    start = int(time.time()) - len(found)
+    for k, name in enumerate(found):
+        files.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), (start + k) * 1000, -1)
 
 
 def stream_training_aggregate(spark, sf_dir):
     """The training aggregate over a stream of metric rows in time order, a slice of the time a batch.
 
-    The stream is taken up again for each slice, so a batch never holds a part of one, however many
-    files it has: no row is behind the watermark. State is bounded: only buckets within the lateness are
-    kept. Each batch writes the means of the buckets it touched; the latest batch of a bucket counts.
+    No row is behind the watermark, since a batch holds one slice. State is bounded: only buckets within the
+    lateness are kept. Each batch writes the means of the buckets it touched; the latest batch of a bucket counts.
     """
     root = _run_root(spark, "aggregate")
     rows = tables.metric_rows(spark, sf_dir).drop("event_id").withColumns(
         {c: F.lit(None).cast("string") for c in ("k8s_namespace_name", "cluster_name", "host", "env")}
     )
-    # an empty table is streamed too: one file without rows
-    slices = _time_slices(rows)
-    for part in slices or [F.lit(False)]:
-        rows.filter(part).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{root}/metrics")
-        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/metrics")
-        aggregate = ingest.running_training_aggregate(stream)
-        query = (
-            aggregate.writeStream.outputMode("update")
-            .foreachBatch(ingest.means_writer(f"{root}/means"))
-            .option("checkpointLocation", f"{root}/offsets")
-            .trigger(availableNow=True)
-            .start()
-        )
-        _ended(query, min(1, len(slices)))
+    _in_time_order(spark, rows, f"{root}/metrics")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/metrics")
+    aggregate = ingest.running_training_aggregate(stream)
+    query = (
+        aggregate.writeStream.outputMode("update")
+        .foreachBatch(ingest.means_writer(f"{root}/means"))
+        .option("checkpointLocation", f"{root}/offsets")
+        .trigger(availableNow=True)
+        .start()
+    )
+    _ended(query)
     written = spark.read.schema(aggregate.schema.add(ingest.MEANS_BATCH, "long")).parquet(f"{root}/means")
     means = ingest.latest_means(written)
     return means.select(
@@ -296,6 +319,7 @@ QUERIES = {
     "row_counters": (row_counters, ROW_COUNTERS_SQL),
     "stream_ingest": (stream_ingest, STREAM_INGEST_SQL),
     "stream_ingest_logs": (stream_ingest_logs, STREAM_INGEST_LOGS_SQL),
+    "stream_flushed": (stream_flushed, STREAM_FLUSHED_SQL),
     "stream_records": (stream_records, STREAM_RECORDS_SQL),
     "stream_training_aggregate": (stream_training_aggregate, STREAM_TRAINING_SQL),
     "lake_compacted": (lake_compacted, LAKE_ROWS_SQL),
