@@ -6,12 +6,13 @@ import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.numbers import is_finite
-from tidegauge.operators.aggregates import evaluate
+from tidegauge.operators import boosting
+from tidegauge.operators.aggregates import error_measures
 from tidegauge.operators.clean import finite_rows
 from tidegauge.operators.ordering import sequences, split_by_time, with_row_index
 from tidegauge.operators.standardize import (
@@ -54,10 +55,17 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
 
-def _score(name: str, model: PipelineModel, df: DataFrame, features: list[str], target: str) -> DataFrame:
-    scored = evaluate(model.transform(df), target, PREDICTION)
-    return scored.select(
-        F.lit(name).alias("model"), F.lit(len(features)).alias("features_number"), "mae", "rmse", "mape"
+def _score(name: str, model, train: DataFrame, df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Errors on ``df``, with the rows that were trained on and measured, both counted."""
+    scored = model.transform(df)
+    measures = error_measures(F.col(target), F.col(PREDICTION))
+    counted = scored.agg(F.count(PREDICTION).alias("rows_measured"), *[c.alias(n) for n, c in measures.items()])
+    return counted.select(
+        F.lit(name).alias("model"),
+        F.lit(len(features)).alias("features_number"),
+        F.lit(train.count()).cast("long").alias("rows_train"),
+        "rows_measured",
+        *measures,
     )
 
 
@@ -81,8 +89,9 @@ def train_forest(
         minInstancesPerNode=max(1, min_rows // 2),
         seed=seed,
     )
-    model = Pipeline(stages=[_assembler(features), forest]).fit(_for_trees(train, features, target))
-    return model, _score("random_forest", model, _for_trees(val, features, target), features, target)
+    train = _for_trees(train, features, target)
+    model = Pipeline(stages=[_assembler(features), forest]).fit(train)
+    return model, _score("random_forest", model, train, _for_trees(val, features, target), features, target)
 
 
 def train_boosted(
@@ -92,27 +101,31 @@ def train_boosted(
     max_depth: int = 5,
     learning_rate: float = 0.08,
     subsample: float = 0.9,
+    colsample: float = 0.9,
+    min_child_weight: float = 1.0,
+    gamma: float = 0.0,
+    alpha: float = 0.0,
+    lambda_: float = 1.0,
+    patience: int = 50,
     seed: int = 42,
     test_size: float = 0.15,
     val_size: float = 0.15,
-) -> tuple[PipelineModel, DataFrame]:
-    """Boosted trees stopped early on the validation part, measured on the test part."""
+) -> tuple[boosting.Booster, DataFrame]:
+    """Boosted trees stopped early on the validation part, measured on the test part.
+
+    Rows with missing features are trained on; each split learns where they go.
+    """
     features = feature_columns(df, target)
     train, val, test = split_by_time(df, test_size, val_size)
-    marked = _for_trees(train, features, target).withColumn("is_validation", F.lit(False)).unionByName(
-        _for_trees(val, features, target).withColumn("is_validation", F.lit(True))
+    settings = boosting.Settings(
+        n_trees, max_depth, learning_rate, subsample, colsample, min_child_weight, gamma, alpha, lambda_, patience, seed
     )
-    boosted = GBTRegressor(
-        labelCol=target,
-        maxIter=n_trees,
-        maxDepth=max_depth,
-        stepSize=learning_rate,
-        subsamplingRate=subsample,
-        validationIndicatorCol="is_validation",
-        seed=seed,
+    model = boosting.fit(train, val, features, target, settings)
+    train, test = (
+        finite_rows(part.select(*[F.col(c).cast("double").alias(c) for c in [*features, target]]), [target])
+        for part in (train, test)
     )
-    model = Pipeline(stages=[_assembler(features), boosted]).fit(marked)
-    return model, _score("boosted_trees", model, _for_trees(test, features, target), features, target)
+    return model, _score("boosted_trees", model, train, test, features, target)
 
 
 def seasonal_regressors(
@@ -152,11 +165,11 @@ def train_seasonal(
         raise ValueError("no row with finite numbers is left to train or measure on")
     linear = LinearRegression(labelCol=target, regParam=ridge, elasticNetParam=0.0)
     model = Pipeline(stages=[_assembler(features), linear]).fit(train)
-    return model, _score("seasonal_regression", model, val, features, target)
+    return model, _score("seasonal_regression", model, train, val, features, target)
 
 
 def evaluation_table(scores: list[DataFrame]) -> DataFrame:
-    """One row per model: feature count, MAE, RMSE, MAPE."""
+    """One row per model: feature count, rows trained on and measured, MAE, RMSE, MAPE."""
     table = scores[0]
     for score in scores[1:]:
         table = table.unionByName(score)
