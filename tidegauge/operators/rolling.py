@@ -9,7 +9,8 @@ ever subtracted, so an outlier leaves no trace in the frames it is not in, a fra
 deviation exactly 0, and one way serves all widths.
 
 A block holds the rows of three times the longest width of one series. That suits grid frames, with one
-row per series and grid step; resample denser rows first.
+row per series and grid step. If any block holds more than ``GROUP_ROWS`` rows, blocks are cut by rows
+instead of time (see :mod:`tidegauge.operators.dense`).
 """
 
 from __future__ import annotations
@@ -22,11 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.numbers import floor_div
+from tidegauge.operators.dense import dense_statistics
+from tidegauge.operators.moments import MomentTree
 from tidegauge.operators.ordering import shift_rows, spread_blocks, with_row_index
 
 _BLOCK = "_time_block"
 _HOME = "_in_home"
 
+# Most rows of a time block that is worked through as one group.
+GROUP_ROWS = 1 << 18
 MINUTE, HOUR, DAY = 60_000, 3_600_000, 86_400_000
 
 
@@ -45,61 +50,16 @@ def in_time_blocks(
     return spread_blocks(copies, *keys, _BLOCK)
 
 
+def rows_of_fullest_block(df: DataFrame, block_ms: int, ts: str, keys: tuple[str, ...] = ()) -> int:
+    counted = df.groupBy(*[F.col(k) for k in keys], floor_div(F.col(ts), block_ms).alias(_BLOCK)).count()
+    return counted.agg(F.max("count")).first()[0] or 0
+
+
 def block_length(width: int) -> int:
     """Blocks of two widths, so that half of the rows is copied, but not below a day."""
     return max(2 * width, DAY)
 
 
-Moments = tuple[np.ndarray, np.ndarray, np.ndarray]
-
-
-def _merged(a: Moments, b: Moments) -> Moments:
-    """Count, mean and squared deviations of two disjoint sets of values together."""
-    (n_a, mean_a, dev_a), (n_b, mean_b, dev_b) = a, b
-    n = n_a + n_b
-    share = n_b / np.maximum(n, 1)
-    apart = np.where((n_a > 0) & (n_b > 0), mean_b - mean_a, 0.0)
-    mean = np.where(n_a > 0, mean_a + apart * share, mean_b)
-    return n, mean, dev_a + dev_b + apart * apart * n_a * share
-
-
-class MomentTree:
-    """Moments of any run of rows, from nodes that hold 1, 2, 4, ... rows."""
-
-    def __init__(self, values: np.ndarray, counted: np.ndarray):
-        size = 1 << max(0, len(values) - 1).bit_length()
-        n, mean = np.zeros(size), np.zeros(size)
-        n[: len(values)] = counted
-        mean[: len(values)] = np.where(counted, values, 0.0)
-        self.levels: list[Moments] = [(n, mean, np.zeros(size))]
-        while len(n) > 1:
-            last = self.levels[-1]
-            self.levels.append(_merged(tuple(x[::2] for x in last), tuple(x[1::2] for x in last)))
-            n = self.levels[-1][0]
-
-    def moments(self, low: np.ndarray, high: np.ndarray) -> Moments:
-        """Of the rows low, ..., high - 1 of each frame."""
-        low, high = low.copy(), high.copy()
-        left, right = (tuple(np.zeros(len(low)) for _ in range(3)) for _ in range(2))
-        for level in self.levels:
-            take = (low < high) & (low % 2 == 1)
-            _add(left, take, level, low, True)
-            low += take
-            take = (low < high) & (high % 2 == 1)
-            high -= take
-            _add(right, take, level, high, False)
-            low, high = low // 2, high // 2
-        return _merged(left, right)
-
-
-def _add(total: Moments, take: np.ndarray, level: Moments, at: np.ndarray, after: bool) -> None:
-    """Merge the nodes of one level into the totals of the frames that take one."""
-    if take.any():
-        own, nodes = tuple(x[take] for x in total), tuple(x[at[take]] for x in level)
-        for x, new in zip(total, _merged(own, nodes) if after else _merged(nodes, own)):
-            x[take] = new
-
-
 def _frame_statistics(values: np.ndarray, known: np.ndarray, low: np.ndarray, high: np.ndarray):
     """Mean and sample deviation of frames of rows, with masks of the NULLs."""
     finite = known & np.isfinite(values)
@@ -132,6 +92,8 @@ def rolling_statistics(
     value shows in the frames it is in. Rows of equal timestamp see the same frame. One shuffle.
     """
     width = max(widths)
+    if rows_of_fullest_block(df, block_length(width), ts, keys) > GROUP_ROWS:
+        return dense_statistics(df, columns, widths, statistics, keys, ts)
     blocks = in_time_blocks(df, width, block_length(width), ts, keys)
     names = [f"{c}_{stat}_{w}i" for stat in statistics for w in widths for c in columns]
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
