@@ -1,14 +1,17 @@
 """Range-vector functions over raw samples, evaluated on a regular step grid.
 
-A sample belongs to every step t with t - range < ts <= t. Samples are folded per series and step
-slice first and only the folded rows are copied to the later steps that still see them, so there is
-no moving window over raw rows and a hot series is folded on the map side.
-
-The range has to be a multiple of the step.
+A sample belongs to every step t with t - range < ts <= t. Samples are folded per series into panes, the greatest
+slices of time that both the range and the step are made of. The time axis is cut into chunks of one range, so
+a range reaches over the end of one chunk and the beginning of the next: what it holds is a sum from the end of
+the one and a sum from the start of the other, both running sums. Nothing is subtracted, nothing is copied more than
+once, and the cost does not grow with the number of steps a range spans. A group is one chunk of one series:
+at most twice the panes of a range, and the steps in it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,20 +33,59 @@ def align_to_step(df: DataFrame, step_ms: int, ts: str = "timestamp") -> DataFra
     return df.withColumn(ts, floor_to(F.col(ts), step_ms))
 
 
-def _check(range_ms: int, step_ms: int) -> None:
-    if range_ms % step_ms:
-        raise ValueError("the range must be a multiple of the step")
+_OWN, _STEP, _PREVIOUS = 0, 1, 2
+
 
+def _folded(df: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, ts: str, *measures: Column) -> DataFrame:
+    """One row per series and pane, named by the pane's end."""
+    pane = step_at_or_after(F.col(ts), math.gcd(range_ms, step_ms)).alias("_end")
+    return df.groupBy(*series, pane).agg(*measures)
+
+
+def _in_chunks(panes: DataFrame, range_ms: int) -> DataFrame:
+    """Each pane in its own chunk and, at the time it leaves a range that ends there, in the next one."""
+    own = floor_div(F.col("_end") - 1, range_ms)
+    places = F.array(
+        F.struct(own.alias("_chunk"), F.col("_end").alias("_at"), F.lit(_OWN).alias("_role")),
+        F.struct((own + 1).alias("_chunk"), (F.col("_end") + range_ms).alias("_at"), F.lit(_PREVIOUS).alias("_role")),
+    )
+    return panes.withColumn("_p", F.explode(places)).select("*", "_p.*").drop("_p", "_end")
 
-def _spread(df: DataFrame, ts: str, last: Column, step_ms: int) -> DataFrame:
-    """Copy each row to the steps from the first one at or after it up to ``last``."""
-    steps = F.sequence(F.col(ts), last, F.lit(step_ms).cast("bigint"))
-    return df.withColumn(ts, F.explode(steps))
 
+def _at_steps(chunked: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, own: dict, previous: dict) -> DataFrame:
+    """Steps of all chunks with the sums of ``own`` up to them and of ``previous`` not yet gone.
 
-def _folded(df: DataFrame, series: tuple[str, ...], ts: str, step_ms: int, *measures: Column) -> DataFrame:
-    step = step_at_or_after(F.col(ts), step_ms).alias("_step")
-    return df.groupBy(*series, step).agg(*measures).withColumnRenamed("_step", ts)
+    Both map names to columns of ``chunked``.
+    """
+    first = step_at_or_after(F.col("_chunk") * range_ms + 1, step_ms)
+    last = (F.col("_chunk") + 1) * range_ms
+    steps = F.when(first <= last, F.sequence(first, last, F.lit(step_ms).cast("bigint")))
+    asked = chunked.select(*series, "_chunk").distinct().withColumn("_at", F.explode(steps)).withColumn("_role", F.lit(_STEP))
+    group = Window.partitionBy(*series, "_chunk")
+    so_far = group.orderBy("_at", "_role").rowsBetween(Window.unboundedPreceding, 0)
+    to_go = group.orderBy(F.col("_at").desc(), "_role").rowsBetween(Window.unboundedPreceding, 0)
+    entries = chunked.unionByName(asked, allowMissingColumns=True)
+    sums = {n: F.sum(F.when(F.col("_role") == _OWN, c)).over(so_far) for n, c in own.items()}
+    sums |= {n: F.sum(F.when(F.col("_role") == _PREVIOUS, c)).over(to_go) for n, c in previous.items()}
+    return entries.withColumns(sums).filter(F.col("_role") == _STEP)
+
+
+def _sum_of(*names: str) -> Column:
+    """Sum of columns, of which some may be NULL; NULL if all are."""
+    total = F.coalesce(F.col(names[0]), F.lit(0))
+    for name in names[1:]:
+        total = total + F.coalesce(F.col(name), F.lit(0))
+    return F.when(F.coalesce(*names).isNotNull(), total)
+
+
+def _over_panes(panes: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, names: list[str]) -> DataFrame:
+    """The sums of the range at every step that sees a pane: (series, _at, names)."""
+    counted = panes.withColumn("_panes", F.lit(1))
+    every = [*names, "_panes"]
+    own, previous = ({f"{side}{n}": F.col(n) for n in every} for side in ("_o", "_p"))
+    seen = _at_steps(_in_chunks(counted, range_ms), series, range_ms, step_ms, own, previous)
+    seen = seen.filter(_sum_of("_o_panes", "_p_panes") > 0)
+    return seen.select(*series, "_at", *[_sum_of(f"_o{n}", f"_p{n}").alias(n) for n in names])
 
 
 def avg_over_time(
@@ -55,13 +97,10 @@ def avg_over_time(
     value: str = "value",
 ) -> DataFrame:
     """Mean of the samples in the range, per series and step."""
-    _check(range_ms, step_ms)
-    folded = _folded(
-        samples, series, ts, step_ms, F.sum(value).alias("_sum"), F.count(value).alias("_n")
-    )
-    seen = _spread(folded, ts, F.col(ts) + (range_ms - step_ms), step_ms)
-    total, count = F.sum("_sum"), F.sum("_n")
-    return seen.groupBy(*series, ts).agg(F.when(count > 0, total / count).alias(value))
+    panes = _folded(samples, series, range_ms, step_ms, ts, F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    seen = _over_panes(panes, series, range_ms, step_ms, ["_sum", "_n"])
+    mean = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n"))
+    return seen.select(*series, F.col("_at").alias(ts), mean.alias(value))
 
 
 def count_over_time(
@@ -74,11 +113,10 @@ def count_over_time(
     line: str = "line",
 ) -> DataFrame:
     """How many lines (holding a text) the range saw, per series and step."""
-    _check(range_ms, step_ms)
     wanted = lines if contains is None else lines.filter(F.contains(line, F.lit(contains)))
-    folded = _folded(wanted, series, ts, step_ms, F.count(F.lit(1)).alias("_n"))
-    seen = _spread(folded, ts, F.col(ts) + (range_ms - step_ms), step_ms)
-    return seen.groupBy(*series, ts).agg(F.sum("_n").alias("value"))
+    panes = _folded(wanted, series, range_ms, step_ms, ts, F.count(F.lit(1)).alias("_n"))
+    seen = _over_panes(panes, series, range_ms, step_ms, ["_n"])
+    return seen.select(*series, F.col("_at").alias(ts), F.col("_n").alias("value"))
 
 
 def rate(
@@ -93,47 +131,44 @@ def rate(
 
     A drop counts as a restart from 0. The increase is not stretched to the edges of the range.
     Samples of one timestamp count as rising, so they are folded to their lowest and highest value
-    first. Neighbours matter only within one range: series are cut into time blocks with one range
-    of look-back instead of being sorted whole.
+    first. A pane keeps its first and last value and the growth inside; panes are chained within a chunk, from
+    its start and from its end, and the two chains of a range are tied where the chunks meet. So a range never
+    looks at its samples, and restarts need no offsets.
     """
-    _check(range_ms, step_ms)
-    block_ms = 30 * range_ms
     moments = (
         samples.filter(F.col(value).isNotNull())
         .groupBy(*series, ts)
         .agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(value).alias("_n"))
+        .withColumn("_end", step_at_or_after(F.col(ts), math.gcd(range_ms, step_ms)))
     )
-    own = floor_div(F.col(ts), block_ms)
-    blocks = moments.select(
-        "*",
-        own.alias("_own"),
-        F.explode(F.sequence(own, floor_div(F.col(ts) + (range_ms - 1), block_ms))).alias("_block"),
-    )
-    w = Window.partitionBy(*series, "_block").orderBy(ts)
-    before, low, high = F.col("_before"), F.col("_low"), F.col("_high")
-    rows = blocks.withColumns(
-        {"_before": F.lag("_high").over(w), "_before_ts": F.lag(ts).over(w)}
-    ).filter(F.col("_own") == F.col("_block"))
-    step = F.when(low >= before, low - before).otherwise(low)
-    # (since, increase): the increase counts in ranges that reach back to ``since``.
-    changes = F.array(
-        F.struct(F.col("_before_ts").alias("since"), step.alias("grown")),
-        F.struct(F.when(F.col("_n") > 1, F.col(ts)).alias("since"), (high - low).alias("grown")),
-    )
-    increases = rows.select(*series, ts, F.explode(changes).alias("c")).select(
-        *series,
-        step_at_or_after(F.col(ts), step_ms).alias("_first"),
-        floor_to(F.col("c.since") + (range_ms - 1), step_ms).alias("_last"),
-        F.col("c.grown").alias("_grown"),
+
+    def step(before: Column, after: Column) -> Column:
+        return F.when(after >= before, after - before).otherwise(F.when(before.isNotNull(), after))
+
+    inside = Window.partitionBy(*series, "_end").orderBy(ts)
+    grown = F.col("_high") - F.col("_low") + F.coalesce(step(F.lag("_high").over(inside), F.col("_low")), F.lit(0.0))
+    panes = moments.withColumn("_grown", grown).groupBy(*series, "_end").agg(
+        F.min_by("_low", ts).alias("_first"), F.max_by("_high", ts).alias("_last"), F.sum("_grown").alias("_grown"), F.sum("_n").alias("_n")
     )
-    folded = (
-        increases.filter(F.col("_first") <= F.col("_last"))
-        .groupBy(*series, "_first", "_last")
-        .agg(F.sum("_grown").alias("_grown"))
-        .withColumnRenamed("_first", ts)
+    chunked = _in_chunks(panes, range_ms)
+    side = Window.partitionBy(*series, "_chunk", "_role").orderBy("_at")
+    whole = Window.partitionBy(*series, "_chunk")
+    own, previous = F.col("_role") == _OWN, F.col("_role") == _PREVIOUS
+    end = F.max_by(F.when(previous, F.col("_last")), F.when(previous, F.col("_at"))).over(whole)
+    start = F.min_by(F.when(own, F.col("_first")), F.when(own, F.col("_at"))).over(whole)
+    linked = chunked.withColumns(
+        {
+            "_behind": F.col("_grown") + F.coalesce(step(F.lag("_last").over(side), F.col("_first")), F.lit(0.0)),
+            "_ahead": F.col("_grown") + F.coalesce(step(F.col("_last"), F.lead("_first").over(side)), F.lit(0.0)),
+            # what ties the chunks stands at the first own pane
+            "_tie": F.when(own & F.lag("_at").over(side).isNull(), step(end, start)),
+        }
     )
-    seen = _spread(folded, ts, F.col("_last"), step_ms)
-    return seen.groupBy(*series, ts).agg((F.sum("_grown") / (range_ms / 1000)).alias(value))
+    sums = {"_o_grown": F.col("_behind"), "_o_n": F.col("_n"), "_o_tie": F.col("_tie")}
+    seen = _at_steps(linked, series, range_ms, step_ms, sums, {"_p_grown": F.col("_ahead"), "_p_n": F.col("_n")})
+    tie = F.when(F.col("_p_n") > 0, F.coalesce(F.col("_o_tie"), F.lit(0.0))).otherwise(F.lit(0.0))
+    increase = (_sum_of("_o_grown", "_p_grown") + tie) / (range_ms / 1000)
+    return seen.filter(_sum_of("_o_n", "_p_n") > 1).select(*series, F.col("_at").alias(ts), increase.alias(value))
 
 
 def sum_by_step(

@@ -207,6 +207,48 @@ FROM pairs JOIN steps ON t0 > timestamp - 21600000 AND t <= timestamp GROUP BY 1
 """
 
 
+# A range that is no multiple of the step, and one of a thousand steps.
+_ODD = 7 * HOUR_MS, 3 * HOUR_MS
+_LONG = 100 * HOUR_MS, HOUR_MS // 10
+
+
+def avg_over_odd_range(spark, sf_dir):
+    """Seven-hour means per user, every three hours."""
+    means = ranges.avg_over_time(_samples(spark, sf_dir), ("user_id",), *_ODD)
+    return means.select("user_id", "timestamp", tables.shown("value", 6).alias("value"))
+
+
+def _steps_sql(range_ms, step_ms):
+    return f"""
+steps AS (SELECT unnest(range(lo, hi + {range_ms}, {step_ms})) AS timestamp
+          FROM (SELECT (min((epoch_us(ts) // 1000)) // {step_ms}) * {step_ms} AS lo, max((epoch_us(ts) // 1000)) AS hi FROM events)),
+s AS (SELECT user_id, event_type, (epoch_us(ts) // 1000) AS t, value FROM events)"""
+
+
+AVG_OVER_ODD_SQL = f"""
+WITH {_steps_sql(*_ODD)}
+SELECT user_id, timestamp, round(avg(value) + 1e-9, 6) AS value
+FROM s JOIN steps ON t > timestamp - {_ODD[0]} AND t <= timestamp GROUP BY 1, 2
+"""
+
+
+def rate_long_range(spark, sf_dir):
+    """The counters of the event types over a hundred hours, every six minutes."""
+    samples = tables.events(spark, sf_dir).select("event_type", "timestamp", "value")
+    rates = ranges.rate(samples, ("event_type",), *_LONG)
+    return rates.select("event_type", "timestamp", tables.shown("value", 9).alias("value"))
+
+
+RATE_LONG_SQL = f"""
+WITH {_steps_sql(*_LONG)}, pairs AS (
+  SELECT event_type, t, value, lag(t) OVER w AS t0, lag(value) OVER w AS v0 FROM s
+  WINDOW w AS (PARTITION BY event_type ORDER BY t, value)),
+ends AS (SELECT event_type, t, t0, CASE WHEN value >= v0 THEN value - v0 ELSE value END AS grown FROM pairs WHERE t0 IS NOT NULL)
+SELECT event_type, timestamp, round(sum(grown) / {_LONG[0] / 1000} + 1e-12, 9) AS value
+FROM ends JOIN steps ON t0 > timestamp - {_LONG[0]} AND t <= timestamp GROUP BY 1, 2
+"""
+
+
 def count_over_time(spark, sf_dir):
     counts = ranges.count_over_time(tables.lines(spark, sf_dir), ("service_name",), contains="on")
     return counts.select("service_name", "timestamp", "value")
@@ -251,6 +293,8 @@ QUERIES = {
     "avg_over_time": (avg_over_time, AVG_OVER_TIME_SQL),
     "sum_by_step": (sum_by_step, SUM_BY_STEP_SQL),
     "rate": (rate, RATE_SQL),
+    "rate_long_range": (rate_long_range, RATE_LONG_SQL),
+    "avg_over_odd_range": (avg_over_odd_range, AVG_OVER_ODD_SQL),
     "count_over_time": (count_over_time, COUNT_OVER_TIME_SQL),
     "select_labels": (select_labels, SELECT_LABELS_SQL),
     "step_alignment": (step_alignment, STEP_ALIGNMENT_SQL),
