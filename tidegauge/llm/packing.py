@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,14 +30,37 @@ from tidegauge.llm import base
 MODEL = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
-# Chunks kept per worker; beyond that the memory starts anew.
-KEPT_CHUNKS = 300_000
+# Chunks kept per worker in each of two generations: when the younger one is full it becomes the older one,
+# from which only what is asked for again moves on. So memory is bounded and frequent chunks stay.
+KEPT_CHUNKS = 250_000
 KEPT_LENGTH = 64
 # A word of plain letters and signs behind it, without apostrophes (they can start a contraction) and the
 # signs of special strings: such words are split off by the vocabulary's pattern, whatever their case.
 _WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-;=-@\[-`{}~]*)").fullmatch
 
 
+class _Generations:
+    """A bounded memory of ids by chunk."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, chunks: Iterable[str]) -> list[str]:
+        """The chunks that are in neither generation; those in the older one move to the younger."""
+        if len(self.young) >= KEPT_CHUNKS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        absent = []
+        for chunk in {c for c in chunks if c not in young}:
+            ids = old.get(chunk)
+            if ids is None:
+                absent.append(chunk)
+            else:
+                young[chunk] = ids
+        return absent
+
+
 class ChunkTokenizer:
     """The library's ids, asked for once per chunk between blanks.
 
@@ -56,8 +79,7 @@ class ChunkTokenizer:
         # words are asked for in lower case only where the vocabulary knows no other
         cased = self._ids(["Harbour", "ÉCOLE", "harbour", "école"])
         self._fold = str.lower if cased[:2] == cased[2:] else str
-        self._kept: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {"": b""}
+        self._kept, self._words = _Generations(), _Generations()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -65,15 +87,12 @@ class ChunkTokenizer:
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks; words are asked for in one case and without the signs behind them."""
-        words = self._words
-        if len(words) >= KEPT_CHUNKS:
-            words.clear()
-            words[""] = b""
         plans = []
         for chunk in chunks:
             found = _WORD_AND_SIGNS(chunk)
             plans.append((self._fold(found[1]), found[2]) if found else (chunk, ""))
-        new = list({part for plan in plans for part in plan if part not in words})
+        new = self._words.missing(part for plan in plans for part in plan)
+        words = self._words.young
         words.update(zip(new, self._ids(new)))
         ids = [words[word] + words[signs] for word, signs in plans]
         for part in new:
@@ -84,10 +103,8 @@ class ChunkTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        kept = self._kept
-        if len(kept) >= KEPT_CHUNKS:
-            kept.clear()
-        new = list({c for chunks in split for c in chunks if c not in kept})
+        new = self._kept.missing(c for chunks in split for c in chunks)
+        kept = self._kept.young
         long: dict[str, bytes] = {}
         for chunk, ids in zip(new, self._chunk_ids(new)):
             (kept if len(chunk) <= KEPT_LENGTH else long)[chunk] = ids
