@@ -39,6 +39,30 @@ def test_catalog_tables(spark):
     assert not spark.catalog.databaseExists("obs")
 
 
+def test_migrations_in_order_and_once(spark):
+    lake.create_tables(spark, "moved")
+    calls = []
+
+    def fail_once(session, name):
+        calls.append(name)
+        if len(calls) == 1:
+            raise RuntimeError("stopped")
+
+    chain = [lake.Migration(1, {"zone": "STRING"}), lake.Migration(2, {"weight": "DOUBLE"}, fail_once)]
+    lake.append_table(metrics(spark, ["2024-01-01 10:00:00"]), "moved", "metrics")
+    assert lake.applied_version(spark, "moved", "metrics") == 0
+    with pytest.raises(RuntimeError, match="stopped"):
+        lake.migrate(spark, "moved", "metrics", chain)
+    assert lake.applied_version(spark, "moved", "metrics") == 1
+    assert lake.migrate(spark, "moved", "metrics", chain) == [2] and lake.migrate(spark, "moved", "metrics", chain) == []
+    assert len(calls) == 2 and spark.table("moved.metrics").filter("zone IS NULL AND weight IS NULL").count() == 1
+    with pytest.raises(ValueError, match="numbered"):
+        lake.migrate(spark, "moved", "metrics", [chain[0], lake.Migration(3)])
+    with pytest.raises(ValueError, match="version 2"):
+        lake.migrate(spark, "moved", "metrics", chain[:1])
+    lake.drop_namespace(spark, "moved", cascade=True)
+
+
 def test_recent_rows_prune_days(spark, tmp_path):
     root = str(tmp_path / "metrics")
     lake.append_rows(metrics(spark, [f"2024-01-{d:02d} 12:00:00" for d in range(1, 11)]), root)

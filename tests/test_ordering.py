@@ -116,3 +116,28 @@ def test_rows_with_maps_are_indexed_and_split(spark):
     parts = ordering.split_by_time(df)
     assert [p.count() for p in parts] == [28, 6, 6]
     assert {r["m"]["k"] for p in parts for r in p.collect()} == set(range(40))
+
+
+@pytest.mark.parametrize("keys,length,block_rows", [((), 4, 7), (("k",), 3, 5), ((), 30, 16), (("k",), 40, 16)])
+def test_sequence_blocks_hold_the_same_sequences(spark, tmp_path, keys, length, block_rows):
+    rows = [("a" if i % 3 else None, i, float(i) / 3, None if i % 11 == 5 else i * 1.5) for i in range(150)]
+    df = spark.createDataFrame(rows, "k string, timestamp long, a double, b double").repartition(3)
+    indexed = ordering.with_row_index(df, keys=keys)
+    want = ordering.sequences(indexed, ["a", "b"], "b", length, keys, block_rows=block_rows)
+    blocks = ordering.sequence_blocks(indexed, ["a", "b"], "b", length, keys, block_rows=block_rows)
+    blocks.write.parquet(str(tmp_path / "blocks"))
+    stored = spark.read.parquet(str(tmp_path / "blocks"))
+    got = ordering.read_sequences(stored, length, keys)
+    key = lambda df: sorted((str(r.asDict()) for r in df.select(*keys, "start_idx", "x", "y").collect()))
+    plain = lambda text: text.replace("nan", "None")
+    assert [plain(t) for t in key(got)] == [plain(t) for t in key(want)] and got.count() == 150 - length * max(1, 2 * len(keys))
+    rows_stored = stored.selectExpr("sum(size(y)) AS n").first()["n"]
+    assert rows_stored <= 1.25 * 150 + length * 2
+
+
+def test_a_day_of_rows_is_stored_about_once(spark, tmp_path):
+    df = spark.range(40_000).select((F.col("id") * 60_000).alias("timestamp"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    indexed = ordering.with_row_index(df)
+    blocks = ordering.sequence_blocks(indexed, ["a", "b"], "b", 1440)
+    assert blocks.selectExpr("sum(size(y)) AS n").first()["n"] < 1.3 * 40_000
+    assert ordering.map_sequences(blocks, 1440, lambda s, x, y: {"s": s}, "s long").count() == 40_000 - 1440

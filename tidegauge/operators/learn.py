@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.numbers import is_finite
-from tidegauge.operators import boosting
+from tidegauge.operators import boosting, trend
 from tidegauge.operators.aggregates import error_measures
 from tidegauge.operators.clean import finite_rows
-from tidegauge.operators.ordering import sequences, split_by_time, with_row_index
+from tidegauge.operators.ordering import sequence_blocks, sequences, split_by_time, with_row_index
 from tidegauge.operators.standardize import (
     Scale,
     apply_scale,
@@ -168,6 +168,23 @@ def train_seasonal(
     return model, _score("seasonal_regression", model, train, val, features, target)
 
 
+def train_trend(
+    df: DataFrame,
+    target: str,
+    regressors: list[str],
+    settings: trend.TrendSettings | None = None,
+    test_size: float = 0.15,
+    val_size: float = 0.15,
+) -> tuple[trend.Trend, DataFrame]:
+    """Trend with changepoints, waves and extra regressors, measured on the validation part."""
+    columns = [c for c in regressors if c in df.columns and c != target]
+    train, val, _ = split_by_time(df.select("timestamp", target, *columns), test_size, val_size)
+    train, val = (_usable(part, ["timestamp", *columns], target) for part in (train, val))
+    model = trend.fit_trend(train, target, columns, settings)
+    features = ["timestamp", *columns]
+    return model, _score("changepoint_trend", model, train, val, features, target)
+
+
 def evaluation_table(scores: list[DataFrame]) -> DataFrame:
     """One row per model: feature count, rows trained on and measured, MAE, RMSE, MAPE."""
     table = scores[0]
@@ -182,11 +199,15 @@ def prepare_sequences(
     length: int = 1440,
     test_size: float = 0.15,
     val_size: float = 0.15,
+    blocks: bool = False,
+    short: str = "fail",
 ) -> tuple[dict[str, DataFrame], Scale, Scale]:
     """Training tables of a sequence model, per part.
 
     Finite rows only; features standardised with the training part and clipped to [-20, 20];
-    target standardised with the training part; then sequences of ``length`` rows.
+    target standardised with the training part; then sequences of ``length`` rows, or with ``blocks`` the
+    rows in blocks that a reader slices (see :func:`sequence_blocks`). A part that is too short for a
+    sequence stops with an error, or gives an empty table if ``short`` is ``empty``.
     """
     features = feature_columns(df, target)
     names = ("train", "val", "test")
@@ -204,7 +225,7 @@ def prepare_sequences(
     for name, part in usable.items():
         scaled = apply_scale(apply_scale(part, x_scale), y_scale)
         indexed = with_row_index(clip_columns(scaled, features), (order,))
-        if indexed.count() <= length:
+        if short != "empty" and indexed.count() <= length:
             raise ValueError(f"Not enough rows in the {name} part for sequences of {length}.")
-        tables[name] = sequences(indexed, features, target, length)
+        tables[name] = (sequence_blocks if blocks else sequences)(indexed, features, target, length)
     return tables, x_scale, y_scale

@@ -7,6 +7,10 @@ keys and hot timestamps like everything else, and later operators work on equal
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -280,6 +284,80 @@ def sequences(
     )
 
 
+def sequence_blocks(
+    df: DataFrame,
+    features: list[str],
+    target: str,
+    length: int,
+    keys: tuple[str, ...] = (),
+    index: str = INDEX,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The sequences of an indexed frame as blocks of rows: each row once, and a look-back per block.
+
+    A block holds ``x`` and ``y`` of rows ``first_idx``, first_idx + 1, ...; those from position ``home`` on end a
+    sequence here. Stored rows are at most a quarter more than the frame's, whatever the length; a group
+    is a block of a bounded number of rows. :func:`map_sequences` and :func:`read_sequences` slice.
+    """
+    row = F.array(*[F.col(c).cast("float") for c in features])
+    narrow = df.select(*keys, index, row.alias("_x"), F.col(target).cast("float").alias("_y"))
+    blocks = in_row_blocks(narrow, length, index, block_rows, keys)
+    entry = F.struct(F.col(index).alias("i"), (~F.col(_HOME)).cast("int").alias("back"), F.col("_x").alias("x"), F.col("_y").alias("y"))
+    packed = blocks.groupBy(*keys, _BLOCK).agg(F.array_sort(F.collect_list(entry)).alias("r"))
+    stored = packed.select(
+        *keys,
+        F.get("r.i", F.lit(0)).alias("first_idx"),
+        F.aggregate("r.back", F.lit(0), lambda a, b: a + b).alias("home"),
+        F.col("r.x").alias("x"),
+        F.col("r.y").alias("y"),
+    )
+    # a block of look-back rows only ends no sequence
+    return stored.filter(F.col("home") < F.size("y"))
+
+
+def map_sequences(
+    blocks: DataFrame, length: int, apply: Callable, schema: str, keys: tuple[str, ...] = (), at_once: int = 256
+) -> DataFrame:
+    """Apply a function to the sequences of stored blocks, some at a time.
+
+    ``apply(start_idx, x, y)`` gets arrays of n, (n, length, features) and n values and returns columns by
+    name; ``x`` is a view of the block, so nothing is copied per sequence. ``schema`` names the keys first.
+    """
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                y = np.array(batch.column("y")[k].values)
+                x = np.array(batch.column("x")[k].values.flatten()).reshape(len(y), -1)
+                first, home = batch.column("first_idx")[k].as_py(), batch.column("home")[k].as_py()
+                own = {c: batch.column(c)[k] for c in keys}
+                start = max(home, length)
+                if start >= len(y):
+                    continue
+                # window p holds rows p, ..., p + length - 1
+                windows = np.lib.stride_tricks.sliding_window_view(x, length, axis=0).swapaxes(1, 2)
+                for low in range(start, len(y), at_once):
+                    ends = np.arange(low, min(low + at_once, len(y)))
+                    made = apply(first + ends - length, windows[low - length : ends[-1] + 1 - length], y[ends])
+                    columns = {**{c: pa.array([v.as_py()] * len(ends), v.type) for c, v in own.items()}, **made}
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[n]) for n in names], names)
+
+    return blocks.mapInArrow(run, schema)
+
+
+def read_sequences(blocks: DataFrame, length: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of :func:`sequences` from stored blocks; written out they are ``length`` times as large."""
+
+    def nested(start: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict:
+        n, width = len(start), x.shape[2]
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(n * length + 1, dtype="i4") * width), pa.array(x.reshape(-1)))
+        return {"start_idx": start, "x": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype="i4") * length), rows), "y": y}
+
+    kinds = "".join(f"{c} {blocks.schema[c].dataType.simpleString()}, " for c in keys)
+    return map_sequences(blocks, length, nested, f"{kinds}start_idx long, x array<array<float>>, y float", keys)
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """First rows, for a look at a frame."""
     return df.limit(rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidegauge.operators import aggregates, clean, features, learn, ordering, standardize
@@ -170,6 +171,30 @@ def seasonal_regression(spark, sf_dir):
     return _measured(learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1], frame, "val")
 
 
+# The planted bend: after this share of the training part's time the target rises by so much a day.
+_BEND, _RISE = 0.5, 40.0
+
+
+def _bent_frame(spark, sf_dir):
+    """The demand frame with a bend in its trend, and where the bend is."""
+    frame = _demand_frame(spark, sf_dir)
+    train = ordering.split_by_time(frame, 0.15, 0.15)[0]
+    ends = train.agg(F.min("timestamp"), F.max("timestamp")).first()
+    at = int(ends[0] + _BEND * (ends[1] - ends[0]))
+    risen = F.greatest(F.col("timestamp") - at, F.lit(0)) * (_RISE / 86_400_000)
+    return frame.withColumn(tables.TARGET, F.col(tables.TARGET) + risen), at, ends[1] - ends[0]
+
+
+def changepoint_trend(spark, sf_dir):
+    """The forecaster with changepoints on a target that bends: its errors against the mean's, and whether most of
+    the change of slope is found near the planted bend."""
+    frame, at, span = _bent_frame(spark, sf_dir)
+    model, scores = learn.train_trend(frame, tables.TARGET, list(tables.WIDE))
+    near = sum(change for when, change in model.bends if abs(when - at) < 0.1 * span)
+    measured = _measured(scores, frame, "val")
+    return measured.withColumn("bend_found", F.lit(bool(abs(near - _RISE) < 0.3 * _RISE)))
+
+
 def model_table(spark, sf_dir):
     """The forecasters' errors on the same frame, one row each; no twin, since SQL does not train."""
     frame = _model_frame(spark, sf_dir)
@@ -177,6 +202,7 @@ def model_table(spark, sf_dir):
         learn.train_forest(frame, tables.TARGET)[1],
         learn.train_boosted(frame, tables.TARGET, **_BOOSTING)[1],
         learn.train_seasonal(frame, tables.TARGET, list(tables.WIDE))[1],
+        learn.train_trend(frame, tables.TARGET, list(tables.WIDE))[1],
     ]
     table = learn.evaluation_table(scores)
     return table.select("model", "features_number", "rows_train", "rows_measured", *[tables.shown(c, 4).alias(c) for c in ("mae", "rmse", "mape")])
@@ -189,10 +215,12 @@ sizes AS (SELECT n, trunc(n * (1 - 0.15::DOUBLE - 0.15::DOUBLE))::BIGINT AS a, t
 """
 _DEMAND_CTE = f"""
 demand AS (
-  SELECT {_WAVE} * sin(2 * pi() * (timestamp % 86400000) / 86400000.0) + 0.5 * coalesce({_FIRST}, 0) + {_NOISE} * view AS y,
+  SELECT timestamp, {_WAVE} * sin(2 * pi() * (timestamp % 86400000) / 86400000.0) + 0.5 * coalesce({_FIRST}, 0) + {_NOISE} * view AS y,
     row_number() OVER (ORDER BY timestamp) - 1 AS i
   FROM wide WHERE view IS NOT NULL),
-parts AS (SELECT y, CASE WHEN i < a THEN 'train' WHEN i < b THEN 'val' ELSE 'test' END AS part FROM demand, sizes),
+parts AS (SELECT timestamp, y, CASE WHEN i < a THEN 'train' WHEN i < b THEN 'val' ELSE 'test' END AS part FROM demand, sizes)
+"""
+_PLAIN_CTE = """
 mean AS (SELECT avg(y) AS mean, count(*) AS rows_train FROM parts WHERE part = 'train'),
 plain AS (SELECT part, avg(abs(y - mean)) AS mae, count(*) AS n FROM parts, mean GROUP BY part)
 """
@@ -203,32 +231,47 @@ _N_SEASONAL = 1 + 2 * (4 + 3) + _OTHERS
 
 
 def _model_sql(name: str, number: int, part: str) -> str:
-    return f"""{_SIZES_CTE}, {_DEMAND_CTE}
+    return f"""{_SIZES_CTE}, {_DEMAND_CTE}, {_PLAIN_CTE}
 SELECT '{name}' AS model, {number} AS features_number, rows_train, n AS rows_measured,
   round(mae + 1e-7, 4) AS mean_mae, true AS beats_mean FROM plain, mean WHERE part = '{part}'"""
 
 
+CHANGEPOINT_SQL = f"""{_SIZES_CTE}, {_DEMAND_CTE},
+bend AS (
+  SELECT trunc(min(timestamp) + {_BEND} * (max(timestamp) - min(timestamp))) AS middle FROM parts WHERE part = 'train'),
+bent AS (SELECT part, y + greatest(timestamp - middle, 0) * ({_RISE} / 86400000) AS y FROM parts, bend),
+mean AS (SELECT avg(y) AS mean, count(*) AS rows_train FROM bent WHERE part = 'train'),
+plain AS (SELECT avg(abs(y - mean)) AS mae, count(*) AS n FROM bent, mean WHERE part = 'val')
+SELECT 'changepoint_trend' AS model, {len(tables.WIDE)} AS features_number, rows_train, n AS rows_measured,
+  round(mae + 1e-7, 4) AS mean_mae, true AS beats_mean, true AS bend_found FROM plain, mean
+"""
 _FOREST = ("random_forest", _N_FEATURES, "val")
 _BOOSTED = ("boosted_trees", _N_FEATURES, "test")
 _SEASONAL = ("seasonal_regression", _N_SEASONAL, "val")
-LENGTH = 12
+# A sequence of a day, and a short one for tables whose parts are shorter than that.
+LENGTHS = (1440, 12)
 
 
 def sequence_training_table(spark, sf_dir):
-    """Prepared sequences of all three parts, by place, length and target."""
+    """Prepared sequences of all three parts, by place, length and target, sliced from stored blocks."""
     frame = _grid_frame(spark, sf_dir)
-    made, _, _ = learn.prepare_sequences(frame, tables.TARGET, length=LENGTH)
-    parts = [
-        df.select(
-            F.lit(name).alias("part"),
-            "start_idx",
-            F.size("x").cast("long").alias("n_rows"),
-            tables.shown(F.col("y").cast("double"), 4).alias("y"),
-            tables.shown(F.aggregate("x", F.lit(0.0), lambda s, row: s + row[1].cast("double")), 3).alias("total"),
-        )
-        for name, df in made.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    def shown_sequences(start, x, y):
+        return {"start_idx": start, "n_rows": np.full(len(start), x.shape[1]), "y": y.astype("f8"), "total": x[:, :, 1].sum(axis=1, dtype="f8")}
+
+    out = None
+    for length in LENGTHS:
+        made, _, _ = learn.prepare_sequences(frame, tables.TARGET, length=length, blocks=True, short="empty")
+        for name, blocks in made.items():
+            rows = ordering.map_sequences(blocks, length, shown_sequences, "start_idx long, n_rows long, y double, total double")
+            part = rows.select(F.lit(name).alias("part"), "start_idx", "n_rows", tables.shown("y", 4).alias("y"), tables.shown("total", 3).alias("total"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _sequences_sql(length):
+    return f"""SELECT part, j - {length} AS start_idx, count(*) OVER w AS n_rows, y, sum(x) OVER w AS total
+  FROM scaled WINDOW w AS (PARTITION BY part ORDER BY j ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) QUALIFY n_rows = {length}"""
 
 
 SEQUENCE_TRAINING_SQL = f"""
@@ -244,10 +287,8 @@ scaled AS (
     CAST(CAST((view - my) / sy AS FLOAT) AS DOUBLE) AS y,
     CAST(CAST(greatest(least((x - mx) / sx, 20), -20) AS FLOAT) AS DOUBLE) AS x
   FROM parts, scale),
-made AS (
-  SELECT part, j - {LENGTH} AS start_idx, count(*) OVER w AS n_rows, y, sum(x) OVER w AS total
-  FROM scaled WINDOW w AS (PARTITION BY part ORDER BY j ROWS BETWEEN {LENGTH} PRECEDING AND 1 PRECEDING))
-SELECT part, start_idx, n_rows, round(y + 1e-7, 4) AS y, round(total + 1e-6, 3) AS total FROM made WHERE n_rows = {LENGTH}
+made AS ({" UNION ALL ".join(f"({_sequences_sql(n)})" for n in LENGTHS)})
+SELECT part, start_idx, n_rows, round(y + 1e-7, 4) AS y, round(total + 1e-6, 3) AS total FROM made
 """
 
 
@@ -260,6 +301,7 @@ QUERIES = {
     "forest": (forest, _model_sql(*_FOREST)),
     "boosted": (boosted, _model_sql(*_BOOSTED)),
     "seasonal_regression": (seasonal_regression, _model_sql(*_SEASONAL)),
+    "changepoint_trend": (changepoint_trend, CHANGEPOINT_SQL),
     "model_table": (model_table, None),
     "sequence_training_table": (sequence_training_table, SEQUENCE_TRAINING_SQL),
 }

@@ -264,8 +264,11 @@ SELECT epoch_us(ts) AS ts_us, event_type AS name, value, strftime(ts, '%Y-%m-%d'
 """
 
 
+_CHAIN = [lake.Migration(1, {"zone": "STRING"}), lake.Migration(2, {"weight": "DOUBLE"})]
+
+
 def lake_tables(spark, sf_dir):
-    """Catalog tables created, filled, extended by a column and filled again; then dropped from the
+    """Catalog tables created, filled, migrated by two versions and filled again; then dropped from the
     catalog, and their files read by path."""
     root = _run_root(spark, "tables")
     namespace = f"lake_{uuid.uuid4().hex}"
@@ -273,8 +276,11 @@ def lake_tables(spark, sf_dir):
     rows = tables.metric_rows(spark, sf_dir)
     old, new = rows.filter(F.col("__name__") != "view"), rows.filter(F.col("__name__") == "view")
     lake.append_table(old.drop("event_id"), namespace, "metrics")
-    lake.add_columns(spark, namespace, "metrics", {"zone": "STRING"})
-    lake.append_table(new.drop("event_id").withColumn("zone", F.lit("z")), namespace, "metrics")
+    lake.migrate(spark, namespace, "metrics", _CHAIN[:1])
+    lake.migrate(spark, namespace, "metrics", _CHAIN)
+    if lake.migrate(spark, namespace, "metrics", _CHAIN) or lake.applied_version(spark, namespace, "metrics") != len(_CHAIN):
+        raise RuntimeError("migrations were not applied once each")
+    lake.append_table(new.drop("event_id").withColumns({"zone": F.lit("z"), "weight": F.col("value") / 2}), namespace, "metrics")
     schema = spark.table(f"{namespace}.metrics").schema
     for name in lake.TABLES:
         lake.drop_table(spark, namespace, name, purge=False)
@@ -285,12 +291,14 @@ def lake_tables(spark, sf_dir):
         F.col("__name__").alias("name"),
         "value",
         "zone",
+        "weight",
         F.date_format(lake.DAY, "yyyy-MM-dd").alias("day"),
     )
 
 
 LAKE_TABLES_SQL = """
 SELECT epoch_us(ts) AS ts_us, event_type AS name, value, CASE WHEN event_type = 'view' THEN 'z' END AS zone,
+       CASE WHEN event_type = 'view' THEN value / 2 END AS weight,
        strftime(ts, '%Y-%m-%d') AS day
 FROM events
 """

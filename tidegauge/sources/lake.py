@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,50 @@ def add_columns(spark: SparkSession, namespace: str, table: str, columns: dict[s
     return list(missing)
 
 
+VERSION = "tidegauge.version"
+
+
+@dataclass(frozen=True)
+class Migration:
+    """One numbered step of a table: columns to add and, for anything else, a function of (spark, table name).
+
+    A step that stops half-way runs again as a whole, so its function must bear that.
+    """
+
+    version: int
+    columns: dict[str, str] = field(default_factory=dict)
+    run: Callable[[SparkSession, str], None] | None = None
+
+
+def applied_version(spark: SparkSession, namespace: str, table: str) -> int:
+    """The version a table says it has; 0 before any migration."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(namespace, table)}").collect()
+    return int(next((r["value"] for r in rows if r["key"] == VERSION), 0))
+
+
+def migrate(spark: SparkSession, namespace: str, table: str, chain: list[Migration]) -> list[int]:
+    """Apply the steps a table lacks, in order, and note each version with the table; returns what was applied.
+
+    The chain is the whole history, numbered 1, 2, 3, ... without a gap. A table that is ahead of the chain
+    was migrated by newer code and is refused.
+    """
+    numbers = [step.version for step in chain]
+    if numbers != list(range(1, len(chain) + 1)):
+        raise ValueError(f"migrations must be numbered 1, 2, 3, ... in order, not {numbers}")
+    now = applied_version(spark, namespace, table)
+    if now > len(chain):
+        raise ValueError(f"the table has version {now}, the chain ends with {len(chain)}")
+    name = _quoted(namespace, table)
+    applied = []
+    for step in chain[now:]:
+        add_columns(spark, namespace, table, step.columns)
+        if step.run is not None:
+            step.run(spark, name)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION}' = '{step.version}')")
+        applied.append(step.version)
+    return applied
+
+
 def drop_table(spark: SparkSession, namespace: str, table: str, purge: bool = True) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(namespace, table)}{' PURGE' if purge else ''}")
 
