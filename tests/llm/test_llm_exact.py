@@ -275,6 +275,44 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.95
 
 
+def test_neighbours_recall_on_the_table(spark, monkeypatch):
+    """Recall of the query's own table against all pairs, several cells; and how many vectors are verified."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").dropna().collect()
+    ids, points = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], "f8")
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 1000)
+    got = collections.defaultdict(set)
+    for r in neighbours.query(spark, "/root/testdata/sf0.1").collect():
+        got[r["query_id"]].add(r["vec_id"])
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    hits = total = 0
+    for k in np.flatnonzero(ids % 50 == 0):
+        score = unit @ unit[k]
+        score[k] = -9
+        best = ids[np.lexsort((ids, -score))[:5]]
+        hits, total = hits + len(got[ids[k]] & set(best.tolist())), total + 5
+    assert hits / total >= 0.9
+    index = neighbours.CellIndex(points)
+    quantile = neighbours.chi_square_quantile(neighbours.CONFIDENCE, neighbours.PROJECTED)
+    asked = np.flatnonzero(ids % 50 == 0)
+    for k in asked:
+        index.search(points[k], index.points[k], 6, quantile, np.inf)
+    share = index.verified / (len(asked) * len(points))
+    print(f"recall {hits / total:.3f}, verified {share:.3f} of {len(points)}")
+    assert share < 0.75
+
+
+def test_cells_in_parts_and_chunks(spark, monkeypatch):
+    """Parts of vectors and chunks of queries change no result."""
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, rng.standard_normal(6).tolist()) for i in range(700)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "CONFIDENCE", 0.999999)
+    want = sorted(map(tuple, neighbours.nearest(df, df.filter("vec_id % 7 = 0"), confidence=0.999999).collect()))
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 40)
+    monkeypatch.setattr(neighbours, "MOST_CELLS", 3)
+    monkeypatch.setattr(neighbours, "CELL_QUERIES", 9)
+    assert sorted(map(tuple, neighbours.nearest(df, df.filter("vec_id % 7 = 0"), confidence=0.999999).collect())) == want
+
+
 def test_chi_square_quantile():
     # tabled values
     assert neighbours.chi_square_quantile(0.95, 2) == pytest.approx(5.991, abs=1e-3)

@@ -2,13 +2,15 @@
 
 Vectors are scaled to length one and projected to ``PROJECTED`` Gaussian coordinates. The squared
 projected distance of two vectors over their squared distance follows the chi-square distribution, so
-projected neighbours are verified in growing projected distance until that distribution makes a nearer
-vector unlikely: the next projected distance exceeds the ``CONFIDENCE`` quantile times the squared
-distance of the neighbours found so far.
+projected neighbours are verified one after the other in growing projected distance until that distribution
+makes a nearer vector unlikely: the next projected distance exceeds the ``CONFIDENCE`` quantile times the
+squared distance of the neighbours found so far. A kd-tree hands them out in that order: leaves are opened as
+their boxes come near, and a point is verified once no closed leaf can hold one before it.
 
 Over the cluster, the projected space is cut into cells by a kd-tree on a bounded sample; all vectors
 are placed in their cell and every cell builds its own kd-tree. A query first searches its home cell.
-The distance found there, with the same test, tells which other cells it still has to search; usually few.
+The distance found there, with the same test, tells which other cells it still has to search. A cell with very many
+vectors is cut into parts with a tree each, one with very many queries is searched in several groups.
 
 Equal vectors are one entry with the smallest ids of its copies, as many as a result can need, so groups
 of copies cost one entry and lose no result.
@@ -22,6 +24,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,18 +34,19 @@ from pyspark.sql import functions as F
 from tidegauge.llm import base
 
 NEIGHBOURS = 5
-PROJECTED = 8
-CONFIDENCE = 0.98
+PROJECTED = 16
+CONFIDENCE = 0.93
 SEED = 11
 CELL_ROWS = 4096
 LEAF_ROWS = 32
-# Rows of the sample that the cells are cut by, and the most cells it can carry.
-SAMPLE_ROWS = 20_000
-MOST_CELLS = 4096
+# Rows of the sample for each cell it cuts, and the most cells; beyond that, cells are cut into parts.
+SAMPLE_PER_CELL = 16
+MOST_CELLS = 1 << 14
 # Queries searched together in one cell; more are split.
 CELL_QUERIES = 20_000
-# Leaves verified between two stopping tests.
+# Leaves opened at once, and points verified between two stopping tests.
 STEP = 4
+VERIFIED_AT_ONCE = 16
 
 
 def chi_square_quantile(share: float, freedom: int) -> float:
@@ -55,6 +59,7 @@ def chi_square_quantile(share: float, freedom: int) -> float:
     return high
 
 
+@lru_cache(maxsize=8)
 def projection(length: int, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng([seed, length]).standard_normal((length, PROJECTED))
 
@@ -113,11 +118,11 @@ class CellIndex:
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        points = projected(vectors)
-        leaves = kd_leaves(points, LEAF_ROWS)
-        self.leaves = leaves
-        self.low = np.array([points[r].min(axis=0) for r in leaves])
-        self.high = np.array([points[r].max(axis=0) for r in leaves])
+        self.points = projected(vectors)
+        self.leaves = kd_leaves(self.points, LEAF_ROWS)
+        self.low = np.array([self.points[r].min(axis=0) for r in self.leaves])
+        self.high = np.array([self.points[r].max(axis=0) for r in self.leaves])
+        self.verified = 0
 
     def search(self, vector: np.ndarray, point: np.ndarray, wanted: int, quantile: float, bound: float) -> tuple[np.ndarray, np.ndarray]:
         """Entries and scores of the best found; ``bound`` is a squared distance known to be enough."""
@@ -125,10 +130,25 @@ class CellIndex:
         order = np.argsort(gaps, kind="stable")
         norm = math.sqrt(float((vector * vector).sum()))
         rows, scores = np.empty(0, "i8"), np.empty(0)
-        for at in range(0, len(order), STEP):
-            if gaps[order[at]] > quantile * bound:
+        waiting, distances = np.empty(0, "i8"), np.empty(0)
+        opened = 0
+        while True:
+            closed = gaps[order[opened]] if opened < len(order) else np.inf
+            nearest_waiting = distances[0] if len(waiting) else np.inf
+            if min(closed, nearest_waiting) > quantile * bound or (closed == np.inf and not len(waiting)):
                 break  # the stopping test
-            new = np.concatenate([self.leaves[k] for k in order[at : at + STEP]])
+            if closed <= nearest_waiting:
+                new = np.concatenate([self.leaves[k] for k in order[opened : opened + STEP]])
+                opened += STEP
+                apart = self.points[new] - point
+                waiting, distances = np.concatenate([waiting, new]), np.concatenate([distances, (apart * apart).sum(axis=1)])
+                first = np.argsort(distances, kind="stable")
+                waiting, distances = waiting[first], distances[first]
+                continue
+            # those before the next closed leaf and within the test, a few at a time
+            ready = min(VERIFIED_AT_ONCE, int(np.searchsorted(distances, min(closed, quantile * bound), "right")))
+            new, waiting, distances = waiting[:ready], waiting[ready:], distances[ready:]
+            self.verified += ready
             found = (self.vectors[new] * vector).sum(axis=1) / (self.norms[new] * norm)
             rows, scores = np.concatenate([rows, new]), np.concatenate([scores, found])
             if len(rows) > wanted:
@@ -173,9 +193,14 @@ def _with_cells(rows: DataFrame, lows: dict, highs: dict, ask: bool, quantile: f
             bounds = batch.column("bound").to_pylist() if ask else None
             home = batch.column("cell").to_pylist() if ask else None
             at, cells = [], []
-            for k, values in enumerate(vectors.to_pylist()):
-                point = projected(np.array([values]))[0]
-                low, high = lows[len(values)], highs[len(values)]
+            lists = vectors.to_pylist()
+            points: list = [None] * len(lists)
+            for length in {len(v) for v in lists}:
+                rows_ = [k for k, v in enumerate(lists) if len(v) == length]
+                for k, own in zip(rows_, projected(np.array([lists[k] for k in rows_]))):
+                    points[k] = own
+            for k, point in enumerate(points):
+                low, high = lows[len(lists[k])], highs[len(lists[k])]
                 if ask:
                     near = np.flatnonzero(squared_gaps(point, low, high) <= quantile * bounds[k])
                     near = near[near != home[k]]
@@ -193,20 +218,31 @@ def _with_cells(rows: DataFrame, lows: dict, highs: dict, ask: bool, quantile: f
     return base.map_batches(rows, make, ", ".join(f"{n} {t}" for n, t in fields.items()))
 
 
-def _search(vectors: DataFrame, queries: DataFrame, wanted: int, quantile: float, chunks: int) -> DataFrame:
+def _search(vectors: DataFrame, queries: DataFrame, wanted: int, quantile: float) -> DataFrame:
     """Search each query in the cell it is sent to: (query_id, vector, cell, ids, score, bound).
 
-    Entries found come with ``ids`` and ``score``; each query also gives one row with NULL ids that
-    carries the squared distance within which it has found enough.
+    Entries found come with ``ids`` and ``score``; each query also gives a row with NULL ids that
+    carries the squared distance within which it has found enough. A group is one part of a cell's vectors and
+    one chunk of its queries.
     """
     none = F.lit(None)
-    sides = vectors.select(
-        "cell", F.size("vector").alias("length"), "vector", "ids", none.cast("long").alias("query_id"), none.cast("double").alias("bound"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
+    where = ["cell", "length"]
+    held = vectors.withColumn("length", F.size("vector"))
+    asked = queries.withColumn("length", F.size("vector"))
+    # at most a row per cell and length
+    parts = held.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / (4 * CELL_ROWS)).alias("parts"))
+    chunks = asked.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).alias("chunks"))
+    groups = base.stage_table(chunks.join(parts, where), "cells")
+    groups = base.broadcast_if_small(groups, groups.count())
+    sides = held.join(groups, where).select(
+        *where, "vector", "ids", none.cast("long").alias("query_id"), none.cast("double").alias("bound"),
+        F.pmod(F.xxhash64("vector"), F.col("parts")).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
     ).unionByName(
-        queries.select(
-            "cell", F.size("vector").alias("length"), "vector", none.cast("array<bigint>").alias("ids"), "query_id", "bound",
-            F.pmod(F.hash("query_id"), F.lit(chunks)).alias("chunk"),
+        asked.join(groups, where).select(
+            *where, "vector", none.cast("array<bigint>").alias("ids"), "query_id", "bound",
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("query_id"), F.col("chunks")).alias("chunk"),
         )
     )
     schema = pa.schema([("query_id", pa.int64()), ("cell", pa.int32()), ("ids", pa.list_(pa.int64())), ("score", pa.float64()), ("bound", pa.float64())])
@@ -231,7 +267,7 @@ def _search(vectors: DataFrame, queries: DataFrame, wanted: int, quantile: float
             out.append((query, cell, None, None, bound))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return sides.groupBy("cell", "length", "chunk").applyInArrow(
+    return sides.groupBy(*where, "part", "chunk").applyInArrow(
         run, "query_id long, cell int, ids array<bigint>, score double, bound double"
     )
 
@@ -254,22 +290,26 @@ def nearest(
     asked = usable_vectors(queries, vec_id, vector).select("vector", F.col("vec_id").alias("query_id"))
     sizes = {r["n"]: r["count"] for r in stored.groupBy(F.size("vector").alias("n")).count().collect()}
     total = max(1, sum(sizes.values()))
-    sample = stored.orderBy(F.xxhash64("vector")).limit(SAMPLE_ROWS) if total > SAMPLE_ROWS else stored
+    cells = {length: min(MOST_CELLS, max(1, count // CELL_ROWS)) for length, count in sizes.items()}
+    rows = SAMPLE_PER_CELL * sum(cells.values())
+    sample = stored.orderBy(F.xxhash64("vector")).limit(rows) if total > rows else stored
     drawn: dict[int, list] = {}
     for row in sample.select("vector").toLocalIterator():
         drawn.setdefault(len(row["vector"]), []).append(row["vector"])
     lows, highs = {}, {}
-    for length, count in sizes.items():
+    for length in sizes:
         points = projected(np.array(drawn[length])) if length in drawn else np.zeros((1, PROJECTED))
-        lows[length], highs[length] = kd_cells(points, min(MOST_CELLS, max(1, count // CELL_ROWS)))
+        lows[length], highs[length] = kd_cells(points, cells[length])
     placed = _with_cells(stored, lows, highs, False, quantile)
     at_home = _with_cells(asked.filter(F.size("vector").isin(list(sizes))), lows, highs, False, quantile)
     homes = base.stage_table(at_home.withColumn("bound", F.lit(float("inf"))), "queries")
-    chunks = max(1, homes.count() // CELL_QUERIES)
-    first = base.stage_table(_search(placed, homes, wanted, quantile, chunks), "home-cells")
-    bounds = first.filter(F.col("ids").isNull()).select("query_id", "bound")
+    placed = base.stage_table(placed, "placed")
+    first = base.stage_table(_search(placed, homes, wanted, quantile), "home-cells")
+    # a query searched in several parts, or with repeated ids, keeps the least bound it knows
+    answered = first.filter(F.col("ids").isNull()).groupBy("query_id").agg(F.min("bound").alias("bound"))
+    bounds = homes.select("query_id").distinct().join(answered, "query_id", "left").select("query_id", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
     further = _with_cells(homes.drop("bound").join(bounds, "query_id"), lows, highs, True, quantile)
-    found = first.unionByName(_search(placed, further, wanted, quantile, chunks)).filter(F.col("ids").isNotNull())
+    found = first.unionByName(_search(placed, further, wanted, quantile)).filter(F.col("ids").isNotNull())
     pairs = found.select("query_id", F.explode("ids").alias("vec_id"), "score").filter(F.col("query_id") != F.col("vec_id"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
