@@ -32,7 +32,8 @@ WINDOW = 4096
 END_ID = 2
 # Chunks kept per worker in each of two generations: when the younger one is full it becomes the older one,
 # from which only what is asked for again moves on. So memory is bounded and frequent chunks stay.
-KEPT_CHUNKS = 250_000
+KEPT_CHUNKS = 450_000
+KEPT_WORDS = 150_000
 KEPT_LENGTH = 64
 # A word of plain letters and signs behind it, without apostrophes (they can start a contraction) and the
 # signs of special strings: such words are split off by the vocabulary's pattern, whatever their case.
@@ -42,17 +43,18 @@ _WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-;=-@\[-`{}~]*)")
 class _Generations:
     """A bounded memory of ids by chunk."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, chunks: Iterable[str]) -> list[str]:
+    def missing(self, lists: Iterable[Iterable[str]]) -> list[str]:
         """The chunks that are in neither generation; those in the older one move to the younger."""
-        if len(self.young) >= KEPT_CHUNKS:
+        if len(self.young) >= self.most:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         absent = []
-        for chunk in {c for c in chunks if c not in young}:
+        for chunk in {c for chunks in lists for c in chunks if c not in young}:
             ids = old.get(chunk)
             if ids is None:
                 absent.append(chunk)
@@ -79,7 +81,7 @@ class ChunkTokenizer:
         # words are asked for in lower case only where the vocabulary knows no other
         cased = self._ids(["Harbour", "ÉCOLE", "harbour", "école"])
         self._fold = str.lower if cased[:2] == cased[2:] else str
-        self._kept, self._words = _Generations(), _Generations()
+        self._kept, self._words = _Generations(KEPT_CHUNKS), _Generations(KEPT_WORDS)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,7 +93,7 @@ class ChunkTokenizer:
         for chunk in chunks:
             found = _WORD_AND_SIGNS(chunk)
             plans.append((self._fold(found[1]), found[2]) if found else (chunk, ""))
-        new = self._words.missing(part for plan in plans for part in plan)
+        new = self._words.missing(plans)
         words = self._words.young
         words.update(zip(new, self._ids(new)))
         ids = [words[word] + words[signs] for word, signs in plans]
@@ -103,7 +105,7 @@ class ChunkTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self._kept.missing(c for chunks in split for c in chunks)
+        new = self._kept.missing(split)
         kept = self._kept.young
         long: dict[str, bytes] = {}
         for chunk, ids in zip(new, self._chunk_ids(new)):
