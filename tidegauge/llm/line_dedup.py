@@ -110,7 +110,8 @@ def gone_lines(
     fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """(doc_id, text_hash, pos) of the lines that go, decided batch by batch against the runs."""
-    lines = base.stage_table(repeated_lines(long_lines(docs, min_chars), min_docs), "repeated-lines")
+    every = base.stage_table(long_lines(docs, min_chars), "long-lines")
+    lines = base.stage_table(repeated_lines(every, min_docs), "repeated-lines")
     shares = [i / batches for i in range(1, batches)]
     cuts = lines.approxQuantile("doc_id", shares, 0.01) if shares else []
     borders = [None, *sorted({int(c) for c in cuts}), None]
@@ -122,8 +123,9 @@ def gone_lines(
             batch = batch.filter(F.col("doc_id") >= low)
         if high is not None:
             batch = batch.filter(F.col("doc_id") < high)
-        new = store.unseen(batch).groupBy(*HASH).agg(F.max("doc_id").alias("doc_id"))
-        kept = base.stage_table(new, "kept")
+        # one row per hash before the joins: a line of very many documents is added up in the tasks that read it
+        last = base.stage_table(batch.groupBy(*HASH).agg(F.max("doc_id").alias("doc_id")), "last-holders")
+        kept = base.stage_table(store.unseen(last), "kept")
         store.add(kept.select(*HASH))
         gone.append(batch.join(kept, ["doc_id", *HASH], "left_anti").select(*ROW, "pos"))
     result = gone[0]
