@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import random
+import time
 import re
 import zlib
 
@@ -275,6 +276,25 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.95
 
 
+@pytest.mark.parametrize("alphabet", ["e", "th e", "the", "ab", "0123456789", "=-", "été ", "aeiou▁"])
+def test_long_unbroken_words_are_the_library(alphabet):
+    rng = random.Random(alphabet)
+    codec = sentence_pieces.codec(PIECES)
+    for size in (sentence_pieces.ROUNDS_LENGTH - 3, sentence_pieces.ROUNDS_LENGTH + 2, 3000):
+        for text in (alphabet * (size // len(alphabet)), "".join(rng.choices(alphabet, k=size))):
+            assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == library.encode(text)
+
+
+def test_a_million_unbroken_characters():
+    codec = sentence_pieces.codec(PIECES)
+    for alphabet in ("e", "th"):
+        text = alphabet * (1_000_000 // len(alphabet))
+        start = time.process_time()
+        found = codec.encode([text])[0]
+        assert time.process_time() - start < 30
+        assert np.frombuffer(found, "<u4").tolist() == library.encode(text)
+
+
 def test_neighbours_recall_on_the_table(spark, monkeypatch):
     """Recall of the query's own table against all pairs, several cells; and how many vectors are verified."""
     rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").dropna().collect()

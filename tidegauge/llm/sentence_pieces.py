@@ -15,6 +15,7 @@ empty table gives an empty one; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +30,8 @@ MODEL = "piece_bpe_32k.model"
 # Parts kept per worker; beyond that the memory starts anew.
 KEPT_PARTS = 1_000_000
 KEPT_LENGTH = 64
+# Longer words are merged with a queue of pairs: a word of one repeated letter has as many rounds as letters.
+ROUNDS_LENGTH = 256
 _CODE_POINTS = 0x110000
 
 
@@ -81,6 +84,51 @@ class Codec:
         known = self._pair_keys[at] == keys
         return np.where(known, self._pair_rank[at], NO_RANK), self._pair_merged[at]
 
+    def _merge_long(self, symbols: list[int]) -> np.ndarray:
+        """Tokens of one long word, in n log n steps: pairs wait in a heap by rank, then place.
+
+        An entry counts only if the pair that stands at its place when it comes up has its rank.
+        """
+        pairs, rank = self.pieces.pairs, self.pieces.rank
+        size = len(symbols)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+
+        def entry(at: int) -> int | None:
+            right = after[at]
+            merged = pairs.get((symbols[at], symbols[right])) if right < size else None
+            return None if merged is None else rank[merged] << 40 | at
+
+        queue = [e for e in map(entry, range(size)) if e is not None]
+        heapq.heapify(queue)
+        while queue:
+            first = heapq.heappop(queue)
+            at = first & 0xFFFFFFFFFF
+            # a symbol that was merged into another one is -1 and in no pair
+            if entry(at) != first:
+                continue
+            right = after[at]
+            symbols[at] = pairs[symbols[at], symbols[right]]
+            symbols[right] = -1
+            after[at] = after[right]
+            if after[right] < size:
+                before[after[right]] = at
+            for place in (before[at], at):
+                new = entry(place) if place >= 0 else None
+                if new is not None:
+                    heapq.heappush(queue, new)
+        return np.array([s for s in symbols if s >= 0], "i4")
+
+    def merged_words(self, words: list[str]) -> list[np.ndarray]:
+        """Tokens of each word: in common rounds, or one by one if a word is very long."""
+        short = [k for k, w in enumerate(words) if len(w) <= ROUNDS_LENGTH]
+        result: list[np.ndarray] = [np.empty(0, "i4")] * len(words)
+        for k, tokens in zip(short, self.merge_rounds([words[k] for k in short]) if short else []):
+            result[k] = tokens
+        for k in set(range(len(words))).difference(short):
+            codes = np.frombuffer(words[k].encode("utf-32-le"), "<u4")
+            result[k] = self._merge_long(self._symbol[codes].tolist())
+        return result
+
     def merge_rounds(self, words: list[str]) -> list[np.ndarray]:
         """Tokens of each word; words are not empty and hold only characters that are pieces."""
         sizes = np.fromiter(map(len, words), "i8", len(words))
@@ -146,7 +194,7 @@ class Codec:
                     plan.append(("word", len(words), max(blanks - 1, 0)))
                     words.append(piece[blanks - 1 :] if blanks else piece)
             plans.append(plan)
-        tokens = self.merge_rounds(words) if words else []
+        tokens = self.merged_words(words) if words else []
         return [b"".join(self._placed(step, tokens) for step in plan) for plan in plans]
 
     def _placed(self, step: tuple, tokens: list[np.ndarray]) -> bytes:
