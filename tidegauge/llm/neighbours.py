@@ -44,9 +44,9 @@ SAMPLE_PER_CELL = 16
 MOST_CELLS = 1 << 14
 # Queries searched together in one cell; more are split.
 CELL_QUERIES = 20_000
-# Leaves opened at once, and points verified between two stopping tests.
-STEP = 4
-VERIFIED_AT_ONCE = 16
+# Leaves opened at once, and points verified between two stopping tests: at first, and at most as these double.
+OPENED, MOST_OPENED = 4, 32
+VERIFIED, MOST_VERIFIED = 16, 256
 
 
 def chi_square_quantile(share: float, freedom: int) -> float:
@@ -131,24 +131,24 @@ class CellIndex:
         norm = math.sqrt(float((vector * vector).sum()))
         rows, scores = np.empty(0, "i8"), np.empty(0)
         waiting, distances = np.empty(0, "i8"), np.empty(0)
-        opened = 0
+        opened, step, share = 0, OPENED, VERIFIED
         while True:
             closed = gaps[order[opened]] if opened < len(order) else np.inf
             nearest_waiting = distances[0] if len(waiting) else np.inf
             if min(closed, nearest_waiting) > quantile * bound or (closed == np.inf and not len(waiting)):
                 break  # the stopping test
             if closed <= nearest_waiting:
-                new = np.concatenate([self.leaves[k] for k in order[opened : opened + STEP]])
-                opened += STEP
+                new = np.concatenate([self.leaves[k] for k in order[opened : opened + step]])
+                opened, step = opened + step, min(2 * step, MOST_OPENED)
                 apart = self.points[new] - point
                 waiting, distances = np.concatenate([waiting, new]), np.concatenate([distances, (apart * apart).sum(axis=1)])
                 first = np.argsort(distances, kind="stable")
                 waiting, distances = waiting[first], distances[first]
                 continue
             # those before the next closed leaf and within the test, a few at a time
-            ready = min(VERIFIED_AT_ONCE, int(np.searchsorted(distances, min(closed, quantile * bound), "right")))
+            ready = min(share, int(np.searchsorted(distances, min(closed, quantile * bound), "right")))
             new, waiting, distances = waiting[:ready], waiting[ready:], distances[ready:]
-            self.verified += ready
+            self.verified, share = self.verified + ready, min(2 * share, MOST_VERIFIED)
             found = (self.vectors[new] * vector).sum(axis=1) / (self.norms[new] * norm)
             rows, scores = np.concatenate([rows, new]), np.concatenate([scores, found])
             if len(rows) > wanted:
