@@ -99,7 +99,9 @@ def repeated_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The lines whose hash is in enough documents."""
     # counted per (hash, document) first: a line of a third of all documents is spread and summed early
     counts = lines.groupBy(*HASH).agg(F.count_distinct("doc_id").alias("docs"))
-    return lines.join(counts.filter(F.col("docs") >= min_docs).select(*HASH), HASH, "left_semi")
+    # stored, so that the join has shuffles of its own on both sides and the planner may cut a hot hash
+    often = base.stage_table(counts.filter(F.col("docs") >= min_docs).select(*HASH), "often")
+    return lines.join(often, HASH, "left_semi")
 
 
 def gone_lines(
