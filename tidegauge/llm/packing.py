@@ -32,8 +32,8 @@ WINDOW = 4096
 END_ID = 2
 # Chunks kept per worker in each of two generations: when the younger one is full it becomes the older one,
 # from which only what is asked for again moves on. So memory is bounded and frequent chunks stay.
-KEPT_CHUNKS = 300_000
-KEPT_WORDS = 450_000
+KEPT_CHUNKS = 120_000
+KEPT_WORDS = 180_000
 KEPT_LENGTH = 64
 # A word of plain letters and signs behind it, without apostrophes (they can start a contraction) and the
 # signs of special strings: such words are split off by the vocabulary's pattern, whatever their case.
