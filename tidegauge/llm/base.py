@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,6 +33,15 @@ def id_and_text(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     )
 
 
+def give_back() -> None:
+    """Hand memory that is no longer used back to the system: Python workers are reused by later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -42,6 +53,8 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 yield apply(batch)
+        del apply
+        give_back()
 
     return df.mapInArrow(run, schema)
 

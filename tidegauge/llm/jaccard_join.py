@@ -101,6 +101,7 @@ def survey(docs: DataFrame) -> DataFrame:
     hashed = docs.select("doc_id", "text", *[h.alias(c) for c, h in zip(longs[1:3], base.hash128(F.col("text")))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.give_back()
         counters = np.zeros(1 << SLOT_BITS, "i8")
         for batch in batches:
             sets = [shingle_set(t) for t in batch.column(1).to_pylist()]

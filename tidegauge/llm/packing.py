@@ -130,6 +130,7 @@ def tokenized(df: DataFrame, path: str | None = None, doc_id: str = "doc_id", te
     base.small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base.give_back()
         own, part, before = tokenizer(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = [i + end for i in own.encode(batch.column(1).to_pylist())]
