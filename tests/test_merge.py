@@ -4,10 +4,13 @@ import itertools
 import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from check import compare
 from tidegauge.operators import merge
+from tidegauge.plans import grid
 
 NAN = float("nan")
 
@@ -153,3 +156,14 @@ def test_pivot_refuses_duplicate_timestamps(spark):
     df = long(spark, {"a": [(1, 1.0), (1, 3.0)], "b": [(1, 2.0)]})
     with pytest.raises(Exception, match="two points at one timestamp"):
         merge.pivot_series(df, {"a": "sum", "b": "sum"}).collect()
+
+
+def test_pivot_query_on_repeated_timestamps(spark, tmp_path):
+    """The events three times over, under other ids: every series repeats its timestamps."""
+    given = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    copies = [given.withColumns({"event_id": F.col("event_id") + k * 100_000, "value": F.col("value") + k}) for k in range(3)]
+    copies[0].union(copies[1]).union(copies[2]).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    good, text = compare(grid.merge_pivot(spark, str(tmp_path)), con, grid.MERGE_FINE_SQL)
+    assert good, text

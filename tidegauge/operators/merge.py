@@ -146,3 +146,12 @@ def has_duplicate_timestamps(series: DataFrame) -> bool:
     """True when some series holds two points at one timestamp (then pivoting is not exact)."""
     repeated = series.groupBy("query_id", "timestamp").count().filter("count > 1")
     return not repeated.isEmpty()
+
+
+def pivot_or_merge(
+    series: DataFrame, columns: dict[str, str], step_ms: int = GRID_MS, tie: str | None = None
+) -> DataFrame:
+    """Pivoted where that is exact, else merged: for series that may or may not repeat timestamps."""
+    wanted = series.filter(F.col("query_id").isin(list(columns)))
+    build = merge_series if has_duplicate_timestamps(wanted) else pivot_series
+    return build(series, columns, step_ms, tie)

@@ -134,7 +134,7 @@ MERGE_FINE_SQL = MERGE_EXACT_SQL.replace("{ts}", "(epoch_us(ts) // 1000)")
 
 
 def merge_pivot(spark, sf_dir):
-    return _mixed(merge.pivot_series(tables.series(spark, sf_dir), MIXED, QUARTER_MS))
+    return _mixed(merge.pivot_or_merge(tables.series(spark, sf_dir), MIXED, QUARTER_MS, tie="event_id"))
 
 
 def timeline(spark, sf_dir):
