@@ -76,3 +76,8 @@ def test_few_rows_are_copied(spark, width):
     copied = rolling.in_time_blocks(df, width, rolling.block_length(width), "timestamp")
     assert copied.filter("_in_home").count() == 20_000
     assert copied.count() <= 20_000 * 1.3 + 43_200
+
+
+def test_messages_are_built_in_dealt_rows(spark):
+    """The events are one small file, a task or few; what is built of them is not."""
+    assert shuffles(tables.otlp_messages(spark, SF)) == 1

@@ -61,7 +61,9 @@ def _camel_names(text: Column) -> Column:
     renamed = text
     for name in _PROTO_NAMES:
         renamed = F.regexp_replace(renamed, rf'(?<!\\)"{name}"\s*:', f'"{_camel(name)}":')
-    spelled = text.rlike('"(' + "|".join(_PROTO_NAMES) + r')"\s*:')
+    # the test looks for underscores, which are rare, and for how such names end, before it looks for a key
+    ends = sorted({name.rsplit("_", 1)[1] for name in _PROTO_NAMES})
+    spelled = text.rlike("_(?:" + "|".join(ends) + r')"\s*:')
     return F.when(spelled, renamed).otherwise(text)
 
 

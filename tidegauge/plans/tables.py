@@ -34,6 +34,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumns({"at": at, "timestamp": F.unix_millis(at)})
 
 
+def _dealt(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows dealt over the cluster by their key, before much larger messages are built of them.
+
+    A scan has as many tasks as its files have blocks, and a small file of short rows makes very many messages.
+    """
+    return rows.repartition(*key)
+
+
 def _pair(key: str, value: Column) -> Column:
     return F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
 
@@ -173,7 +181,7 @@ def otlp_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(
         F.lit('{"resourceMetrics":['), F.array_join(message["parts"], ","), F.lit("]}")
     )
-    return events(spark, sf_dir).select("event_id", text.alias("value"))
+    return _dealt(events(spark, sf_dir), "event_id").select("event_id", text.alias("value"))
 
 
 def otlp_log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +211,7 @@ def otlp_log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("resourceLogs")
     )
-    return table(spark, sf_dir, "conversations").select(
+    return _dealt(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
         "conv_id", "turn", F.to_json(message).alias("value")
     )
 
@@ -227,7 +235,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         stamp,
         F.lit("]]}}]}}}"),
     )
-    return events(spark, sf_dir).select("event_id", "event_type", text.alias("value"))
+    return _dealt(events(spark, sf_dir), "event_id").select("event_id", "event_type", text.alias("value"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
