@@ -20,10 +20,13 @@ def _run_root(spark, name):
     return f"{checkpoint_root(spark)}/tidegauge/runs/{name}-{uuid.uuid4().hex}"
 
 
-# Messages of one file, and bytes of files that a micro-batch takes.
+# Messages of one file, and bytes of files that a micro-batch takes for each core.
 FILE_MESSAGES, BATCH_BYTES = 4096, 32_000_000
-# Rows of one slice of a stream in time order, and how many slices even a small table is cut in.
-SLICE_ROWS, LEAST_SLICES = 1 << 17, 3
+# Rows of one slice of a stream in time order; a batch takes a slice for each core.
+SLICE_ROWS = 1 << 17
+# How many batches or slices even a small table is cut in, and how many batches a large one, since each costs some
+# seconds whatever it holds.
+LEAST_BATCHES, MOST_BATCHES, LEAST_SLICES = 3, 48, 3
 
 
 def _message_files(texts, root):
@@ -32,6 +35,20 @@ def _message_files(texts, root):
     return root
 
 
+def _bytes_of(spark, root):
+    """Bytes of all files in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength() if files.exists(place) else 0
+
+
+def _batch_bytes(spark, files):
+    """Bytes of a micro-batch: work for every core, since batches follow one another, within the numbers of batches."""
+    total = _bytes_of(spark, files)
+    every_core = BATCH_BYTES * spark.sparkContext.defaultParallelism
+    return max(1, min(max(every_core, -(-total // MOST_BATCHES)), -(-total // LEAST_BATCHES)))
+
+
 def _ended(query, batches: int = 0):
     """Wait for a stream that takes what is there, and make sure that it went on in micro-batches."""
     query.awaitTermination()
@@ -46,7 +63,7 @@ def _mixed_ingest(spark, sf_dir, root):
         tables.otlp_log_messages(spark, sf_dir).select("value")
     )
     files = _message_files(texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes=BATCH_BYTES)
+    stream = topics.read_message_files(spark, files, max_bytes=_batch_bytes(spark, files))
     sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
     _ended(ingest.ingest(stream, sink, f"{root}/offsets"))
 
@@ -82,18 +99,23 @@ def stream_ingest_logs(spark, sf_dir):
     return rows.select(F.unix_micros("timestamp").alias("ts_us"), "line", "service_name", "host", "env")
 
 
-# Bytes that a flush gathers, those of a trigger, and how long a remainder waits.
+# Bytes that a flush of a lane gathers, those of a trigger for each lane, and how long a remainder waits.
 FLUSH_BYTES, TRIGGER_BYTES, WAIT_MS = 3_000_000, 1_000_000, 2_000
+# Flushes of one lane; more messages go over more lanes, so that the number of triggers does not grow with them.
+LANE_FLUSHES = 8
 
 
 def stream_flushed(spark, sf_dir):
-    """Messages that come in small triggers, gathered to flushes of ``FLUSH_BYTES``; the metrics read back."""
+    """Messages that come in small triggers, gathered to flushes of ``FLUSH_BYTES`` a lane; the metrics read back."""
     root = _run_root(spark, "flushed")
     texts = tables.otlp_messages(spark, sf_dir)
     files = _message_files(texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes=TRIGGER_BYTES)
+    lanes = max(1, -(-_bytes_of(spark, files) // (FLUSH_BYTES * LANE_FLUSHES)))
+    stream = topics.read_message_files(spark, files, max_bytes=TRIGGER_BYTES * lanes)
     sink = ingest.LakeSink(f"{root}/lake", metric_steps=[lambda df: drop_null_rows(df, "value")])
-    query = flush.ingest_by_size(stream, sink, f"{root}/offsets", FLUSH_BYTES, WAIT_MS, interval="100 milliseconds")
+    query = flush.ingest_by_size(
+        stream, sink, f"{root}/offsets", FLUSH_BYTES, WAIT_MS, lanes=lanes, interval="100 milliseconds"
+    )
     flush.drain(query, WAIT_MS)
     rows = lake.read_rows(spark, f"{root}/lake/metrics")
     return rows.select(
@@ -115,7 +137,7 @@ def stream_records(spark, sf_dir):
     root = _run_root(spark, "records")
     texts = tables.otlp_messages(spark, sf_dir).select("value")
     files = _message_files(texts, f"{root}/messages")
-    stream = topics.read_message_files(spark, files, max_bytes=BATCH_BYTES)
+    stream = topics.read_message_files(spark, files, max_bytes=_batch_bytes(spark, files))
     records = ingest.stream_metrics(stream, decoding.RULES)
     query = (
         topics.as_messages(records)
@@ -154,20 +176,22 @@ def _in_time_order(spark, rows, root, slice_rows=SLICE_ROWS):
     start = int(time.time()) - len(found)
     for k, name in enumerate(found):
         files.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), (start + k) * 1000, -1)
+    return len(found)
 
 
 def stream_training_aggregate(spark, sf_dir):
-    """The training aggregate over a stream of metric rows in time order, a slice of the time a batch.
+    """The training aggregate over a stream of metric rows in time order, a few slices of the time a batch.
 
-    No row is behind the watermark, since a batch holds one slice. State is bounded: only buckets within the
+    No row is behind the watermark, since a batch holds slices that follow one another. State is bounded: only buckets within the
     lateness are kept. Each batch writes the means of the buckets it touched; the latest batch of a bucket counts.
     """
     root = _run_root(spark, "aggregate")
     rows = tables.metric_rows(spark, sf_dir).drop("event_id").withColumns(
         {c: F.lit(None).cast("string") for c in ("k8s_namespace_name", "cluster_name", "host", "env")}
     )
-    _in_time_order(spark, rows, f"{root}/metrics")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/metrics")
+    slices = _in_time_order(spark, rows, f"{root}/metrics")
+    together = max(1, min(spark.sparkContext.defaultParallelism, slices // LEAST_SLICES))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", str(together)).parquet(f"{root}/metrics")
     aggregate = ingest.running_training_aggregate(stream)
     query = (
         aggregate.writeStream.outputMode("update")

@@ -25,6 +25,7 @@ WAIT_MS = 60_000
 _CHUNK = 10_000
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 FLUSHED = "lane int, flush long, value string"
 
 
@@ -103,7 +104,8 @@ def ingest_by_size(
 ) -> StreamingQuery:
     """Run the message stream into the lake, a batch for each flush of enough bytes.
 
-    A trigger in which no lane is full writes nothing. The stream goes on until it is stopped (its timers keep it
+    The state has no more partitions than lanes: each is opened and committed in every trigger, also an empty
+    one. A trigger in which no lane is full writes nothing. The stream goes on until it is stopped (its timers keep it
     from ever being idle); a finite source ends with :func:`drain`.
     """
 
@@ -116,17 +118,21 @@ def ingest_by_size(
             ready.unpersist()
 
     spark = texts.sparkSession
-    # timers and lists need this store; a stream keeps the setting it was started with
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    partitions = min(lanes, int(spark.conf.get(_PARTITIONS)))
+    # timers and lists need this store; a stream keeps the settings it was started with
+    needed = {_PROVIDER: _ROCKS, _PARTITIONS: str(partitions)}
+    before = {name: spark.conf.get(name, None) for name in needed}
+    for name, value in needed.items():
+        spark.conf.set(name, value)
     try:
         writer = flush_by_size(texts, flush_bytes, wait_ms, lanes).writeStream.foreachBatch(write)
         return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def drain(query: StreamingQuery, wait_ms: int = WAIT_MS, patience: float = 3600.0) -> None:
