@@ -235,3 +235,68 @@ def test_restart_keeps_the_messages_that_wait(spark, tmp_path):
     flush.drain(query, 1500, patience=90)
     stored = lake.read_rows(spark, str(tmp_path / "lake/metrics"))
     assert sorted(r["value"] for r in stored.collect()) == sorted(set(range(24)))
+
+
+def progress_of(monkeypatch):
+    """Collects how many rows each batch of the streams to come takes."""
+    taken = []
+    ended = streams._ended
+
+    def noted(query, batches=0):
+        ended(query, batches)
+        taken.append([p.numInputRows for p in query.recentProgress if p.numInputRows])
+
+    monkeypatch.setattr(streams, "_ended", noted)
+    return taken
+
+
+def test_batches_do_not_grow_in_number_with_the_messages(spark, monkeypatch):
+    """Files of 40 messages and the smallest batches: a file for each batch before."""
+    monkeypatch.setattr(streams, "FILE_MESSAGES", 40)
+    monkeypatch.setattr(streams, "BATCH_BYTES", 1)
+    monkeypatch.setattr(streams, "MOST_BATCHES", 4)
+    taken = progress_of(monkeypatch)
+    rows = streams.stream_ingest(spark, "/root/testdata/sf0.001").count()
+    found = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert 2 <= len(taken[0]) <= 6 and sum(taken[0]) > found and rows > found
+
+
+def test_a_batch_takes_a_slice_for_each_core(spark, monkeypatch):
+    in_order = streams._in_time_order
+    monkeypatch.setattr(streams, "_in_time_order", lambda s, rows, root: in_order(s, rows, root, slice_rows=50))
+    taken = progress_of(monkeypatch)
+    con = duckdb.connect()
+    con.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.001/events.parquet'")
+    good, text = compare(streams.stream_training_aggregate(spark, "/root/testdata/sf0.001"), con, streams.STREAM_TRAINING_SQL)
+    slices = -(-con.execute("SELECT count(*) FROM events").fetchone()[0] // 50)
+    assert good, text
+    assert 3 <= len(taken[0]) <= -(-slices // min(4, slices // 3))
+
+
+def test_state_has_no_more_partitions_than_lanes(spark, tmp_path):
+    write(tmp_path / "in", messages(8))
+    query = flushed(spark, tmp_path, 10, lanes=2)
+    flush.drain(query, 1500, patience=90)
+    assert query.lastProgress.stateOperators[0].numShufflePartitions == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert lake.read_rows(spark, str(tmp_path / "lake/metrics")).count() == 8
+
+
+def test_more_messages_go_over_more_lanes(spark, monkeypatch):
+    lanes = []
+    by_size = flush.ingest_by_size
+
+    def noted(*given, **options):
+        lanes.append(options["lanes"])
+        return by_size(*given, **options)
+
+    monkeypatch.setattr(flush, "ingest_by_size", noted)
+    monkeypatch.setattr(streams, "FLUSH_BYTES", 300_000)
+    monkeypatch.setattr(streams, "TRIGGER_BYTES", 300_000)
+    monkeypatch.setattr(streams, "FILE_MESSAGES", 100)
+    monkeypatch.setattr(streams, "LANE_FLUSHES", 2)
+    con = duckdb.connect()
+    con.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.001/events.parquet'")
+    good, text = compare(streams.stream_flushed(spark, "/root/testdata/sf0.001"), con, streams.STREAM_FLUSHED_SQL)
+    assert good, text
+    assert lanes[0] > 1
