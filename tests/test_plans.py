@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators import aggregates, features, filters, merge, ordering, rolling
-from tidegauge.plans import tables
+from tidegauge.plans import modelling, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,3 +81,9 @@ def test_few_rows_are_copied(spark, width):
 def test_messages_are_built_in_dealt_rows(spark):
     """The events are one small file, a task or few; what is built of them is not."""
     assert shuffles(tables.otlp_messages(spark, SF)) == 1
+
+
+def test_models_read_a_stored_grid(spark):
+    """Splits and models read their frame many times; the merge must not run once more for each."""
+    assert shuffles(modelling._grid_frame(spark, SF)) == 0
+    assert shuffles(modelling._demand_frame(spark, SF)) == 0

@@ -14,7 +14,6 @@ sampled per tree by hash. Binned rows are stored once; the running prediction is
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.numbers import is_finite
-from tidegauge.session import checkpoint_root
+from tidegauge.session import stored
 
 MOST_BINS = 64
 STORE_EVERY = 25
@@ -169,13 +168,6 @@ class Booster:
         return rows.mapInArrow(run, f"{schema}, `{prediction}` double")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/tidegauge/boosting/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 _ROWS = "id long, validation boolean, target double, running double, bins binary"
 
 
@@ -265,7 +257,7 @@ def fit(train: DataFrame, validation: DataFrame, features: list[str], target: st
     base = float(head[0])
     both = _binned_rows(train, features, target, False, edges, base).unionByName(_binned_rows(validation, features, target, True, edges, base))
     parts = max(1, -(-head[1] // ROWS_PER_PART))
-    rows = _stored(both.coalesce(parts) if parts < 8 else both, "rows")
+    rows = stored(both.coalesce(parts) if parts < 8 else both, "boosting/rows")
     trees: list[Tree] = []
     since: list[Tree] = []
     best, best_at = np.inf, 0
@@ -313,7 +305,7 @@ def fit(train: DataFrame, validation: DataFrame, features: list[str], target: st
         trees.append(tree)
         since.append(tree)
         if len(since) == STORE_EVERY:
-            rows, since = _stored(_advanced(rows, since, len(features)), "rows"), []
+            rows, since = stored(_advanced(rows, since, len(features)), "boosting/rows"), []
     return Booster(features, edges, base, trees[:best_at] if np.isfinite(best) else trees)
 
 

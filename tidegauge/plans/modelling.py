@@ -11,7 +11,7 @@ from tidegauge.operators import aggregates, clean, features, learn, ordering, st
 from tidegauge.operators.merge import merge_series
 from tidegauge.plans import tables
 from tidegauge.plans.filtering import WIDE_CTE
-from tidegauge.session import checkpoint_root
+from tidegauge.session import stored
 
 _COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 
@@ -113,8 +113,11 @@ SELECT l_orderkey AS row_id, round(avg(l_extendedprice) + 1e-7, 4) AS prediction
 
 
 def _grid_frame(spark, sf_dir):
-    """The one-minute grid, cleaned: rows without target out, other gaps 0."""
-    grid = merge_series(tables.series(spark, sf_dir), tables.WIDE)
+    """The one-minute grid, cleaned: rows without target out, other gaps 0.
+
+    Splits, features and models read it many times, so the grid is stored: the merge runs once.
+    """
+    grid = stored(merge_series(tables.series(spark, sf_dir), tables.WIDE), "models/grid")
     others = [c for c in tables.WIDE if c != tables.TARGET]
     cleaned = clean.clean_frame(grid, critical=tables.TARGET, zero_filled=others[0])
     for c in others[1:]:
@@ -133,8 +136,7 @@ def _demand_frame(spark, sf_dir):
 
 def _model_frame(spark, sf_dir):
     """The demand frame with the full feature set; read by several models, so it is stored."""
-    checkpoint_root(spark)
-    return features.generate_features(_demand_frame(spark, sf_dir), list(tables.WIDE), tables.TARGET).checkpoint()
+    return stored(features.generate_features(_demand_frame(spark, sf_dir), list(tables.WIDE), tables.TARGET), "models/frame")
 
 
 # Target of the models: height of the wave and share of the noise. A model is good if its error is below so

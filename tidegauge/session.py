@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -28,3 +29,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once and read again, for what is read many times."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tidegauge/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
