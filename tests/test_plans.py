@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import aggregates, features, filters, merge, ordering, rolling
+from tidegauge.operators import aggregates, features, filters, merge, ordering, ranges, rolling
 from tidegauge.plans import modelling, tables
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +87,11 @@ def test_models_read_a_stored_grid(spark):
     """Splits and models read their frame many times; the merge must not run once more for each."""
     assert shuffles(modelling._grid_frame(spark, SF)) == 0
     assert shuffles(modelling._demand_frame(spark, SF)) == 0
+
+
+def test_chunks_are_summed_in_tasks_of_a_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "TASK_SAMPLES", 20)
+    samples = tables.events(spark, SF).select("user_id", "timestamp", "value")
+    for function in (ranges.avg_over_time, ranges.rate):
+        df = function(samples, ("user_id",), 21_600_000, 7_200_000)
+        assert f", {-(-samples.count() // 20)}), REPARTITION_BY_NUM" in plan(df)

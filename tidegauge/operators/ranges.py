@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidegauge.functions.numbers import floor_div, floor_to, step_at_or_after
 
 MINUTE_MS = 60_000
+# Samples whose panes and steps one task sorts and sums, at most on average.
+TASK_SAMPLES = 1 << 17
 
 
 def select_labels(df: DataFrame, labels: dict[str, str], attributes: str = "attributes") -> DataFrame:
@@ -42,6 +44,11 @@ def _folded(df: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int,
     return df.groupBy(*series, pane).agg(*measures)
 
 
+def _tasks(samples: DataFrame) -> int:
+    """In how many tasks the chunks are summed, so that the memory of a task does not grow with the samples."""
+    return max(samples.sparkSession.sparkContext.defaultParallelism, -(-samples.count() // TASK_SAMPLES))
+
+
 def _in_chunks(panes: DataFrame, range_ms: int) -> DataFrame:
     """Each pane in its own chunk and, at the time it leaves a range that ends there, in the next one."""
     own = floor_div(F.col("_end") - 1, range_ms)
@@ -52,7 +59,9 @@ def _in_chunks(panes: DataFrame, range_ms: int) -> DataFrame:
     return panes.withColumn("_p", F.explode(places)).select("*", "_p.*").drop("_p", "_end")
 
 
-def _at_steps(chunked: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, own: dict, previous: dict) -> DataFrame:
+def _at_steps(
+    chunked: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, own: dict, previous: dict, tasks: int
+) -> DataFrame:
     """Steps of all chunks with the sums of ``own`` up to them and of ``previous`` not yet gone.
 
     Both map names to columns of ``chunked``.
@@ -60,11 +69,12 @@ def _at_steps(chunked: DataFrame, series: tuple[str, ...], range_ms: int, step_m
     first = step_at_or_after(F.col("_chunk") * range_ms + 1, step_ms)
     last = (F.col("_chunk") + 1) * range_ms
     steps = F.when(first <= last, F.sequence(first, last, F.lit(step_ms).cast("bigint")))
-    asked = chunked.select(*series, "_chunk").distinct().withColumn("_at", F.explode(steps)).withColumn("_role", F.lit(_STEP))
+    chunks = chunked.select(*series, "_chunk").repartition(tasks, *series, "_chunk").distinct()
+    asked = chunks.withColumn("_at", F.explode(steps)).withColumn("_role", F.lit(_STEP))
     group = Window.partitionBy(*series, "_chunk")
     so_far = group.orderBy("_at", "_role").rowsBetween(Window.unboundedPreceding, 0)
     to_go = group.orderBy(F.col("_at").desc(), "_role").rowsBetween(Window.unboundedPreceding, 0)
-    entries = chunked.unionByName(asked, allowMissingColumns=True)
+    entries = chunked.unionByName(asked, allowMissingColumns=True).repartition(tasks, *series, "_chunk")
     sums = {n: F.sum(F.when(F.col("_role") == _OWN, c)).over(so_far) for n, c in own.items()}
     sums |= {n: F.sum(F.when(F.col("_role") == _PREVIOUS, c)).over(to_go) for n, c in previous.items()}
     return entries.withColumns(sums).filter(F.col("_role") == _STEP)
@@ -78,12 +88,14 @@ def _sum_of(*names: str) -> Column:
     return F.when(F.coalesce(*names).isNotNull(), total)
 
 
-def _over_panes(panes: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, names: list[str]) -> DataFrame:
+def _over_panes(
+    panes: DataFrame, series: tuple[str, ...], range_ms: int, step_ms: int, names: list[str], tasks: int
+) -> DataFrame:
     """The sums of the range at every step that sees a pane: (series, _at, names)."""
     counted = panes.withColumn("_panes", F.lit(1))
     every = [*names, "_panes"]
     own, previous = ({f"{side}{n}": F.col(n) for n in every} for side in ("_o", "_p"))
-    seen = _at_steps(_in_chunks(counted, range_ms), series, range_ms, step_ms, own, previous)
+    seen = _at_steps(_in_chunks(counted, range_ms), series, range_ms, step_ms, own, previous, tasks)
     seen = seen.filter(_sum_of("_o_panes", "_p_panes") > 0)
     return seen.select(*series, "_at", *[_sum_of(f"_o{n}", f"_p{n}").alias(n) for n in names])
 
@@ -98,7 +110,7 @@ def avg_over_time(
 ) -> DataFrame:
     """Mean of the samples in the range, per series and step."""
     panes = _folded(samples, series, range_ms, step_ms, ts, F.sum(value).alias("_sum"), F.count(value).alias("_n"))
-    seen = _over_panes(panes, series, range_ms, step_ms, ["_sum", "_n"])
+    seen = _over_panes(panes, series, range_ms, step_ms, ["_sum", "_n"], _tasks(samples))
     mean = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n"))
     return seen.select(*series, F.col("_at").alias(ts), mean.alias(value))
 
@@ -115,7 +127,7 @@ def count_over_time(
     """How many lines (holding a text) the range saw, per series and step."""
     wanted = lines if contains is None else lines.filter(F.contains(line, F.lit(contains)))
     panes = _folded(wanted, series, range_ms, step_ms, ts, F.count(F.lit(1)).alias("_n"))
-    seen = _over_panes(panes, series, range_ms, step_ms, ["_n"])
+    seen = _over_panes(panes, series, range_ms, step_ms, ["_n"], _tasks(wanted))
     return seen.select(*series, F.col("_at").alias(ts), F.col("_n").alias("value"))
 
 
@@ -150,7 +162,8 @@ def rate(
     panes = moments.withColumn("_grown", grown).groupBy(*series, "_end").agg(
         F.min_by("_low", ts).alias("_first"), F.max_by("_high", ts).alias("_last"), F.sum("_grown").alias("_grown"), F.sum("_n").alias("_n")
     )
-    chunked = _in_chunks(panes, range_ms)
+    tasks = _tasks(samples)
+    chunked = _in_chunks(panes, range_ms).repartition(tasks, *series, "_chunk")
     side = Window.partitionBy(*series, "_chunk", "_role").orderBy("_at")
     whole = Window.partitionBy(*series, "_chunk")
     own, previous = F.col("_role") == _OWN, F.col("_role") == _PREVIOUS
@@ -165,7 +178,7 @@ def rate(
         }
     )
     sums = {"_o_grown": F.col("_behind"), "_o_n": F.col("_n"), "_o_tie": F.col("_tie")}
-    seen = _at_steps(linked, series, range_ms, step_ms, sums, {"_p_grown": F.col("_ahead"), "_p_n": F.col("_n")})
+    seen = _at_steps(linked, series, range_ms, step_ms, sums, {"_p_grown": F.col("_ahead"), "_p_n": F.col("_n")}, tasks)
     tie = F.when(F.col("_p_n") > 0, F.coalesce(F.col("_o_tie"), F.lit(0.0))).otherwise(F.lit(0.0))
     increase = (_sum_of("_o_grown", "_p_grown") + tie) / (range_ms / 1000)
     return seen.filter(_sum_of("_o_n", "_p_n") > 1).select(*series, F.col("_at").alias(ts), increase.alias(value))
