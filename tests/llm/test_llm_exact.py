@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -122,6 +123,32 @@ def test_chunks_give_the_library_ids(text):
     assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_asks_for_many_words_at_once(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, tokenizer, asked = packing.ChunkTokenizer(path), Tokenizer.from_file(path), []
+    ask = own._ids
+    monkeypatch.setattr(own, "_ids", lambda texts: asked.extend(texts) or ask(texts))
+    letters = "abcdefghij"
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters]
+    texts = [" ".join(words), "\n".join(words).upper() + ".", "Ab's " + ", ".join(words), ""]
+    got = own.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) < 50  # not one by one
+
+
+def test_packing_takes_texts_in_slices(spark, monkeypatch):
+    texts = ["one two"] * 5 + ["word " * 100, "", "x"] * 5
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(packing, "SLICE_BYTES", 200)
+    pieces = list(packing.slices(batch))
+    assert [t for p in pieces for t in p.column(1).to_pylist()] == texts
+    assert len(pieces) > 3 and all(sum(map(len, p.column(1).to_pylist()[1:])) <= 200 for p in pieces)
+    monkeypatch.undo()
+    rows = spark.createDataFrame(list(enumerate(texts * 200)), "doc_id long, text string").coalesce(1)
+    stored = packing.tokenized(rows).orderBy("doc_id").collect()
+    assert [r["before"] for r in stored] == np.cumsum([0, *[r["doc_tokens"] for r in stored[:-1]]]).tolist()
+
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
